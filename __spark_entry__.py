@@ -18,8 +18,13 @@ from sensorlytics.operators import outliers as O
 from sensorlytics.operators import reductions as R
 from sensorlytics.functions.timecols import slot_floor_ms
 from sensorlytics.operators.cells import CELL, with_window
+from sensorlytics.operators import reports as P
 from sensorlytics.plans import jobs as J
+from sensorlytics.session import scratch_path
+from sensorlytics.sinks import publish as K
 from sensorlytics.sources import fixtures as X
+from sensorlytics.sources import ingest as I
+from sensorlytics.sources import power_logs as PL
 
 DAY = 86_400_000
 HOUR = 3_600_000
@@ -52,7 +57,66 @@ def _flag_level1(spark, d, value):
     return f.select("urn", "timestamp", "values_count", "outliers_count", "is_outlier")
 
 
+def _good(lines, order, strict=True):
+    good, _ = I.parse_readings(lines, order, strict=strict)
+    return good.select("seq", "urn", "value", "timestamp")
+
+
+def _csv_roundtrip(spark, d):
+    path = scratch_path(spark, "typed-csv")
+    I.write_typed_csv(X.readings(spark, d), path)
+    return I.read_typed_csv(spark, path)
+
+
+def _counts_roundtrip(spark, d):
+    good, _ = I.parse_counts_json(K.counts_payload(J.outliers_level1(X.readings(spark, d), "1 day")))
+    return good.select("urn", "timestamp", "values_count", "outliers_count")
+
+
+def _export_roundtrip(spark, d):
+    path = scratch_path(spark, "counts-csv")
+    K.export_counts_csv(J.outliers_level1(X.readings(spark, d), "1 day"), path)
+    return (spark.read.schema("urn STRING, timestamp BIGINT, values_count BIGINT, outliers_count BIGINT")
+            .option("header", "true").option("mode", "FAILFAST").csv(path))
+
+
+def _power_logs(spark, d):
+    root = scratch_path(spark, "power-logs")
+    per_run = P.power_by_run(X.power_samples(spark, d))
+    grid = X.experiments(spark)
+    folder = F.concat(F.col("name"), F.lit(".run"),
+                      F.lpad((F.floor((F.col("run") - 1) / 15) + 1).cast("string"), 2, "0"))
+    runs = per_run.join(F.broadcast(grid), ((per_run.run - 1) % 15) == grid.id).select(
+        folder.alias("folder"), "total_avg_watts")
+    PL.write_power_logs(runs, root)
+    return PL.read_power_logs(spark, root, "*.txt")
+
+
+_SUITE = X.SUITE
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    # ingest
+    "ingest_strict_uvt": lambda s, d: _good(X.lines_bad(s, d), "uvt"),
+    "ingest_strict_rejects": lambda s, d: I.parse_readings(X.lines_bad(s, d), "uvt")[1].select("seq", "reason"),
+    "ingest_strict_utv": lambda s, d: _good(X.lines(s, d, "utv"), "utv"),
+    "ingest_trailing": lambda s, d: _good(X.lines_trailing(s, d), "uvt"),
+    "ingest_lenient": lambda s, d: _good(X.lines_bad(s, d), "uvt", strict=False),
+    "ingest_csv_typed": _csv_roundtrip,
+    "ingest_counts_json": _counts_roundtrip,
+    # publish
+    "publish_counts_json": lambda s, d: K.counts_payload(J.outliers_level1(X.readings(s, d), "1 day")),
+    "publish_on_values_json": lambda s, d: K.on_values_payload(J.outliers_on_values(_level1_6h(s, d), "3 days")),
+    "publish_on_outliers_json": lambda s, d: K.on_outliers_payload(
+        J.outliers_on_outliers(_level1_6h(s, d), "3 days")),
+    "publish_reading_csv": lambda s, d: K.reading_csv_payload(X.readings(s, d)),
+    "export_counts_csv": _export_roundtrip,
+    # reports
+    "runtimes_summary": lambda s, d: P.runtimes_summary(X.experiments(s), X.experiment_runs(s, d), _SUITE),
+    "runtimes_stats": lambda s, d: P.runtimes_stats(X.experiments(s), X.experiment_runs(s, d)),
+    "runtimes_runs": lambda s, d: P.runtimes_runs(X.experiments(s), X.experiment_runs(s, d)),
+    "runtimes_csv": lambda s, d: P.runtimes_csv(X.experiments(s), X.experiment_runs(s, d), _SUITE),
+    "power_by_run": lambda s, d: P.power_by_run(X.power_samples(s, d)),
+    "power_log_table": _power_logs,
     # JOB10 batch reductions on hourly slots
     "batch_sum": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "sum"),
     "batch_avg": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "average"),
@@ -187,7 +251,71 @@ SELECT 'raw' AS kind, * FROM ({_summary_sql('r', DAY)})
 UNION ALL SELECT 'clean' AS kind, * FROM ({_summary_sql(kept, DAY)})"""
 
 
+_E = """e AS (SELECT i AS id, 'gb.top' || lpad(CAST(w AS VARCHAR), 3, '0') || '-' || CAST(sl AS VARCHAR) AS name,
+                    'gb.scale-out' AS suite
+             FROM (SELECT range AS i, [1, 2, 4, 8, 16][range // 3 + 1] AS w, [1, 2, 4][range % 3 + 1] AS sl
+                   FROM range(15))),
+er AS (SELECT o_custkey % 15 AS experiment_id, CAST(o_orderkey % 3 + 1 AS INTEGER) AS run,
+              CAST(floor(max(o_totalprice)) AS BIGINT) AS "time" FROM orders GROUP BY 1, 2),
+j AS (SELECT * FROM e JOIN er ON e.id = er.experiment_id)"""
+
+_POWER = """p AS (SELECT CAST(day(ts) AS INTEGER) AS run, event_type AS node, CAST(floor(value) AS INTEGER) AS watts
+             FROM events),
+pn AS (SELECT run, node, avg(watts) AS a FROM p GROUP BY run, node),
+pr AS (SELECT run, count(*) AS nodes, sum(a) AS total_avg_watts FROM pn GROUP BY run)"""
+
+_BAD = f"""{_R}, b AS (SELECT *, CASE WHEN seq % 107 = 0 THEN 'field_count' WHEN seq % 101 = 0 THEN 'bad_value'
+                               WHEN seq % 103 = 0 THEN 'bad_timestamp' END AS reason FROM r)"""
+
+
+def _json(*pairs: tuple[str, str]) -> str:
+    inner = ", ".join(f"'{k}', {v}" for k, v in pairs)
+    return f"CAST(json_object({inner}) AS VARCHAR)"
+
+
 _SQL: dict[str, str] = {
+    "ingest_strict_uvt": f"WITH {_BAD} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM b WHERE reason IS NULL",
+    "ingest_strict_rejects": f"WITH {_BAD} SELECT seq, reason FROM b WHERE reason IS NOT NULL",
+    "ingest_strict_utv": f"WITH {_R} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM r",
+    "ingest_trailing": f"WITH {_R} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM r",
+    "ingest_lenient": f"""WITH {_R} SELECT seq, urn, CASE WHEN seq % 101 = 0 THEN 0.0 ELSE round(value, 6) END AS value,
+       CASE WHEN seq % 103 = 0 THEN 0 ELSE "timestamp" END AS "timestamp" FROM r WHERE seq % 97 <> 0""",
+    "ingest_csv_typed": f"WITH {_R} SELECT urn, round(value, 6) AS value, \"timestamp\" FROM r",
+    "ingest_counts_json": f"WITH {_level1(_R, DAY)} SELECT * FROM l1",
+    "publish_counts_json": f"""WITH {_level1(_R, DAY)} SELECT '5min' AS routing_key,
+       {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('valuesCount', 'values_count'),
+              ('outliersCount', 'outliers_count'))} AS payload FROM l1""",
+    "publish_on_values_json": _level2_flag("values_count") + f""",
+v AS (SELECT urn, win2 AS "timestamp", count(*) AS values_count,
+             count(*) FILTER (WHERE is_outlier) AS outliers_on_values_count FROM f2 GROUP BY urn, win2)
+SELECT 'v60min' AS routing_key, {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('valuesCount', 'values_count'),
+                                        ('outliersOnValuesCount', 'outliers_on_values_count'))} AS payload FROM v""",
+    "publish_on_outliers_json": _level2_flag("outliers_count") + f""",
+v AS (SELECT urn, win2 AS "timestamp", count(*) AS outliers_count,
+             count(*) FILTER (WHERE is_outlier) AS outliers_on_outliers_count FROM f2 GROUP BY urn, win2)
+SELECT 'o60min' AS routing_key, {_json(('urn', 'urn'), ('timestamp', '"timestamp"'),
+                                        ('outliersCount', 'outliers_count'),
+                                        ('outliersOnOutliersCount', 'outliers_on_outliers_count'))} AS payload FROM v""",
+    "publish_reading_csv": f"""WITH {_R} SELECT 'readings' AS routing_key,
+       printf('%s,%f,%d', urn, value, "timestamp") AS payload FROM r""",
+    "export_counts_csv": f"WITH {_level1(_R, DAY)} SELECT * FROM l1",
+    "runtimes_summary": f"""WITH {_E} SELECT suite, name, min("time") AS min_time, max("time") AS max_time,
+       CAST(sum("time") - min("time") - max("time") AS BIGINT) AS median_time,
+       CAST(median("time") AS DOUBLE) AS median
+FROM j WHERE suite = 'gb.scale-out' GROUP BY suite, name ORDER BY suite, name""",
+    "runtimes_stats": f"""WITH {_E} SELECT name, suite, CAST(round(avg("time") / 1000.0, 2) AS DECIMAL(18, 2)) AS average,
+       CAST(median("time") AS DOUBLE) / 1000.0 AS median, CAST(max("time") AS DOUBLE) / 1000.0 AS "max",
+       CAST(min("time") AS DOUBLE) / 1000.0 AS "min", count(*) AS number_of_runs
+FROM j GROUP BY suite, name ORDER BY name, suite""",
+    "runtimes_runs": f"""WITH {_E} SELECT name, suite, "time" AS runtime, run FROM j""",
+    "runtimes_csv": f"""WITH {_E} SELECT ltrim(regexp_replace(split_part(name, '-', 1), '[^0-9]', '', 'g'), '0') AS worker,
+       ltrim(split_part(name, '-', 2), '0') AS task_slots, run, "time" AS runtime_ms
+FROM j WHERE suite = 'gb.scale-out' ORDER BY suite, name""",
+    "power_by_run": f"WITH {_POWER} SELECT run, nodes, round(total_avg_watts, 6) AS total_avg_watts FROM pr",
+    "power_log_table": f"""WITH {_POWER}
+SELECT ltrim(CAST([1, 2, 4, 8, 16][((run - 1) % 15) // 3 + 1] AS VARCHAR), '0') AS worker,
+       CAST([1, 2, 4][((run - 1) % 15) % 3 + 1] AS VARCHAR) AS task_slots,
+       CAST((run - 1) // 15 + 1 AS VARCHAR) AS run, round(total_avg_watts, 6) AS pdu_w FROM pr""",
     "batch_sum": _slot_red(_R, 60) + ' SELECT urn, "timestamp", round(sm, 6) AS "sum" FROM s',
     "batch_avg": _slot_red(_R, 60) + ' SELECT urn, "timestamp", round(av, 6) AS average FROM s',
     "batch_min": _slot_red(_R_SIGNED, 60) + ' SELECT urn, "timestamp", round(least(0.0, mn), 6) AS min_seed0, '
