@@ -53,14 +53,23 @@ def compare(spark, key: str, sf_dir: str, con=None) -> dict:
     from __spark_entry__ import oracle_sql, queries
     con = con or duck(sf_dir)
     t0 = time.time()
-    sp = queries()[key](spark, sf_dir).toPandas()
+    sdf = queries()[key](spark, sf_dir)
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    sp = sdf.toPandas()
     t1 = time.time()
     sql = oracle_sql().get(key)
     res = {"key": key, "spark_rows": len(sp), "spark_sec": round(t1 - t0, 2)}
     if sql is None:
         res["status"] = "rows-only"
         return res
-    od = con.sql(sql).df()
+    rel = con.sql(sql)
+    otypes = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    od = rel.df()
+    same = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "int": "INTEGER"}
+    tdiff = {c: (stypes.get(c), otypes.get(c)) for c in stypes
+             if same.get(stypes[c], stypes[c].upper()) != otypes.get(c)}
+    if tdiff:
+        res["types"] = tdiff
     res["oracle_rows"] = len(od)
     sc, oc = sorted(sp.columns), sorted(od.columns)
     if sc != oc:
