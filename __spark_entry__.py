@@ -25,6 +25,8 @@ from sensorlytics.sinks import publish as K
 from sensorlytics.sources import fixtures as X
 from sensorlytics.sources import ingest as I
 from sensorlytics.sources import power_logs as PL
+from sensorlytics.streaming import jobs as SJ
+from sensorlytics.streaming import sinks as SS
 
 DAY = 86_400_000
 HOUR = 3_600_000
@@ -94,6 +96,51 @@ def _power_logs(spark, d):
 
 _SUITE = X.SUITE
 
+
+def _stage(spark, d, name="stream-src"):
+    path = scratch_path(spark, name)
+    X.readings(spark, d).write.parquet(path)
+    return path
+
+
+def _run(stream_start):
+    q = stream_start
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def _stream_passthrough(spark, d):
+    out = scratch_path(spark, "passthrough")
+    _run(SJ.start_to_table(SJ.passthrough(SJ.reading_stream(spark, _stage(spark, d))), out,
+                           scratch_path(spark, "ckpt")))
+    return SS.read_table(spark, out)
+
+
+def _stream_window_mean(spark, d):
+    out = scratch_path(spark, "window-mean")
+    _run(SJ.start_to_table(SJ.window_mean_updates(SJ.reading_stream(spark, _stage(spark, d)), "5 minutes"), out,
+                           scratch_path(spark, "ckpt"), output_mode="update"))
+    return SS.read_latest(spark, out, ["urn", "timestamp"])
+
+
+def _stream_level1(spark, d, width):
+    out = scratch_path(spark, "level1")
+    _run(SJ.start_outlier_counts(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"),
+                                 width))
+    return out
+
+
+def _stream_outliers(spark, d):
+    return SS.read_table(spark, _stream_level1(spark, d, "1 day"))
+
+
+def _stream_second_level(spark, d):
+    lvl1 = _stream_level1(spark, d, "6 hours")
+    out = scratch_path(spark, "level2")
+    _run(SJ.start_second_level(SJ.level1_stream(spark, lvl1), out, scratch_path(spark, "ckpt"), "3 days"))
+    return SS.read_table(spark, out)
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ingest
     "ingest_strict_uvt": lambda s, d: _good(X.lines_bad(s, d), "uvt"),
@@ -117,6 +164,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "runtimes_csv": lambda s, d: P.runtimes_csv(X.experiments(s), X.experiment_runs(s, d), _SUITE),
     "power_by_run": lambda s, d: P.power_by_run(X.power_samples(s, d)),
     "power_log_table": _power_logs,
+    # streaming (run to completion with availableNow, read back from the sink)
+    "stream_passthrough": _stream_passthrough,
+    "stream_window_mean": _stream_window_mean,
+    "stream_outliers_5min": _stream_outliers,
+    "stream_outliers_60min": _stream_second_level,
     # JOB10 batch reductions on hourly slots
     "batch_sum": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "sum"),
     "batch_avg": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "average"),
@@ -273,7 +325,26 @@ def _json(*pairs: tuple[str, str]) -> str:
     return f"CAST(json_object({inner}) AS VARCHAR)"
 
 
+_MAXTS = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
+
 _SQL: dict[str, str] = {
+    "stream_passthrough": f"""WITH {_R} SELECT 'readings' AS routing_key,
+       printf('%s,%f,%d', urn, value, "timestamp") AS payload FROM r""",
+    "stream_window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp",
+       round(avg(value), 6) AS value FROM r GROUP BY urn, 2""",
+    "stream_outliers_5min": f"""WITH {_level1(_R, DAY)} SELECT * FROM l1
+WHERE "timestamp" + {DAY} <= {_MAXTS} - 300000""",
+    "stream_outliers_60min": f"""WITH {_level1(_R, 6 * HOUR, 'l1all')},
+l1 AS (SELECT * FROM l1all WHERE "timestamp" + {6 * HOUR} <= {_MAXTS} - 300000),
+c2 AS (SELECT *, {_pm('"timestamp"', 3 * DAY)} AS win2 FROM l1
+       WHERE {_pm('"timestamp"', 3 * DAY)} + {3 * DAY} <= (SELECT max("timestamp") FROM l1) - 300000),
+{_flag_ctes('c2', 'urn, win2', 'values_count', name='fv')},
+{_flag_ctes('c2', 'urn, win2', 'outliers_count', name='fo')}
+SELECT urn, win2 AS "timestamp", count(*) AS intervals,
+       count(*) FILTER (WHERE fv.is_outlier) AS outliers_on_values_count,
+       (SELECT count(*) FROM fo WHERE fo.urn = fv.urn AND fo.win2 = fv.win2 AND fo.is_outlier)
+         AS outliers_on_outliers_count
+FROM fv GROUP BY urn, win2""",
     "ingest_strict_uvt": f"WITH {_BAD} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM b WHERE reason IS NULL",
     "ingest_strict_rejects": f"WITH {_BAD} SELECT seq, reason FROM b WHERE reason IS NOT NULL",
     "ingest_strict_utv": f"WITH {_R} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM r",
