@@ -4,8 +4,10 @@ The per-cell table is always built with partial aggregation, so it is skew-proof
 join back to the readings is where one hot cell (say a third of all readings) would land
 in a single task under a plain shuffle join. Two shapes avoid that:
 
-* the cell table is small (row count checked against ``sensorlytics.broadcast.maxRows``):
+* the cell table is small (rows counted by an action × row width from the schema, checked
+  against ``sensorlytics.broadcast.maxBytes``, default ``spark.sql.autoBroadcastJoinThreshold``):
   broadcast hash join, the readings are never shuffled;
+* no cell holds more than ``rowsPerTask`` readings: a plain shuffle join is balanced;
 * otherwise a shuffle join on ``(cell, salt)``: cells with more than ``rowsPerTask``
   readings are fanned out over ``ceil(n / rowsPerTask)`` salts. The list of hot cells
   is itself bounded by ``total / rowsPerTask`` rows (rowsPerTask is raised until that
@@ -16,6 +18,7 @@ in a single task under a plain shuffle join. Two shapes avoid that:
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -25,29 +28,59 @@ from sensorlytics.plans import tuning
 from sensorlytics.session import ensure_checkpoint_dir
 
 
-def freeze(df: DataFrame) -> DataFrame:
-    """Materialise a table that several actions read (checkpoint by default)."""
+def freeze(df: DataFrame, adaptive: bool = True) -> DataFrame:
+    """Materialise a table that several actions read (reliable checkpoint by default).
+
+    ``adaptive=False`` runs the materialising action with AQE off: for a range-partitioned
+    input AQE re-plans the exchange and samples the input a second time, while a fixed
+    partition count leaves it nothing to adapt.
+    """
     spark = df.sparkSession
     if tuning.get_str(spark, tuning.FREEZE_MODE) == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        with _adaptive(spark, adaptive):
+            out.count()
+        return out
     ensure_checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+    with _adaptive(spark, adaptive):
+        return df.checkpoint(eager=True)
+
+
+@contextmanager
+def _adaptive(spark, enabled: bool):
+    key = "spark.sql.adaptive.enabled"
+    if enabled:
+        yield
+        return
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
 
 def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str = "n",
            salt_cols: list[str] | None = None) -> DataFrame:
     """Inner-join ``table`` (unique on ``keys``, with a reading count ``count_col``) to ``rows``.
 
-    ``table`` should be frozen (:func:`freeze`): its size is checked with an action.
+    ``table`` should be frozen (:func:`freeze`): one small action reads its row count,
+    total and largest cell.
     """
     spark = rows.sparkSession
-    max_rows = tuning.get_int(spark, tuning.MAX_BROADCAST_ROWS)
-    n_cells = table.count()
-    if n_cells <= max_rows:
+    limit = tuning.broadcast_limit(spark)
+    n_cells, total, biggest = table.agg(F.count(F.lit(1)), F.sum(count_col), F.max(count_col)).first()
+    total, biggest = total or 0, biggest or 0
+    if limit > 0 and n_cells * tuning.row_bytes(table.schema) <= limit:
         return rows.join(F.broadcast(table), keys, "inner")
 
-    total = table.agg(F.sum(count_col)).first()[0] or 0
-    per_task = max(tuning.get_int(spark, tuning.ROWS_PER_TASK), math.ceil(total / max(max_rows, 1)), 1)
+    hot_row = tuning.row_bytes(table.select(*keys).schema) + 8
+    max_hot = max(limit // hot_row, 1)
+    per_task = max(tuning.get_int(spark, tuning.ROWS_PER_TASK), math.ceil(total / max_hot), 1)
+    if biggest <= per_task:
+        # no cell exceeds one task's share: a plain shuffle join is balanced
+        return rows.join(table, keys, "inner")
+    # at most total / per_task <= max_hot cells qualify, so this broadcast is bounded
     hot = (table.where(F.col(count_col) > per_task)
            .select(*keys, F.ceil(F.col(count_col) / F.lit(per_task)).cast("int").alias("_fan")))
     fan = F.coalesce(F.col("_fan"), F.lit(1))

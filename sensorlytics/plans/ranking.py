@@ -36,7 +36,7 @@ def rank_in_cells(rows: DataFrame, keys: list[str], order: list[str],
     tagged = (rows.repartitionByRange(p, *sort_cols)
               .sortWithinPartitions(*sort_cols)
               .withColumn("_mid", F.monotonically_increasing_id()))
-    tagged = freeze(tagged)
+    tagged = freeze(tagged, adaptive=False)
     tagged = tagged.select("*", F.shiftright("_mid", 33).alias("_pid"),
                            F.col("_mid").bitwiseAND(F.lit(_LOW_BITS)).alias("_pos"))
     parts = (tagged.groupBy("_pid", *keys)
@@ -46,9 +46,11 @@ def rank_in_cells(rows: DataFrame, keys: list[str], order: list[str],
     parts = parts.select("_pid", *keys, "_first",
                          F.coalesce(F.sum("_np").over(running), F.lit(0)).alias("_before"),
                          F.sum("_np").over(by_cell).alias("n"))
-    max_rows = tuning.get_int(spark, tuning.MAX_BROADCAST_ROWS)
     parts = freeze(parts)
-    side = F.broadcast(parts) if parts.count() <= max_rows else parts
+    small = parts.count() * tuning.row_bytes(parts.schema) <= tuning.broadcast_limit(spark)
+    # (partition, cell) keys are balanced by construction, so the non-broadcast case is a
+    # plain shuffle join
+    side = F.broadcast(parts) if small else parts
     out = tagged.join(side, ["_pid", *keys], "inner")
     return out.withColumn("rn", F.col("_before") + F.col("_pos") - F.col("_first") + 1) \
               .drop("_mid", "_pid", "_pos", "_first", "_before")

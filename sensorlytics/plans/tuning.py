@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Largest cell table (rows) shipped to every executor as a broadcast. At ~64 bytes per
-# cell-statistics row this is ~128 MB; above it the salted shuffle join is used.
-MAX_BROADCAST_ROWS = ("sensorlytics.broadcast.maxRows", 2_000_000)
+# Largest cell table shipped to every executor as a broadcast, as estimated bytes
+# (rows counted by an action × row width from the schema). Defaults to Spark's own
+# spark.sql.autoBroadcastJoinThreshold; above it a shuffle join is used.
+MAX_BROADCAST_BYTES = ("sensorlytics.broadcast.maxBytes", None)
 # Target number of readings of one cell handled by one join task; hotter cells are salted.
 ROWS_PER_TASK = ("sensorlytics.skew.rowsPerTask", 2_000_000)
 # How intermediate tables that feed several actions are frozen: "checkpoint" (reliable,
@@ -14,6 +15,29 @@ ROWS_PER_TASK = ("sensorlytics.skew.rowsPerTask", 2_000_000)
 FREEZE_MODE = ("sensorlytics.freeze", "checkpoint")
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    key, _ = MAX_BROADCAST_BYTES
+    v = spark.conf.get(key, None) or spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    v = str(v).strip().lower()
+    mult = {"b": 1, "k": 1024, "kb": 1024, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(mult, key=len, reverse=True):
+        if v.endswith(suffix) and v[: -len(suffix)].strip().lstrip("-").isdigit():
+            return int(v[: -len(suffix)]) * mult[suffix]
+    return int(v)
+
+
+def row_bytes(schema) -> int:
+    """Estimated in-memory width of a row (Spark's default type sizes; strings count 20),
+    plus a per-row overhead of 16 bytes."""
+    widths = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "float": 4, "date": 4,
+              "long": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8, "string": 20, "binary": 100}
+    total = 16
+    for f in schema.fields:
+        name = f.dataType.typeName()
+        total += widths.get(name, 16 if name == "decimal" else 32)
+    return total
+
+
 def get_int(spark: SparkSession, setting: tuple[str, int]) -> int:
     key, default = setting
     return int(spark.conf.get(key, str(default)))

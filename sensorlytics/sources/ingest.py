@@ -17,11 +17,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Delimiter patterns of the strict and lenient parsers.
+# The field delimiters. Strict: "," or ";" followed by optional spaces.
+# Lenient: "," only. Both drop trailing empty fields (Java split semantics).
 STRICT_DELIMITER = r"(,|;)\s*"
-STRICT_TRAILING = r"((,|;)\s*)+$"
 LENIENT_DELIMITER = ","
-LENIENT_TRAILING = r",+$"
+# One anchored match per line (instead of split + clean-up): exactly three fields, the
+# third non-empty, then only delimiters. \s*+ is possessive so spaces after a delimiter
+# can never form a field of their own (split consumes them with the delimiter).
+STRICT_LINE = r"^([^,;]*)[,;]\s*+([^,;]*)[,;]\s*+([^,;]+)(?:[,;]\s*+)*$"
+# Lenient: at least three fields once trailing empty ones are dropped; extra ones ignored.
+LENIENT_LINE = r"^([^,]*),([^,]*),(?=,*[^,])([^,]*)"
 
 READING_CSV_SCHEMA = "urn STRING, timestamp BIGINT, value DOUBLE"
 COUNTS_JSON_SCHEMA = ("urn STRING, timestamp BIGINT, valuesCount BIGINT, outliersCount BIGINT, "
@@ -32,12 +37,6 @@ def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
-def _split_fields(line: Column, strict: bool) -> Column:
-    if strict:
-        return F.split(F.regexp_replace(line, STRICT_TRAILING, ""), STRICT_DELIMITER, -1)
-    return F.split(F.regexp_replace(line, LENIENT_TRAILING, ""), LENIENT_DELIMITER, -1)
-
-
 def parse_readings(lines: DataFrame, order: str, strict: bool = True, mode: str = "quarantine",
                    line_col: str = "line") -> tuple[DataFrame, DataFrame]:
     """Parse text lines into ``(urn, value, timestamp)``; returns ``(good, rejects)``.
@@ -51,34 +50,32 @@ def parse_readings(lines: DataFrame, order: str, strict: bool = True, mode: str
     if mode not in ("quarantine", "failfast"):
         raise ValueError("mode must be 'quarantine' or 'failfast'")
     extra = [c for c in lines.columns if c != line_col]
-    tok = _split_fields(F.col(line_col), strict)
-    vi, ti = (1, 2) if order == "uvt" else (2, 1)
-    n = F.size("_tok")
-    v = F.expr(f"try_cast(get(_tok, {vi}) AS DOUBLE)")
-    t = F.expr(f"try_cast(get(_tok, {ti}) AS BIGINT)")
+    pattern = STRICT_LINE if strict else LENIENT_LINE
+    line = F.col(line_col)
+    vi, ti = (2, 3) if order == "uvt" else (3, 2)
+    matched = line.rlike(pattern)
+    v = F.regexp_extract(line, pattern, vi).try_cast("double")
+    t = F.regexp_extract(line, pattern, ti).try_cast("long")
     if strict:
-        reason = (F.when(n != 3, F.lit("field_count"))
+        reason = (F.when(~matched, F.lit("field_count"))
                   .when(v.isNull(), F.lit("bad_value"))
                   .when(~_finite(v), F.lit("non_finite_value"))
                   .when(t.isNull(), F.lit("bad_timestamp")))
         value, ts = v, t
     else:
-        reason = F.when(n < 3, F.lit("field_count"))
+        reason = F.when(~matched, F.lit("field_count"))
         value = F.when(_finite(v), v).otherwise(F.lit(0.0))
         ts = F.coalesce(t, F.lit(0).cast("long"))
-    staged = lines.select(*extra, F.col(line_col), tok.alias("_tok")).select(
-        *extra, F.col(line_col), F.get(F.col("_tok"), 0).alias("_urn"), value.alias("_value"),
-        ts.alias("_ts"), reason.alias("_reason"))
-    ok = F.col("_reason").isNull()
+    urn = F.regexp_extract(line, pattern, 1)
+    ok = reason.isNull()
     if mode == "failfast":
-        guard = F.when(ok, F.col("_urn")).otherwise(
-            F.raise_error(F.concat(F.lit("malformed reading ("), F.col("_reason"), F.lit("): "), F.col(line_col))))
-        good = staged.select(*extra, guard.alias("urn"), F.col("_value").alias("value"), F.col("_ts").alias("timestamp"))
-        rejects = staged.where(F.lit(False)).select(*extra, F.col(line_col), F.col("_reason").alias("reason"))
+        guard = F.when(ok, urn).otherwise(
+            F.raise_error(F.concat(F.lit("malformed reading ("), reason, F.lit("): "), line)))
+        good = lines.select(*extra, guard.alias("urn"), value.alias("value"), ts.alias("timestamp"))
+        rejects = lines.where(F.lit(False)).select(*extra, line, F.lit(None).cast("string").alias("reason"))
         return good, rejects
-    good = staged.where(ok).select(*extra, F.col("_urn").alias("urn"), F.col("_value").alias("value"),
-                                   F.col("_ts").alias("timestamp"))
-    rejects = staged.where(~ok).select(*extra, F.col(line_col), F.col("_reason").alias("reason"))
+    good = lines.where(ok).select(*extra, urn.alias("urn"), value.alias("value"), ts.alias("timestamp"))
+    rejects = lines.where(~ok).select(*extra, line, reason.alias("reason"))
     return good, rejects
 
 
