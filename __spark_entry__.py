@@ -33,8 +33,11 @@ HOUR = 3_600_000
 
 
 def _r6(df: DataFrame) -> DataFrame:
-    cols = [F.round(F.col(f.name), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
-            for f in df.schema.fields]
+    """Round doubles to 6 decimals through 9 (HALF_UP on decimals), so a one-ulp difference
+    in a sum cannot land on different sides of a 6-decimal tie. The SQL side does the same
+    with ``round(CAST(x AS DECIMAL(38, 9)), 6)`` (see :func:`_canon`)."""
+    cols = [F.round(F.round(F.col(f.name), 9), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+            else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 
 
@@ -462,5 +465,35 @@ FROM fv GROUP BY urn, win2""",
 }
 
 
+def _canon(sql: str) -> str:
+    """Rewrite every ``round(expr, 6)`` as ``CAST(round(CAST(expr AS DECIMAL(38, 9)), 6) AS DOUBLE)``."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = sql[j + 6:k]
+        head, sep, digits = inner.rpartition(",")
+        if sep and digits.strip() == "6":
+            out.append(sql[i:j] + f"CAST(round(CAST({_canon(head)} AS DECIMAL(38, 9)), 6) AS DOUBLE)")
+        else:
+            out.append(sql[i:j] + "round(" + _canon(inner) + ")")
+        i = k + 1
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {k: _canon(v) for k, v in _SQL.items()}

@@ -79,7 +79,7 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str =
     per_task = max(tuning.get_int(spark, tuning.ROWS_PER_TASK), math.ceil(total / max_hot), 1)
     if biggest <= per_task:
         # no cell exceeds one task's share: a plain shuffle join is balanced
-        return rows.join(table, keys, "inner")
+        return rows.join(table.hint("merge"), keys, "inner")
     # at most total / per_task <= max_hot cells qualify, so this broadcast is bounded
     hot = (table.where(F.col(count_col) > per_task)
            .select(*keys, F.ceil(F.col(count_col) / F.lit(per_task)).cast("int").alias("_fan")))
@@ -89,4 +89,4 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str =
                    .withColumn("_salt", F.pmod(salt_src, fan).cast("int")).drop("_fan"))
     salted_table = (table.join(F.broadcast(hot), keys, "left")
                     .withColumn("_salt", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_fan"))
-    return salted_rows.join(salted_table, keys + ["_salt"], "inner").drop("_salt")
+    return salted_rows.join(salted_table.hint("merge"), keys + ["_salt"], "inner").drop("_salt")

@@ -50,7 +50,7 @@ def rank_in_cells(rows: DataFrame, keys: list[str], order: list[str],
     small = parts.count() * tuning.row_bytes(parts.schema) <= tuning.broadcast_limit(spark)
     # (partition, cell) keys are balanced by construction, so the non-broadcast case is a
     # plain shuffle join
-    side = F.broadcast(parts) if small else parts
+    side = F.broadcast(parts) if small else parts.hint("merge")
     out = tagged.join(side, ["_pid", *keys], "inner")
     return out.withColumn("rn", F.col("_before") + F.col("_pos") - F.col("_first") + 1) \
               .drop("_mid", "_pid", "_pos", "_first", "_before")
