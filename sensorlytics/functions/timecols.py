@@ -47,10 +47,12 @@ def epoch_ms(col: str | Column) -> Column:
 
 
 def ntz_epoch_ms(col: str | Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ column taken as UTC wall clock (zone-free)."""
+    """Epoch milliseconds of a TIMESTAMP_NTZ column taken as UTC wall clock (zone-free).
+
+    Floor division in long arithmetic (exact, also before 1970)."""
     c = F.col(col) if isinstance(col, str) else col
     us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
-    return F.floor(us / 1000).cast("long")
+    return F.call_function("div", us - F.pmod(us, F.lit(1000)), F.lit(1000))
 
 
 def millis_to_time(ms: str | Column) -> Column:
@@ -76,6 +78,6 @@ def slot_floor_ms(ts_ms: str | Column, minutes: int) -> Column:
     if minutes <= 0:
         raise ValueError("slot minutes must be positive")
     c = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
-    hour = c - F.pmod(c, F.lit(MS_PER_HOUR))
-    minute = F.floor(F.pmod(c, F.lit(MS_PER_HOUR)) / MS_PER_MINUTE)
-    return (hour + F.floor(minute / minutes) * (minutes * MS_PER_MINUTE)).cast("long")
+    into_hour = F.pmod(c, F.lit(MS_PER_HOUR))
+    minute = F.call_function("div", into_hour, F.lit(MS_PER_MINUTE))
+    return (c - into_hour + F.call_function("div", minute, F.lit(minutes)) * F.lit(minutes * MS_PER_MINUTE)).cast("long")
