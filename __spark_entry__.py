@@ -127,6 +127,13 @@ def _stream_window_mean(spark, d):
     return SS.read_latest(spark, out, ["urn", "timestamp"])
 
 
+def _stream_pairwise(spark, d, proc_width=None):
+    out = scratch_path(spark, "pairwise")
+    _run(SJ.start_pairwise_updates(SJ.reading_stream(spark, _stage(spark, d)), scratch_path(spark, "landing"), out,
+                                   scratch_path(spark, "ckpt"), "1 day", processing_time_width=proc_width))
+    return SS.read_latest(spark, out, ["urn", "win"]).select("urn", "timestamp", "value")
+
+
 def _stream_level1(spark, d, width):
     out = scratch_path(spark, "level1")
     _run(SJ.start_outlier_counts(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"),
@@ -172,6 +179,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_window_mean": _stream_window_mean,
     "stream_outliers_5min": _stream_outliers,
     "stream_outliers_60min": _stream_second_level,
+    "stream_pairwise_avg": _stream_pairwise,
+    "stream_proc_time_pairwise_avg": lambda s, d: _stream_pairwise(s, d, "10 seconds"),
     # JOB10 batch reductions on hourly slots
     "batch_sum": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "sum"),
     "batch_avg": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "average"),
@@ -335,6 +344,13 @@ _SQL: dict[str, str] = {
        printf('%s,%f,%d', urn, value, "timestamp") AS payload FROM r""",
     "stream_window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp",
        round(avg(value), 6) AS value FROM r GROUP BY urn, 2""",
+    "stream_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),
+k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
+SELECT urn, win AS "timestamp", round(sum(value * pow(0.5, least(n - 1, n - rn + 1))), 6) AS value
+FROM k GROUP BY urn, win""",
+    "stream_proc_time_pairwise_avg": f"""WITH {_R}, k AS ({_ranked('r', 'urn', '"timestamp", seq')})
+SELECT urn, min("timestamp") AS "timestamp", round(sum(value * pow(0.5, least(n - 1, n - rn + 1))), 6) AS value
+FROM k GROUP BY urn""",
     "stream_outliers_5min": f"""WITH {_level1(_R, DAY)} SELECT * FROM l1
 WHERE "timestamp" + {DAY} <= {_MAXTS} - 300000""",
     "stream_outliers_60min": f"""WITH {_level1(_R, 6 * HOUR, 'l1all')},

@@ -63,3 +63,18 @@ def test_late_reading_dropped_in_append_kept_in_update(spark):
     means = {x.timestamp: x.value for x in SS.read_latest(spark, out2, ["urn", "timestamp"]).collect()}
     assert means[0] == (sum(range(1, 10)) + 50 + 1000.0) / 11  # unlimited lateness: included
     assert means[DAY] == 1.5
+
+
+def test_pairwise_stream_refolds_late_cells(spark):
+    schema = "urn string, value double, timestamp long, seq long"
+    first = [("s", 1.0, 1000, 0), ("s", 2.0, 2000, 1), ("s", 8.0, DAY + 5000, 3)]
+    late = [("s", 4.0, 3000, 2)]                     # lands in the first window after it was folded
+    src = scratch_path(spark, "t-pw")
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(src)
+    time.sleep(1.1)
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").parquet(src)
+    out = scratch_path(spark, "t-pw-out")
+    run(SJ.start_pairwise_updates(SJ.reading_stream(spark, src, max_files_per_trigger=1), scratch_path(spark, "t-pw-l"),
+                                  out, scratch_path(spark, "t-pw-ck"), "1 day"))
+    got = {x.timestamp: x.value for x in SS.read_latest(spark, out, ["urn", "win"]).collect()}
+    assert got == {0: ((1.0 + 2.0) / 2 + 4.0) / 2, DAY: 8.0}
