@@ -114,12 +114,24 @@ def _run(stream_start):
 
 
 def _stream_passthrough(spark, d):
+    src = scratch_path(spark, "stream-lines")
+    X.lines(spark, d, "uvt").select("line").write.text(src)
+    payloads, _ = SJ.passthrough_lines(SJ.text_stream(spark, src), "uvt", strict=False)
     out = scratch_path(spark, "passthrough")
-    _run(SJ.start_to_table(SJ.passthrough(SJ.reading_stream(spark, _stage(spark, d))), out,
-                           scratch_path(spark, "ckpt")))
+    _run(SJ.start_to_table(payloads, out, scratch_path(spark, "ckpt")))
     return SS.read_table(spark, out)
 
 
+def _published_messages(spark, d):
+    out = scratch_path(spark, "messages")
+    lvl1 = J.outliers_level1(X.readings(spark, d), "6 hours")
+    msgs = (K.counts_payload(lvl1)
+            .unionByName(K.on_values_payload(J.outliers_on_values(lvl1, "3 days")))
+            .unionByName(K.on_outliers_payload(J.outliers_on_outliers(lvl1, "3 days"))))
+    K.write_messages(msgs, out)
+    return spark.read.text(out).select("routing_key", F.col("value").alias("payload"))
+
+
 def _stream_window_mean(spark, d):
     out = scratch_path(spark, "window-mean")
     _run(SJ.start_to_table(SJ.window_mean_updates(SJ.reading_stream(spark, _stage(spark, d)), "5 minutes"), out,
@@ -166,6 +178,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_on_outliers_json": lambda s, d: K.on_outliers_payload(
         J.outliers_on_outliers(_level1_6h(s, d), "3 days")),
     "publish_reading_csv": lambda s, d: K.reading_csv_payload(X.readings(s, d)),
+    "publish_messages": _published_messages,
     "export_counts_csv": _export_roundtrip,
     # reports
     "runtimes_summary": lambda s, d: P.runtimes_summary(X.experiments(s), X.experiment_runs(s, d), _SUITE),
@@ -341,7 +354,23 @@ _MAXTS = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
 
 _SQL: dict[str, str] = {
     "stream_passthrough": f"""WITH {_R} SELECT 'readings' AS routing_key,
-       printf('%s,%f,%d', urn, value, "timestamp") AS payload FROM r""",
+       printf('%s,%f,%d', urn, value, "timestamp") AS payload FROM r WHERE seq % 97 <> 0""",
+    "publish_messages": f"""WITH {_level1(_R, 6 * HOUR)},
+c2 AS (SELECT *, {_pm('"timestamp"', 3 * DAY)} AS win2 FROM l1),
+{_flag_ctes('c2', 'urn, win2', 'values_count', name='fv')},
+{_flag_ctes('c2', 'urn, win2', 'outliers_count', name='fo')},
+v AS (SELECT urn, win2 AS "timestamp", count(*) AS values_count,
+             count(*) FILTER (WHERE is_outlier) AS outliers_on_values_count FROM fv GROUP BY urn, win2),
+o AS (SELECT urn, win2 AS "timestamp", count(*) AS outliers_count,
+             count(*) FILTER (WHERE is_outlier) AS outliers_on_outliers_count FROM fo GROUP BY urn, win2)
+SELECT '5min' AS routing_key, {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('valuesCount', 'values_count'),
+                                      ('outliersCount', 'outliers_count'))} AS payload FROM l1
+UNION ALL
+SELECT 'v60min', {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('valuesCount', 'values_count'),
+                         ('outliersOnValuesCount', 'outliers_on_values_count'))} FROM v
+UNION ALL
+SELECT 'o60min', {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('outliersCount', 'outliers_count'),
+                         ('outliersOnOutliersCount', 'outliers_on_outliers_count'))} FROM o""",
     "stream_window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp",
        round(avg(value), 6) AS value FROM r GROUP BY urn, 2""",
     "stream_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),

@@ -40,15 +40,32 @@ def reading_stream(spark: SparkSession, path: str, max_files_per_trigger: int |
     return r.parquet(path)
 
 
+def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Text messages (one reading per line) landing in ``path`` as a stream: column ``line``."""
+    r = spark.readStream
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.text(path).withColumnRenamed("value", "line")
+
+
 def with_event_time(readings: DataFrame) -> DataFrame:
     return readings.withColumn("event_time", F.timestamp_millis("timestamp"))
 
 
 def passthrough(readings: DataFrame) -> DataFrame:
-    """JOB6: every reading re-published as ``urn,value,timestamp`` text (no state)."""
+    """Every reading re-published as ``urn,value,timestamp`` text (no state)."""
     return reading_csv_payload(readings)
 
 
+def passthrough_lines(lines: DataFrame, order: str = "uvt", strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """JOB6: text messages → lenient parse → CSV payloads; returns ``(payloads, rejects)``.
+
+    Both outputs are stateless streams (parsing is a projection and a filter)."""
+    from sensorlytics.sources.ingest import parse_readings
+    good, rejects = parse_readings(lines, order, strict=strict)
+    return reading_csv_payload(good), rejects
+
+
 def window_mean_updates(readings: DataFrame, width: str | int = "5 minutes",
                         lateness: str = UNLIMITED_LATENESS) -> DataFrame:
     """JOB9: mean per (urn, window), for ``outputMode("update")``."""
