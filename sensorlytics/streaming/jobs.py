@@ -17,6 +17,9 @@ watermarks is ``timestamp_millis(timestamp)``.
 
 from __future__ import annotations
 
+import time
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -141,6 +144,16 @@ def _start(stream: DataFrame, fn, checkpoint: str, mode: str, available_now: boo
 
 
 
+def _batch_arrival_ms(spark: SparkSession, landing_path: str, batch_id: int) -> int:
+    marker = f"{landing_path.rstrip('/')}_arrivals/batch_id={batch_id}"
+    try:
+        return int(spark.read.parquet(marker).first()[0])
+    except Exception:  # first run of this batch: no marker yet
+        now = int(time.time() * 1000)
+        spark.createDataFrame([(now,)], "arrival_ms long").write.mode("overwrite").parquet(marker)
+        return int(spark.read.parquet(marker).first()[0])
+
+
 def start_pairwise_updates(readings: DataFrame, landing_path: str, out_path: str, checkpoint: str,
                            width: str | int = "5 minutes", processing_time_width: str | int | None = None,
                            available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
@@ -163,26 +176,32 @@ def start_pairwise_updates(readings: DataFrame, landing_path: str, out_path: str
             staged = batch.withColumn("win", window_start_ms("timestamp", width)).withColumn("arrival_ms", F.lit(0))
             order = ["timestamp", "seq"]
         else:
-            arrival = F.unix_millis(F.current_timestamp())
+            # one arrival time per micro-batch (current_timestamp() would be re-evaluated by
+            # every action below and could cross a window boundary between them), recorded
+            # so that a replay of the batch lands in the same windows
+            arrival = F.lit(_batch_arrival_ms(spark, landing_path, batch_id)).cast("long")
             staged = batch.withColumn("arrival_ms", arrival).withColumn(
                 "win", window_start_ms("arrival_ms", processing_time_width))
             order = ["arrival_ms", "timestamp", "seq"]
-        staged = staged.withColumn("batch_id", F.lit(batch_id))
-        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("win", "batch_id").parquet(landing_path))
-        touched = [r[0] for r in staged.select("win").distinct().collect()]  # windows, not readings
-        if not touched:
-            return
-        cells = (spark.read.parquet(landing_path).where(F.col("win").isin(touched))
-                 .join(staged.select("urn", "win").distinct(), ["urn", "win"], "left_semi"))
-        folded = pairwise_avg(cells, None, "value", ["urn", "win"], order)
-        if processing_time_width is not None:
-            first = cells.groupBy("urn", "win").agg(F.min("timestamp").alias("first_ts"))
-            folded = (folded.withColumnRenamed("timestamp", "win").join(first, ["urn", "win"])
-                      .select("urn", "win", F.col("first_ts").alias("timestamp"), "value"))
-        else:
-            folded = folded.select("urn", F.col("timestamp").alias("win"), "timestamp", "value")
-        folded.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        staged = staged.withColumn("batch_id", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("win", "batch_id").parquet(landing_path))
+            touched = [r[0] for r in staged.select("win").distinct().collect()]  # windows, not readings
+            if not touched:
+                return
+            cells = (spark.read.parquet(landing_path).where(F.col("win").isin(touched))
+                     .join(staged.select("urn", "win").distinct(), ["urn", "win"], "left_semi"))
+            folded = pairwise_avg(cells, None, "value", ["urn", "win"], order)
+            if processing_time_width is not None:
+                first = cells.groupBy("urn", "win").agg(F.min("timestamp").alias("first_ts"))
+                folded = (folded.withColumnRenamed("timestamp", "win").join(first, ["urn", "win"])
+                          .select("urn", "win", F.col("first_ts").alias("timestamp"), "value"))
+            else:
+                folded = folded.select("urn", F.col("timestamp").alias("win"), "timestamp", "value")
+            folded.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            staged.unpersist()
 
     w = readings.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
