@@ -10,23 +10,59 @@
 
 Quartile rule: ``iqr_keep_inside`` keeps ``q1 < value < q3`` with type-6 quartiles.
 
-Plan: cell statistics by partial aggregation, frozen, attached to the readings with a
-size-checked broadcast or a hot-cell-salted shuffle join (``plans.attach``).
+Plan: cell statistics by partial aggregation, frozen and probed once (``plans.attach``):
+a small table is broadcast; if some cell is hot, the statistics are attached with a
+hot-cell-salted shuffle join; otherwise (many cells, none above one task's share) the
+thresholds are window aggregates over the cell — one shuffle of the readings, no join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlytics.operators.cells import CELL, cell_stats
-from sensorlytics.plans.attach import attach, freeze
+from sensorlytics.operators.cells import CELL
+from sensorlytics.plans.attach import attach, freeze, probe
 from sensorlytics.plans.ranking import rank_in_cells
 
 
 def _with_bounds(rows: DataFrame, keys: list[str], value: str, k: float) -> DataFrame:
-    stats = freeze(cell_stats(rows, keys, value, k).select(*keys, "n", "lo", "hi"))
-    return attach(rows, stats, keys)
+    return _bounds_for(rows, keys, {"": value}, k)
+
+
+def _bounds_for(rows: DataFrame, keys: list[str], values: dict[str, str], k: float) -> DataFrame:
+    """``rows`` plus ``lo{sfx}`` / ``hi{sfx}`` thresholds for each ``{sfx: value column}``.
+
+    The cell statistics are a partial aggregate, frozen and probed once. A small table is
+    broadcast; a hot cell gets the salted join; otherwise (many cells, none larger than
+    one task's share) the thresholds are recomputed as window aggregates over the cell,
+    which needs one shuffle of the readings and no join.
+    """
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for sfx, value in values.items():
+        v = F.col(value)
+        aggs += [F.avg(v).alias(f"_a{sfx}"), F.stddev_samp(v).alias(f"_s{sfx}"),
+                 F.min(v).alias(f"_mn{sfx}"), F.max(v).alias(f"_mx{sfx}")]
+    raw = rows.groupBy(*keys).agg(*aggs)
+    stats = freeze(raw.select(*keys, "n", *[c for sfx in values for c in _guarded(sfx, k)]))
+    decided = probe(stats, keys)
+    if decided["shape"] != "shuffle":
+        return attach(rows, stats, keys, decided=decided)
+    w = Window.partitionBy(*keys)
+    over = rows
+    for sfx, value in values.items():
+        v = F.col(value)
+        over = (over.withColumn(f"_a{sfx}", F.avg(v).over(w)).withColumn(f"_s{sfx}", F.stddev_samp(v).over(w))
+                .withColumn(f"_mn{sfx}", F.min(v).over(w)).withColumn(f"_mx{sfx}", F.max(v).over(w)))
+    return over.select(*rows.columns, *[c for sfx in values for c in _guarded(sfx, k)])
+
+
+def _guarded(sfx: str, k: float) -> list[Column]:
+    """Guarded thresholds from raw aggregates ``_a, _s, _mn, _mx`` (constant-cell guard)."""
+    const = F.col(f"_mn{sfx}") == F.col(f"_mx{sfx}")
+    mean = F.when(const, F.col(f"_mn{sfx}")).otherwise(F.col(f"_a{sfx}"))
+    sd = F.when(const, F.lit(0.0)).otherwise(F.coalesce(F.col(f"_s{sfx}"), F.lit(0.0)))
+    return [(mean - F.lit(k) * sd).alias(f"lo{sfx}"), (mean + F.lit(k) * sd).alias(f"hi{sfx}")]
 
 
 def _outside(value: str) -> Column:
@@ -59,18 +95,9 @@ def std_removed(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k
 def std_flags(rows: DataFrame, flags: dict[str, str], keys: list[str] = CELL, k: float = 2.0) -> DataFrame:
     """Several 2-sigma flags at once (``{flag_column: value_column}``), one attach for all."""
     cols = rows.columns
-    aggs, bounds = [F.count(F.lit(1)).alias("n")], []
-    for i, (flag, value) in enumerate(flags.items()):
-        v = F.col(value)
-        aggs += [F.avg(v).alias(f"_a{i}"), F.stddev_samp(v).alias(f"_s{i}"),
-                 F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
-        const = F.col(f"_lo{i}") == F.col(f"_hi{i}")
-        mean = F.when(const, F.col(f"_lo{i}")).otherwise(F.col(f"_a{i}"))
-        sd = F.when(const, F.lit(0.0)).otherwise(F.coalesce(F.col(f"_s{i}"), F.lit(0.0)))
-        bounds += [(mean - F.lit(k) * sd).alias(f"_l{i}"), (mean + F.lit(k) * sd).alias(f"_h{i}")]
-    stats = freeze(rows.groupBy(*keys).agg(*aggs).select(*keys, "n", *bounds))
-    joined = attach(rows, stats, keys)
-    outs = [((F.col(value) < F.col(f"_l{i}")) | (F.col(value) > F.col(f"_h{i}"))).alias(flag)
+    sfx = {f"_{i}": value for i, value in enumerate(flags.values())}
+    joined = _bounds_for(rows, keys, sfx, k)
+    outs = [((F.col(value) < F.col(f"lo_{i}")) | (F.col(value) > F.col(f"hi_{i}"))).alias(flag)
             for i, (flag, value) in enumerate(flags.items())]
     return joined.select(*cols, *outs)
 

@@ -60,27 +60,45 @@ def _adaptive(spark, enabled: bool):
         spark.conf.set(key, old)
 
 
-def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str = "n",
-           salt_cols: list[str] | None = None) -> DataFrame:
-    """Inner-join ``table`` (unique on ``keys``, with a reading count ``count_col``) to ``rows``.
+def probe(table: DataFrame, keys: list[str], count_col: str = "n") -> dict:
+    """Decide the join shape for a frozen cell table with one small action.
 
-    ``table`` should be frozen (:func:`freeze`): one small action reads its row count,
-    total and largest cell.
+    Returns ``{"shape": "broadcast" | "shuffle" | "salted", "per_task": int}``:
+    ``shuffle`` means no cell holds more than ``per_task`` readings, so any plan that puts a
+    whole cell in one task is bounded by ``per_task`` rows.
     """
-    spark = rows.sparkSession
+    spark = table.sparkSession
     limit = tuning.broadcast_limit(spark)
     n_cells, total, biggest = table.agg(F.count(F.lit(1)), F.sum(count_col), F.max(count_col)).first()
     total, biggest = total or 0, biggest or 0
-    if limit > 0 and n_cells * tuning.row_bytes(table.schema) <= limit:
-        return rows.join(F.broadcast(table), keys, "inner")
-
-    hot_row = tuning.row_bytes(table.select(*keys).schema) + 8
+    hot_row = tuning.row_bytes(table.select(*keys).schema) + 8  # a hot-list row: keys + fan
     max_hot = max(limit // hot_row, 1)
     per_task = max(tuning.get_int(spark, tuning.ROWS_PER_TASK), math.ceil(total / max_hot), 1)
-    if biggest <= per_task:
+    if limit > 0 and n_cells * tuning.row_bytes(table.schema) <= limit:
+        shape = "broadcast"
+    elif biggest <= per_task:
+        shape = "shuffle"
+    else:
+        shape = "salted"
+    return {"shape": shape, "per_task": per_task}
+
+
+def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str = "n",
+           salt_cols: list[str] | None = None, decided: dict | None = None) -> DataFrame:
+    """Inner-join ``table`` (unique on ``keys``, with a reading count ``count_col``) to ``rows``.
+
+    ``table`` should be frozen (:func:`freeze`): :func:`probe` reads its row count, total
+    and largest cell with one small action.
+    """
+    d = decided or probe(table, keys, count_col)
+    if d["shape"] == "broadcast":
+        return rows.join(F.broadcast(table), keys, "inner")
+    if d["shape"] == "shuffle":
         # no cell exceeds one task's share: a plain shuffle join is balanced
         return rows.join(table.hint("merge"), keys, "inner")
-    # at most total / per_task <= max_hot cells qualify, so this broadcast is bounded
+    per_task = d["per_task"]
+    # at most total / per_task cells qualify (per_task was raised until that many fit the
+    # broadcast limit), so this broadcast is bounded
     hot = (table.where(F.col(count_col) > per_task)
            .select(*keys, F.ceil(F.col(count_col) / F.lit(per_task)).cast("int").alias("_fan")))
     fan = F.coalesce(F.col("_fan"), F.lit(1))
