@@ -63,9 +63,9 @@ def _adaptive(spark, enabled: bool):
 def probe(table: DataFrame, keys: list[str], count_col: str = "n") -> dict:
     """Decide the join shape for a frozen cell table with one small action.
 
-    Returns ``{"shape": "broadcast" | "shuffle" | "salted", "per_task": int}``:
-    ``shuffle`` means no cell holds more than ``per_task`` readings, so any plan that puts a
-    whole cell in one task is bounded by ``per_task`` rows.
+    Returns ``{"shape": "broadcast" | "shuffle" | "salted", "per_task": int, "bounded": bool}``:
+    ``bounded`` (always true for ``shuffle``) means no cell holds more than ``per_task``
+    readings, so any plan that puts a whole cell in one task is bounded by ``per_task`` rows.
     """
     spark = table.sparkSession
     limit = tuning.broadcast_limit(spark)
@@ -80,7 +80,7 @@ def probe(table: DataFrame, keys: list[str], count_col: str = "n") -> dict:
         shape = "shuffle"
     else:
         shape = "salted"
-    return {"shape": shape, "per_task": per_task}
+    return {"shape": shape, "per_task": per_task, "bounded": biggest <= per_task}
 
 
 def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str = "n",

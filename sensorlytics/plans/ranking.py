@@ -14,6 +14,10 @@ cell then serialises the job. Instead:
 4. join the offsets back on (partition, cell): balanced, as no partition holds more
    than its share of rows.
 
+When one aggregate over the cell sizes proves that no cell exceeds one task's share
+(``plans.attach.probe``), ``row_number`` over the cell is bounded and cheaper (one shuffle
+and sort, nothing frozen), and is used instead.
+
 Returns the rows with ``rn`` (1-based rank in the cell) and ``n`` (cell size).
 """
 
@@ -23,13 +27,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlytics.plans import tuning
-from sensorlytics.plans.attach import freeze
+from sensorlytics.plans.attach import freeze, probe
 
 _LOW_BITS = (1 << 33) - 1
 
 
 def rank_in_cells(rows: DataFrame, keys: list[str], order: list[str],
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None, force_range: bool = False) -> DataFrame:
+    spark = rows.sparkSession
+    if not force_range:
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        if probe(sizes, keys)["bounded"]:
+            w = Window.partitionBy(*keys)
+            return rows.select("*", F.row_number().over(w.orderBy(*order)).alias("rn"),
+                               F.count(F.lit(1)).over(w).alias("n"))
+    return _rank_by_range(rows, keys, order, partitions)
+
+
+def _rank_by_range(rows: DataFrame, keys: list[str], order: list[str], partitions: int | None) -> DataFrame:
     spark = rows.sparkSession
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [*keys, *order]

@@ -57,16 +57,27 @@ def test_flags_every_join_shape(spark, conf, shape):
     assert as_set(got, "seq", "f") == want
 
 
-def test_rank_in_cells_hot(spark):
+@pytest.mark.parametrize("force_range", [True, False])
+def test_rank_in_cells_hot(spark, conf, force_range):
     df = hot_readings(spark)
     w = Window.partitionBy(*CELL).orderBy("timestamp", "seq")
     want = as_set(df.select("seq", F.row_number().over(w).alias("rn"),
                             F.count("*").over(Window.partitionBy(*CELL)).alias("n")), "seq", "rn", "n")
-    got = rank_in_cells(df.select(*CELL, "timestamp", "seq"), CELL, ["timestamp", "seq"], partitions=16)
+    conf("sensorlytics.skew.rowsPerTask", "40")      # hot cells exist: the range path is chosen
+    got = rank_in_cells(df.select(*CELL, "timestamp", "seq"), CELL, ["timestamp", "seq"], partitions=16,
+                        force_range=force_range)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "RDD" in plan  # frozen range-sorted rows, not a Window over the cell
     assert as_set(got, "seq", "rn", "n") == want
 
 
-@pytest.mark.parametrize("shape", ["broadcast", "salted"])
+def test_rank_in_cells_bounded_uses_window(spark):
+    df = hot_readings(spark)
+    got = rank_in_cells(df.select(*CELL, "timestamp", "seq"), CELL, ["timestamp", "seq"])
+    assert "Window" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("shape", ["broadcast", "shuffle", "salted"])
 def test_iqr_and_pairwise_hot(spark, conf, shape):
     df = hot_readings(spark)
     for k, v in SHAPES[shape].items():
