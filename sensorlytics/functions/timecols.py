@@ -40,12 +40,6 @@ def spark_interval(width: str | int) -> str:
     return f"{width_ms(width)} milliseconds"
 
 
-def epoch_ms(col: str | Column) -> Column:
-    """Epoch milliseconds of a TIMESTAMP (instant) column, truncated."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.unix_millis(c)
-
-
 def ntz_epoch_ms(col: str | Column) -> Column:
     """Epoch milliseconds of a TIMESTAMP_NTZ column taken as UTC wall clock (zone-free).
 
@@ -55,12 +49,6 @@ def ntz_epoch_ms(col: str | Column) -> Column:
     return F.call_function("div", us - F.pmod(us, F.lit(1000)), F.lit(1000))
 
 
-def millis_to_time(ms: str | Column) -> Column:
-    """Epoch ms → TIMESTAMP instant (for watermarks and streaming windows)."""
-    c = F.col(ms) if isinstance(ms, str) else ms
-    return F.timestamp_millis(c)
-
-
 def window_start_ms(ts_ms: str | Column, width: str | int) -> Column:
     """Start of the epoch-aligned tumbling window holding ``ts_ms``."""
     c = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms

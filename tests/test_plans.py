@@ -43,6 +43,8 @@ def test_small_cell_table_is_broadcast(spark):
     p = plan(J.outliers_level1(X.readings(spark, SF001), "1 day"))
     assert "BroadcastHashJoin" in p
     assert "SortMergeJoin" not in p
+    # JOB1: the readings are shuffled once, by the final count per cell
+    assert p.count("Exchange hashpartitioning") == 1
 
 
 def test_no_python_in_plans(spark):
