@@ -35,7 +35,7 @@ HOUR = 3_600_000
 def _r6(df: DataFrame) -> DataFrame:
     """Round doubles to 6 decimals through 9 (HALF_UP on decimals), so a one-ulp difference
     in a sum cannot land on different sides of a 6-decimal tie. The SQL side does the same
-    with ``round(CAST(x AS DECIMAL(38, 9)), 6)`` (see :func:`_canon`)."""
+    with ``CAST(round(CAST(x AS DECIMAL(38, 9)), 6) AS DOUBLE)``."""
     cols = [F.round(F.round(F.col(f.name), 9), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
@@ -289,9 +289,9 @@ c2 AS (SELECT *, {_pm('"timestamp"', 3 * DAY)} AS win2 FROM l1),
 
 
 def _summary_sql(src: str, width: int) -> str:
-    return f"""SELECT urn, {_pm('"timestamp"', width)} AS start, round(sum(value) / count(value), 6) AS average,
-       round(min(value), 6) AS "min", round(max(value), 6) AS "max", count(value) AS "count",
-       round(sum(value), 6) AS "sum" FROM {src} GROUP BY urn, start"""
+    return f"""SELECT urn, {_pm('"timestamp"', width)} AS start, CAST(round(CAST(sum(value) / count(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS average,
+       CAST(round(CAST(min(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "min", CAST(round(CAST(max(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "max", count(value) AS "count",
+       CAST(round(CAST(sum(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "sum" FROM {src} GROUP BY urn, start"""
 
 
 def _slot_red(readings_cte: str, minutes: int) -> str:
@@ -372,13 +372,13 @@ UNION ALL
 SELECT 'o60min', {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('outliersCount', 'outliers_count'),
                          ('outliersOnOutliersCount', 'outliers_on_outliers_count'))} FROM o""",
     "stream_window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp",
-       round(avg(value), 6) AS value FROM r GROUP BY urn, 2""",
+       CAST(round(CAST(avg(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value FROM r GROUP BY urn, 2""",
     "stream_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),
 k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
-SELECT urn, win AS "timestamp", round(sum(value * pow(0.5, least(n - 1, n - rn + 1))), 6) AS value
+SELECT urn, win AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM k GROUP BY urn, win""",
     "stream_proc_time_pairwise_avg": f"""WITH {_R}, k AS ({_ranked('r', 'urn', '"timestamp", seq')})
-SELECT urn, min("timestamp") AS "timestamp", round(sum(value * pow(0.5, least(n - 1, n - rn + 1))), 6) AS value
+SELECT urn, min("timestamp") AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM k GROUP BY urn""",
     "stream_outliers_5min": f"""WITH {_level1(_R, DAY)} SELECT * FROM l1
 WHERE "timestamp" + {DAY} <= {_MAXTS} - 300000""",
@@ -393,13 +393,13 @@ SELECT urn, win2 AS "timestamp", count(*) AS intervals,
        (SELECT count(*) FROM fo WHERE fo.urn = fv.urn AND fo.win2 = fv.win2 AND fo.is_outlier)
          AS outliers_on_outliers_count
 FROM fv GROUP BY urn, win2""",
-    "ingest_strict_uvt": f"WITH {_BAD} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM b WHERE reason IS NULL",
+    "ingest_strict_uvt": f"WITH {_BAD} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM b WHERE reason IS NULL",
     "ingest_strict_rejects": f"WITH {_BAD} SELECT seq, reason FROM b WHERE reason IS NOT NULL",
-    "ingest_strict_utv": f"WITH {_R} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM r",
-    "ingest_trailing": f"WITH {_R} SELECT seq, urn, round(value, 6) AS value, \"timestamp\" FROM r",
-    "ingest_lenient": f"""WITH {_R} SELECT seq, urn, CASE WHEN seq % 101 = 0 THEN 0.0 ELSE round(value, 6) END AS value,
+    "ingest_strict_utv": f"WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
+    "ingest_trailing": f"WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
+    "ingest_lenient": f"""WITH {_R} SELECT seq, urn, CASE WHEN seq % 101 = 0 THEN 0.0 ELSE CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) END AS value,
        CASE WHEN seq % 103 = 0 THEN 0 ELSE "timestamp" END AS "timestamp" FROM r WHERE seq % 97 <> 0""",
-    "ingest_csv_typed": f"WITH {_R} SELECT urn, round(value, 6) AS value, \"timestamp\" FROM r",
+    "ingest_csv_typed": f"WITH {_R} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
     "ingest_counts_json": f"WITH {_level1(_R, DAY)} SELECT * FROM l1",
     "publish_counts_json": f"""WITH {_level1(_R, DAY)} SELECT '5min' AS routing_key,
        {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('valuesCount', 'values_count'),
@@ -430,56 +430,56 @@ FROM j GROUP BY suite, name ORDER BY name, suite""",
     "runtimes_csv": f"""WITH {_E} SELECT ltrim(regexp_replace(split_part(name, '-', 1), '[^0-9]', '', 'g'), '0') AS worker,
        ltrim(split_part(name, '-', 2), '0') AS task_slots, run, "time" AS runtime_ms
 FROM j WHERE suite = 'gb.scale-out' ORDER BY suite, name""",
-    "power_by_run": f"WITH {_POWER} SELECT run, nodes, round(total_avg_watts, 6) AS total_avg_watts FROM pr",
+    "power_by_run": f"WITH {_POWER} SELECT run, nodes, CAST(round(CAST(total_avg_watts AS DECIMAL(38, 9)), 6) AS DOUBLE) AS total_avg_watts FROM pr",
     "power_log_table": f"""WITH {_POWER}
 SELECT ltrim(CAST([1, 2, 4, 8, 16][((run - 1) % 15) // 3 + 1] AS VARCHAR), '0') AS worker,
        CAST([1, 2, 4][((run - 1) % 15) % 3 + 1] AS VARCHAR) AS task_slots,
-       CAST((run - 1) // 15 + 1 AS VARCHAR) AS run, round(total_avg_watts, 6) AS pdu_w FROM pr""",
-    "batch_sum": _slot_red(_R, 60) + ' SELECT urn, "timestamp", round(sm, 6) AS "sum" FROM s',
-    "batch_avg": _slot_red(_R, 60) + ' SELECT urn, "timestamp", round(av, 6) AS average FROM s',
-    "batch_min": _slot_red(_R_SIGNED, 60) + ' SELECT urn, "timestamp", round(least(0.0, mn), 6) AS min_seed0, '
-                                            'round(mn, 6) AS "min" FROM s',
-    "batch_max": _slot_red(_R_SIGNED, 60) + ' SELECT urn, "timestamp", round(greatest(0.0, mx), 6) AS max_seed0, '
-                                            'round(mx, 6) AS "max" FROM s',
-    "batch_reductions_parts": _slot_red(_R_PARTS, 60) + ''' SELECT urn, "timestamp", round(sm, 6) AS "sum",
-        round(av, 6) AS average, round(least(0.0, mn), 6) AS min_seed0, round(mn, 6) AS "min",
-        round(greatest(0.0, mx), 6) AS max_seed0, round(mx, 6) AS "max" FROM s''',
+       CAST((run - 1) // 15 + 1 AS VARCHAR) AS run, CAST(round(CAST(total_avg_watts AS DECIMAL(38, 9)), 6) AS DOUBLE) AS pdu_w FROM pr""",
+    "batch_sum": _slot_red(_R, 60) + ' SELECT urn, "timestamp", CAST(round(CAST(sm AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "sum" FROM s',
+    "batch_avg": _slot_red(_R, 60) + ' SELECT urn, "timestamp", CAST(round(CAST(av AS DECIMAL(38, 9)), 6) AS DOUBLE) AS average FROM s',
+    "batch_min": _slot_red(_R_SIGNED, 60) + ' SELECT urn, "timestamp", CAST(round(CAST(least(0.0, mn) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS min_seed0, '
+                                            'CAST(round(CAST(mn AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "min" FROM s',
+    "batch_max": _slot_red(_R_SIGNED, 60) + ' SELECT urn, "timestamp", CAST(round(CAST(greatest(0.0, mx) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS max_seed0, '
+                                            'CAST(round(CAST(mx AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "max" FROM s',
+    "batch_reductions_parts": _slot_red(_R_PARTS, 60) + ''' SELECT urn, "timestamp", CAST(round(CAST(sm AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "sum",
+        CAST(round(CAST(av AS DECIMAL(38, 9)), 6) AS DOUBLE) AS average, CAST(round(CAST(least(0.0, mn) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS min_seed0, CAST(round(CAST(mn AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "min",
+        CAST(round(CAST(greatest(0.0, mx) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS max_seed0, CAST(round(CAST(mx AS DECIMAL(38, 9)), 6) AS DOUBLE) AS "max" FROM s''',
     "batch_outlier_values": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", {_slot('"timestamp"', 60)} AS win FROM r),
 {_flag_ctes('c', 'urn, win', 'value')}
-SELECT urn, win AS slot, round(value, 6) AS value, "timestamp" FROM f WHERE is_outlier""",
+SELECT urn, win AS slot, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, "timestamp" FROM f WHERE is_outlier""",
     "batch_report": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", {_slot('"timestamp"', 60)} AS win FROM r),
 {_flag_ctes('c', 'urn, win', 'value')},
 g AS (SELECT count(*) AS n FROM (SELECT DISTINCT urn, win FROM c))
 SELECT reduction, n AS result_rows FROM g, (VALUES ('min'), ('max'), ('sum'), ('average')) t(reduction)
 UNION ALL SELECT 'outliers', count(*) FROM f WHERE is_outlier""",
-    "batch_group_mean": f"""WITH {_R} SELECT urn, {_slot('"timestamp"', 1)} AS "timestamp", round(avg(value), 6) AS value
+    "batch_group_mean": f"""WITH {_R} SELECT urn, {_slot('"timestamp"', 1)} AS "timestamp", CAST(round(CAST(avg(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM r GROUP BY urn, 2""",
     "distinct_counts": f"""WITH {_R}, c AS (SELECT urn, {_slot('"timestamp"', 1)} AS win FROM r)
 SELECT count(DISTINCT urn) AS urns, count(DISTINCT win) AS slots, count(DISTINCT (urn, win)) AS pairs FROM c""",
     "slot_floor": f"""WITH {_R} SELECT seq, urn, "timestamp", {_slot('"timestamp"', 7)} AS slot FROM r""",
     "window_summary": f"WITH {_R} " + _summary_sql("r", HOUR),
-    "window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp", round(avg(value), 6) AS value
+    "window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp", CAST(round(CAST(avg(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM r GROUP BY urn, 2""",
     "window_int_mean": f"""WITH {_R}, c AS (SELECT urn, value, {_pm('"timestamp"', HOUR)} AS win FROM r)
 SELECT urn, win AS "timestamp",
-       round(CAST(floor(least(sum(floor(value)), 2147483647) / count(*)) AS DOUBLE), 6) AS value
+       CAST(round(CAST(CAST(floor(least(sum(floor(value)), 2147483647) / count(*)) AS DOUBLE) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM c GROUP BY urn, win""",
     "pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),
 k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
-SELECT urn, win AS "timestamp", round(sum(value * pow(0.5, least(n - 1, n - rn + 1))), 6) AS value
+SELECT urn, win AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM k GROUP BY urn, win""",
     "proc_time_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', 10000)} AS win FROM r),
 k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
-SELECT urn, min("timestamp") AS "timestamp", round(sum(value * pow(0.5, least(n - 1, n - rn + 1))), 6) AS value
+SELECT urn, min("timestamp") AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM k GROUP BY urn, win""",
-    "std_flag": f"WITH {_STD_KEEP} SELECT urn, round(value, 6) AS value, \"timestamp\", seq, is_outlier FROM f",
-    "std_keep_inside": f"WITH {_STD_KEEP} SELECT urn, round(value, 6) AS value, \"timestamp\", seq FROM f "
+    "std_flag": f"WITH {_STD_KEEP} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\", seq, is_outlier FROM f",
+    "std_keep_inside": f"WITH {_STD_KEEP} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\", seq FROM f "
                        f"WHERE value > lo AND value < hi",
-    "std_remove_outliers": f"WITH {_STD_KEEP} SELECT urn, round(value, 6) AS value, \"timestamp\", seq FROM f "
+    "std_remove_outliers": f"WITH {_STD_KEEP} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\", seq FROM f "
                            f"WHERE NOT is_outlier",
-    "std_removed_log": f"WITH {_STD_KEEP} SELECT urn, round(value, 6) AS value, \"timestamp\", seq FROM f "
+    "std_removed_log": f"WITH {_STD_KEEP} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\", seq FROM f "
                        f"WHERE is_outlier",
-    "iqr_keep_inside": f"WITH {_IQR_CTES} SELECT urn, round(value, 6) AS value, \"timestamp\", seq FROM kept",
+    "iqr_keep_inside": f"WITH {_IQR_CTES} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\", seq FROM kept",
     "outliers_5min": f"WITH {_level1(_R, DAY)} SELECT * FROM l1",
     "outliers_by_user": f"WITH {_level1(_R_USER, 3 * DAY)} SELECT * FROM l1",
     "outliers_parts": f"WITH {_level1(_R_PARTS, 30 * DAY)} SELECT * FROM l1",
@@ -510,35 +510,5 @@ FROM fv GROUP BY urn, win2""",
 }
 
 
-def _canon(sql: str) -> str:
-    """Rewrite every ``round(expr, 6)`` as ``CAST(round(CAST(expr AS DECIMAL(38, 9)), 6) AS DOUBLE)``."""
-    out, i = [], 0
-    while True:
-        j = sql.find("round(", i)
-        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
-            if j < 0:
-                out.append(sql[i:])
-                return "".join(out)
-            out.append(sql[i:j + 6])
-            i = j + 6
-            continue
-        depth, k = 0, j + 5
-        while True:
-            if sql[k] == "(":
-                depth += 1
-            elif sql[k] == ")":
-                depth -= 1
-                if depth == 0:
-                    break
-            k += 1
-        inner = sql[j + 6:k]
-        head, sep, digits = inner.rpartition(",")
-        if sep and digits.strip() == "6":
-            out.append(sql[i:j] + f"CAST(round(CAST({_canon(head)} AS DECIMAL(38, 9)), 6) AS DOUBLE)")
-        else:
-            out.append(sql[i:j] + "round(" + _canon(inner) + ")")
-        i = k + 1
-
-
 def oracle_sql() -> dict[str, str]:
-    return {k: _canon(v) for k, v in _SQL.items()}
+    return dict(_SQL)
