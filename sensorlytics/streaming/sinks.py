@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +23,17 @@ def batch_writer(path: str, transform: Callable[[DataFrame], DataFrame] | None =
     """``foreachBatch`` function writing ``transform(micro_batch)`` to ``path/batch_id=N``."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        out = transform(df) if transform else df
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        target = f"{path.rstrip('/')}/batch_id={batch_id}"
+        if transform is None:
+            df.write.mode("overwrite").parquet(target)
+            return
+        # the transform runs several actions; compute the micro-batch (and its stateful
+        # part) once
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            transform(cached).write.mode("overwrite").parquet(target)
+        finally:
+            cached.unpersist()
 
     return write
 
