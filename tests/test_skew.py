@@ -108,3 +108,15 @@ def test_iqr_and_pairwise_hot(spark, conf, shape):
         for item in c.xs:
             acc = item.value if acc is None else (acc + item.value) / 2
         assert got[(c.urn, c.win)] == pytest.approx(acc, rel=1e-12)
+
+
+@pytest.mark.parametrize("shape", list(SHAPES))
+def test_multi_flags_every_shape(spark, conf, shape):
+    df = hot_readings(spark).withColumn("neg", -F.col("value") * 3)
+    want_v = as_set(brute_flags(df), "seq", "f")
+    want_n = as_set(brute_flags(df.withColumn("value", F.col("neg"))), "seq", "f")
+    for k, v in SHAPES[shape].items():
+        conf(k, v)
+    got = O.std_flags(df, {"fv": "value", "fn": "neg"})
+    assert as_set(got.select("seq", F.col("fv").alias("f")), "seq", "f") == want_v
+    assert as_set(got.select("seq", F.col("fn").alias("f")), "seq", "f") == want_n
