@@ -146,6 +146,13 @@ def _stream_pairwise(spark, d, proc_width=None):
     return SS.read_latest(spark, out, ["urn", "win"]).select("urn", "timestamp", "value")
 
 
+def _stream_closed(spark, d, transform):
+    out = scratch_path(spark, "closed")
+    _run(SJ.start_on_closed_windows(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"),
+                                    transform, "1 day"))
+    return SS.read_table(spark, out)
+
+
 def _stream_level1(spark, d, width):
     out = scratch_path(spark, "level1")
     _run(SJ.start_outlier_counts(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"),
@@ -193,6 +200,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_outliers_5min": _stream_outliers,
     "stream_outliers_60min": _stream_second_level,
     "stream_pairwise_avg": _stream_pairwise,
+    "stream_iqr_summary_raw_vs_clean": lambda s, d: _stream_closed(
+        s, d, lambda b: J.iqr_summary_raw_vs_clean(b, "1 day")),
+    "stream_std_summary_raw_vs_clean": lambda s, d: _stream_closed(
+        s, d, lambda b: J.std_summary_raw_vs_clean(b, "1 day")),
+    "stream_std_removed_summary": lambda s, d: _stream_closed(s, d, lambda b: J.std_removed_summary(b, "1 day")),
     "stream_proc_time_pairwise_avg": lambda s, d: _stream_pairwise(s, d, "10 seconds"),
     # JOB10 batch reductions on hourly slots
     "batch_sum": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "sum"),
@@ -373,6 +385,13 @@ SELECT 'o60min', {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('outliers
                          ('outliersOnOutliersCount', 'outliers_on_outliers_count'))} FROM o""",
     "stream_window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp",
        CAST(round(CAST(avg(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value FROM r GROUP BY urn, 2""",
+    "stream_iqr_summary_raw_vs_clean": f"""SELECT * FROM ({_raw_vs_clean(_IQR_CTES, "kept")})
+WHERE start + {DAY} <= {_MAXTS} - 300000""",
+    "stream_std_summary_raw_vs_clean": f"""SELECT * FROM ({_raw_vs_clean(
+        _STD_KEEP + ", kept AS (SELECT * FROM f WHERE value > lo AND value < hi)", "kept")})
+WHERE start + {DAY} <= {_MAXTS} - 300000""",
+    "stream_std_removed_summary": f"""SELECT * FROM (WITH {_STD_KEEP}, kept AS (SELECT * FROM f WHERE NOT is_outlier) {
+        _summary_sql("kept", DAY)}) WHERE start + {DAY} <= {_MAXTS} - 300000""",
     "stream_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),
 k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
 SELECT urn, win AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value

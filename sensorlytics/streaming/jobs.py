@@ -90,6 +90,18 @@ def _buffer_closed_windows(readings: DataFrame, width: str | int, delay: str, id
     return g.select("urn", *id_cols, F.unix_millis("w.start").alias("win"), *value_cols)
 
 
+def start_on_closed_windows(readings: DataFrame, out_path: str, checkpoint: str, transform,
+                            width: str | int = "5 minutes", delay: str = WATERMARK_DELAY,
+                            available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+    """Run a batch job on every window the watermark closes (JOB3, JOB4, JOB5 as streams).
+
+    ``transform`` receives the closed windows' readings ``(urn, value, timestamp, seq)`` —
+    whole cells — and returns the rows to append to ``out_path``."""
+    closed = _buffer_closed_windows(readings, width, delay, ["seq"], ["value", "timestamp"])
+    return _start(closed, batch_writer(out_path, lambda b: transform(b.drop("win"))), checkpoint, "append",
+                  available_now, processing_time)
+
+
 def start_outlier_counts(readings: DataFrame, out_path: str, checkpoint: str, width: str | int = "5 minutes",
                          delay: str = WATERMARK_DELAY, k: float = 2.0, available_now: bool = True,
                          processing_time: str | None = None) -> StreamingQuery:
