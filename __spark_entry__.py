@@ -225,6 +225,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "window_summary": lambda s, d: R.window_summary(X.readings(s, d), "60 minutes"),
     "window_mean": lambda s, d: R.window_mean(X.readings(s, d), "5 minutes"),
     "window_int_mean": lambda s, d: R.window_int_mean(X.readings(s, d), "60 minutes"),
+    "window_int_mean_signed": lambda s, d: R.window_int_mean(X.readings_signed(s, d), "60 minutes"),
     "pairwise_avg": lambda s, d: R.pairwise_avg(X.readings(s, d), "1 day"),
     "proc_time_pairwise_avg": lambda s, d: J.proc_time_pairwise_avg(
         X.readings(s, d).withColumn("arrival_ms", F.col("timestamp")), "arrival_ms", "10 seconds"),
@@ -483,6 +484,13 @@ FROM r GROUP BY urn, 2""",
 SELECT urn, win AS "timestamp",
        CAST(round(CAST(CAST(floor(least(sum(floor(value)), 2147483647) / count(*)) AS DOUBLE) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM c GROUP BY urn, win""",
+    "window_int_mean_signed": f"""WITH {_R_SIGNED}, c AS (SELECT urn, value, "timestamp", seq,
+       {_pm('"timestamp"', HOUR)} AS win FROM r),
+t AS (SELECT urn, win, count(*) AS n,
+             list_reduce(list_prepend(0.0, list(value ORDER BY "timestamp", seq)),
+                         lambda acc, x: least(greatest(trunc(acc + x), -2147483648.0), 2147483647.0)) AS total
+      FROM c GROUP BY urn, win)
+SELECT urn, win AS "timestamp", CAST(trunc(total / n) AS DOUBLE) AS value FROM t""",
     "pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),
 k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
 SELECT urn, win AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value

@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyspark import cloudpickle
+
+from sensorlytics.functions import intfold
 from sensorlytics.operators.cells import CELL, with_slot, with_window
+from sensorlytics.plans import tuning
 from sensorlytics.plans.ranking import rank_in_cells
 
 INT_MAX = 2**31 - 1
@@ -38,8 +42,10 @@ def window_int_mean(rows: DataFrame, width: str | int, value: str = "value") ->
     For a cell whose readings are all >= 0 the running sum only ever adds ``floor(v)``
     and saturates at 2^31-1; all <= 0 adds ``ceil(v)`` and saturates at -2^31. That closed
     form is one partial aggregate. A cell with mixed signs depends on the arrival order;
-    its answer is the ordered fold over (timestamp, seq), computed on the cell's sorted
-    readings (see :func:`_mixed_sign_int_mean`).
+    its answer is the ordered fold over (timestamp, seq): cells of at most
+    ``sensorlytics.skew.rowsPerTask`` readings fold a sorted array JVM-side; larger ones
+    stream their sorted readings through a carried accumulator (``functions.intfold``),
+    one task per such cell because the fold is sequential, but without holding the cell.
     """
     cells = with_window(rows, width)
     v = F.col(value)
@@ -53,20 +59,32 @@ def window_int_mean(rows: DataFrame, width: str | int, value: str = "value") ->
     q = F.when(acc >= 0, F.floor(acc / F.col("n"))).otherwise(-F.floor(-acc / F.col("n")))
     closed = agg.where(acc.isNotNull()).select("urn", F.col("win").alias("timestamp"),
                                                q.cast("double").alias("value"))
-    mixed_keys = agg.where(acc.isNull()).select("urn", "win")
-    mixed = _mixed_sign_int_mean(cells.join(mixed_keys, ["urn", "win"], "left_semi"), value)
-    return closed.unionByName(mixed)
+    limit = tuning.get_int(rows.sparkSession, tuning.ROWS_PER_TASK)
+    mixed = agg.where(acc.isNull())
+    small = mixed.where(F.col("n") <= limit).select("urn", "win")
+    large = mixed.where(F.col("n") > limit).select("urn", "win")
+    folded = _mixed_sign_int_mean(cells.join(small, ["urn", "win"], "left_semi"), value)
+    streamed = _streamed_int_mean(cells.join(large, ["urn", "win"], "left_semi"), value)
+    return closed.unionByName(folded).unionByName(streamed)
+
+
+def _streamed_int_mean(cells: DataFrame, value: str) -> DataFrame:
+    """Large mixed-sign cells: sequential fold over the time-sorted readings, streamed."""
+    # ship the small fold module with the function itself, so executors need no install
+    cloudpickle.register_pickle_by_value(intfold)
+    ordered = (cells.select("urn", "win", "timestamp", "seq", F.col(value).alias("value"))
+               .repartition("urn", "win").sortWithinPartitions("urn", "win", "timestamp", "seq"))
+    return ordered.mapInPandas(intfold.fold_sorted_cells, "urn string, timestamp long, value double")
 
 
 def _mixed_sign_int_mean(cells: DataFrame, value: str) -> DataFrame:
-    """Ordered truncating fold for mixed-sign cells.
+    """Ordered truncating fold for mixed-sign cells of at most ``rowsPerTask`` readings:
+    a time-sorted array per cell, folded with ``aggregate`` (JVM-side)."""
+    def step(acc, x):
+        t = acc + x.getField("v")
+        return (F.when(F.isnan(t), F.lit(0)).when(t >= F.lit(INT_MAX), F.lit(INT_MAX))
+                .when(t <= F.lit(INT_MIN), F.lit(INT_MIN)).otherwise(t.cast("long")).cast("long"))
 
-    The fold is inherently sequential (the rounding direction depends on the sign of the
-    running sum), so each such cell is folded in one task over its time-sorted readings.
-    """
-    step = lambda acc, x: F.when(acc + x.getField("v") > F.lit(INT_MAX), F.lit(INT_MAX)) \
-        .when(acc + x.getField("v") < F.lit(INT_MIN), F.lit(INT_MIN)) \
-        .otherwise((acc + x.getField("v")).cast("long")).cast("long")
     ordered = F.array_sort(F.collect_list(F.struct(F.col("timestamp").alias("t"), F.col("seq").alias("s"),
                                                    F.col(value).alias("v"))))
     g = cells.groupBy("urn", "win").agg(ordered.alias("xs"), F.count(F.lit(1)).alias("n"))

@@ -127,3 +127,13 @@ def test_multi_flags_match_single(spark):
     df = cell(spark, [0, 0, 0, 0, 0, 100]).withColumn("other", F.col("value") * -1)
     both = O.std_flags(df, {"a": "value", "b": "other"}).where("a AND b").count()
     assert both == 1
+
+
+def test_int_mean_streamed_path_matches_array_fold(spark, conf):
+    from conftest import SF001
+    from sensorlytics.sources import fixtures as X
+    r = X.readings_signed(spark, SF001)
+    want = {(x.urn, x.timestamp): x.value for x in R.window_int_mean(r, "1 day").collect()}
+    conf("sensorlytics.skew.rowsPerTask", "5")   # every mixed-sign cell takes the streamed fold
+    got = {(x.urn, x.timestamp): x.value for x in R.window_int_mean(r, "1 day").collect()}
+    assert got == want and len(got) > 0
