@@ -15,6 +15,7 @@ from pyspark import cloudpickle
 from sensorlytics.functions import intfold
 from sensorlytics.operators.cells import CELL, with_slot, with_window
 from sensorlytics.plans import tuning
+from sensorlytics.plans.attach import freeze
 from sensorlytics.plans.ranking import rank_in_cells
 
 INT_MAX = 2**31 - 1
@@ -49,9 +50,10 @@ def window_int_mean(rows: DataFrame, width: str | int, value: str = "value") ->
     """
     cells = with_window(rows, width)
     v = F.col(value)
-    agg = cells.groupBy("urn", "win").agg(
+    # per-cell aggregate, frozen: it feeds the closed form and both mixed-sign branches
+    agg = freeze(cells.groupBy("urn", "win").agg(
         F.count(v).alias("n"), F.min(v).alias("vmin"), F.max(v).alias("vmax"),
-        F.sum(F.floor(v)).alias("sfloor"), F.sum(F.ceil(v)).alias("sceil"))
+        F.sum(F.floor(v)).alias("sfloor"), F.sum(F.ceil(v)).alias("sceil")))
     pos = F.least(F.col("sfloor"), F.lit(INT_MAX))
     neg = F.greatest(F.col("sceil"), F.lit(INT_MIN))
     acc = F.when(F.col("vmin") >= 0, pos).when(F.col("vmax") <= 0, neg)
@@ -62,10 +64,11 @@ def window_int_mean(rows: DataFrame, width: str | int, value: str = "value") ->
     limit = tuning.get_int(rows.sparkSession, tuning.ROWS_PER_TASK)
     mixed = agg.where(acc.isNull())
     small = mixed.where(F.col("n") <= limit).select("urn", "win")
+    out = closed.unionByName(_mixed_sign_int_mean(cells.join(small, ["urn", "win"], "left_semi"), value))
     large = mixed.where(F.col("n") > limit).select("urn", "win")
-    folded = _mixed_sign_int_mean(cells.join(small, ["urn", "win"], "left_semi"), value)
-    streamed = _streamed_int_mean(cells.join(large, ["urn", "win"], "left_semi"), value)
-    return closed.unionByName(folded).unionByName(streamed)
+    if large.limit(1).count():
+        out = out.unionByName(_streamed_int_mean(cells.join(large, ["urn", "win"], "left_semi"), value))
+    return out
 
 
 def _streamed_int_mean(cells: DataFrame, value: str) -> DataFrame:

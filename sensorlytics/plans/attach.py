@@ -17,6 +17,7 @@ in a single task under a plain shuffle join. Two shapes avoid that:
 
 from __future__ import annotations
 
+import atexit
 import math
 from contextlib import contextmanager
 
@@ -25,25 +26,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlytics.plans import tuning
-from sensorlytics.session import ensure_checkpoint_dir
+from sensorlytics.session import ensure_checkpoint_dir, scratch_path
 
 
 def freeze(df: DataFrame, adaptive: bool = True) -> DataFrame:
-    """Materialise a table that several actions read (reliable checkpoint by default).
+    """Materialise a table that several actions read, cutting its lineage.
+
+    ``sensorlytics.freeze``: ``table`` (default) writes compressed parquet to a fresh folder
+    under the shared checkpoint folder and reads it back (removed when the driver exits);
+    ``checkpoint`` uses a reliable RDD checkpoint; ``persist`` caches (recomputed from
+    lineage if an executor is lost).
 
     ``adaptive=False`` runs the materialising action with AQE off: for a range-partitioned
     input AQE re-plans the exchange and samples the input a second time, while a fixed
     partition count leaves it nothing to adapt.
     """
     spark = df.sparkSession
-    if tuning.get_str(spark, tuning.FREEZE_MODE) == "persist":
+    mode = tuning.get_str(spark, tuning.FREEZE_MODE)
+    if mode == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         with _adaptive(spark, adaptive):
             out.count()
         return out
-    ensure_checkpoint_dir(spark)
+    if mode == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        with _adaptive(spark, adaptive):
+            return df.checkpoint(eager=True)
+    path = scratch_path(spark, "frozen")
     with _adaptive(spark, adaptive):
-        return df.checkpoint(eager=True)
+        df.write.parquet(path)
+    _remove_at_exit(spark, path)
+    return spark.read.parquet(path)
+
+
+_TO_REMOVE: list[str] = []
+
+
+def _remove_at_exit(spark, path: str) -> None:
+    """Delete frozen tables when the driver exits (Hadoop FS, so any shared store works)."""
+    if not _TO_REMOVE:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+        def cleanup() -> None:
+            for p in _TO_REMOVE:
+                try:
+                    jp = jvm.org.apache.hadoop.fs.Path(p)
+                    jp.getFileSystem(conf).delete(jp, True)
+                except Exception:  # the JVM may already be gone; the folder is scratch
+                    pass
+
+        atexit.register(cleanup)
+    _TO_REMOVE.append(path)
 
 
 @contextmanager

@@ -10,9 +10,10 @@ from pyspark.sql import SparkSession
 MAX_BROADCAST_BYTES = ("sensorlytics.broadcast.maxBytes", None)
 # Target number of readings of one cell handled by one join task; hotter cells are salted.
 ROWS_PER_TASK = ("sensorlytics.skew.rowsPerTask", 2_000_000)
-# How intermediate tables that feed several actions are frozen: "checkpoint" (reliable,
-# cuts lineage, survives executor loss) or "persist" (recomputed from lineage if lost).
-FREEZE_MODE = ("sensorlytics.freeze", "checkpoint")
+# How intermediate tables that feed several actions are frozen: "table" (compressed parquet
+# in the shared checkpoint folder; cuts lineage, survives executor loss), "checkpoint"
+# (reliable RDD checkpoint) or "persist" (cache; recomputed from lineage if lost).
+FREEZE_MODE = ("sensorlytics.freeze", "table")
 
 
 def broadcast_limit(spark: SparkSession) -> int:
