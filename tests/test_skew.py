@@ -67,7 +67,7 @@ def test_rank_in_cells_hot(spark, conf, force_range):
     got = rank_in_cells(df.select(*CELL, "timestamp", "seq"), CELL, ["timestamp", "seq"], partitions=16,
                         force_range=force_range)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "frozen-" in plan and "Window" not in plan  # frozen range-sorted rows
+    assert "_pid" in plan and "Window" not in plan  # frozen range-sorted rows + offsets
     assert as_set(got, "seq", "rn", "n") == want
 
 
