@@ -32,9 +32,9 @@ from sensorlytics.session import ensure_checkpoint_dir, scratch_path
 def freeze(df: DataFrame, adaptive: bool = True) -> DataFrame:
     """Materialise a table that several actions read, cutting its lineage.
 
-    ``sensorlytics.freeze``: ``table`` (default) writes compressed parquet to a fresh folder
-    under the shared checkpoint folder and reads it back (removed when the driver exits);
-    ``checkpoint`` uses a reliable RDD checkpoint; ``persist`` caches (recomputed from
+    ``sensorlytics.freeze``: ``checkpoint`` (default) uses a reliable RDD checkpoint in
+    ``spark.checkpoint.dir``; ``table`` writes compressed parquet to a fresh folder there and
+    reads it back (removed when the driver exits); ``persist`` caches (recomputed from
     lineage if an executor is lost).
 
     ``adaptive=False`` runs the materialising action with AQE off: for a range-partitioned

@@ -10,10 +10,12 @@ from pyspark.sql import SparkSession
 MAX_BROADCAST_BYTES = ("sensorlytics.broadcast.maxBytes", None)
 # Target number of readings of one cell handled by one join task; hotter cells are salted.
 ROWS_PER_TASK = ("sensorlytics.skew.rowsPerTask", 2_000_000)
-# How intermediate tables that feed several actions are frozen: "table" (compressed parquet
-# in the shared checkpoint folder; cuts lineage, survives executor loss), "checkpoint"
-# (reliable RDD checkpoint) or "persist" (cache; recomputed from lineage if lost).
-FREEZE_MODE = ("sensorlytics.freeze", "table")
+# How intermediate tables that feed several actions are frozen: "checkpoint" (reliable RDD
+# checkpoint in spark.checkpoint.dir, cleaned by Spark; set spark.checkpoint.compress),
+# "table" (compressed parquet in the same folder, deleted at driver exit; smaller for very
+# large tables, a fixed listing cost for small ones) or "persist" (cache; recomputed from
+# lineage if an executor is lost). All but "persist" cut the lineage.
+FREEZE_MODE = ("sensorlytics.freeze", "checkpoint")
 
 
 def broadcast_limit(spark: SparkSession) -> int:

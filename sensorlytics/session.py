@@ -26,6 +26,7 @@ def get_session(master: str | None = None, app_name: str = "sensorlytics",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.checkpoint.compress": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
