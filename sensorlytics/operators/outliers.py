@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from sensorlytics.operators.cells import CELL
 from sensorlytics.plans.attach import attach, freeze, probe
-from sensorlytics.plans.ranking import rank_in_cells
+from sensorlytics.plans.ranking import cells_bounded, rank_by_window, rank_in_cells
 
 
 def _with_bounds(rows: DataFrame, keys: list[str], value: str, k: float) -> DataFrame:
@@ -144,8 +144,24 @@ def quartiles(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
 
 def iqr_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
                     order: list[str] | None = None) -> DataFrame:
-    """Readings strictly between the cell's q1 and q3 (no 1.5×IQR fence)."""
+    """Readings strictly between the cell's q1 and q3 (no 1.5×IQR fence).
+
+    Bounded cells (one aggregate over the cell sizes proves none exceeds a task's share):
+    ranks and the quartiles are window functions over the same cell partitioning, so one
+    shuffle and sort, no join. Otherwise: skew-safe ranking, a quartile table, attach.
+    """
     cols = rows.columns
-    q = freeze(quartiles(rows, keys, value, order))
     v = F.col(value)
+    if cells_bounded(rows, keys):
+        ranked = rank_by_window(rows, keys, [value, *(order or ["seq"])])
+        w = Window.partitionBy(*keys)
+        rn = F.col("rn")
+        qs = []
+        for name, p in (("q1", 0.25), ("q3", 0.75)):
+            lower, upper, frac = _type6_ranks(p)
+            x = F.max(F.when(rn == lower, v)).over(w)
+            y = F.max(F.when(rn == upper, v)).over(w)
+            qs.append((x + frac * (y - x)).alias(name))
+        return ranked.select(*cols, *qs).where((v > F.col("q1")) & (v < F.col("q3"))).select(*cols)
+    q = freeze(quartiles(rows, keys, value, order))
     return attach(rows, q, keys).where((v > F.col("q1")) & (v < F.col("q3"))).select(*cols)

@@ -32,15 +32,21 @@ from sensorlytics.plans.attach import freeze, probe
 _LOW_BITS = (1 << 33) - 1
 
 
+def cells_bounded(rows: DataFrame, keys: list[str]) -> bool:
+    """One aggregate over the cell sizes: does every cell fit one task's share?"""
+    return probe(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)["bounded"]
+
+
+def rank_by_window(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``rn`` / ``n`` with window functions; only for cells known to be bounded."""
+    w = Window.partitionBy(*keys)
+    return rows.select("*", F.row_number().over(w.orderBy(*order)).alias("rn"), F.count(F.lit(1)).over(w).alias("n"))
+
+
 def rank_in_cells(rows: DataFrame, keys: list[str], order: list[str],
                   partitions: int | None = None, force_range: bool = False) -> DataFrame:
-    spark = rows.sparkSession
-    if not force_range:
-        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        if probe(sizes, keys)["bounded"]:
-            w = Window.partitionBy(*keys)
-            return rows.select("*", F.row_number().over(w.orderBy(*order)).alias("rn"),
-                               F.count(F.lit(1)).over(w).alias("n"))
+    if not force_range and cells_bounded(rows, keys):
+        return rank_by_window(rows, keys, order)
     return _rank_by_range(rows, keys, order, partitions)
 
 
