@@ -5,7 +5,8 @@ join back to the readings is where one hot cell (say a third of all readings) wo
 in a single task under a plain shuffle join. Two shapes avoid that:
 
 * the cell table is small (rows counted by an action × row width from the schema, checked
-  against ``sensorlytics.broadcast.maxBytes``, default ``spark.sql.autoBroadcastJoinThreshold``):
+  against ``sensorlytics.broadcast.maxBytes``, default ``spark.sql.autoBroadcastJoinThreshold``)
+  and its cells average at least ``sensorlytics.broadcast.minRowsPerCell`` readings:
   broadcast hash join, the readings are never shuffled;
 * no cell holds more than ``rowsPerTask`` readings: a plain shuffle join is balanced;
 * otherwise a shuffle join on ``(cell, salt)``: cells with more than ``rowsPerTask``
@@ -107,7 +108,8 @@ def probe(table: DataFrame, keys: list[str], count_col: str = "n") -> dict:
     hot_row = tuning.row_bytes(table.select(*keys).schema) + 8  # a hot-list row: keys + fan
     max_hot = max(limit // hot_row, 1)
     per_task = max(tuning.get_int(spark, tuning.ROWS_PER_TASK), math.ceil(total / max_hot), 1)
-    if limit > 0 and n_cells * tuning.row_bytes(table.schema) <= limit:
+    dense = total >= n_cells * tuning.get_int(spark, tuning.MIN_ROWS_PER_CELL)
+    if limit > 0 and n_cells * tuning.row_bytes(table.schema) <= limit and dense:
         shape = "broadcast"
     elif biggest <= per_task:
         shape = "shuffle"

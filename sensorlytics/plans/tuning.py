@@ -8,6 +8,10 @@ from pyspark.sql import SparkSession
 # (rows counted by an action × row width from the schema). Defaults to Spark's own
 # spark.sql.autoBroadcastJoinThreshold; above it a shuffle join is used.
 MAX_BROADCAST_BYTES = ("sensorlytics.broadcast.maxBytes", None)
+# Broadcast a cell table only if its cells average at least this many readings: with
+# tinier cells the table is about as large as the readings, so a broadcast saves little
+# shuffle and costs a large hash table on every executor.
+MIN_ROWS_PER_CELL = ("sensorlytics.broadcast.minRowsPerCell", 8)
 # Target number of readings of one cell handled by one join task; hotter cells are salted.
 ROWS_PER_TASK = ("sensorlytics.skew.rowsPerTask", 2_000_000)
 # How intermediate tables that feed several actions are frozen: "checkpoint" (reliable RDD

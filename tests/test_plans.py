@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, SF01
 from sensorlytics.operators import reductions as R
 from sensorlytics.plans import jobs as J
 from sensorlytics.sources import fixtures as X
@@ -40,7 +40,8 @@ def test_reductions_one_exchange_with_partial_aggregate(spark):
 
 
 def test_small_cell_table_is_broadcast(spark):
-    p = plan(J.outliers_level1(X.readings(spark, SF001), "1 day"))
+    # sf0.01, 1-day cells: 150 cells of ~67 readings -> broadcast
+    p = plan(J.outliers_level1(X.readings(spark, SF01), "1 day"))
     assert "BroadcastHashJoin" in p
     assert "SortMergeJoin" not in p
     # JOB1: the readings are shuffled once, by the final count per cell
@@ -55,3 +56,9 @@ def test_no_python_in_plans(spark):
     for df in dfs:
         p = plan(df)
         assert "EvalPython" not in p and "InPandas" not in p
+
+
+def test_tiny_cells_use_window_not_broadcast(spark):
+    # sf0.001, 1-day cells average < 8 readings: thresholds as window aggregates, no join
+    p = plan(J.outliers_level1(X.readings(spark, SF001), "1 day"))
+    assert "Window" in p and "Join" not in p
