@@ -7,11 +7,10 @@ skew-safe ranking in ``plans.ranking`` instead of sorting a cell in one task.
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark import cloudpickle
-
 from sensorlytics.functions import intfold
 from sensorlytics.operators.cells import CELL, with_slot, with_window
 from sensorlytics.plans import tuning
@@ -67,7 +66,9 @@ def window_int_mean(rows: DataFrame, width: str | int, value: str = "value") ->
     out = closed.unionByName(_mixed_sign_int_mean(cells.join(small, ["urn", "win"], "left_semi"), value))
     large = mixed.where(F.col("n") > limit).select("urn", "win")
     if large.limit(1).count():
-        out = out.unionByName(_streamed_int_mean(cells.join(large, ["urn", "win"], "left_semi"), value))
+        # at most total / rowsPerTask cells can be this large: a bounded broadcast
+        out = out.unionByName(_streamed_int_mean(cells.join(F.broadcast(large), ["urn", "win"], "left_semi"),
+                                                 value))
     return out
 
 
