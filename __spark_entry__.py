@@ -20,6 +20,7 @@ from sensorlytics.functions.timecols import slot_floor_ms
 from sensorlytics.operators.cells import CELL, with_window
 from sensorlytics.operators import reports as P
 from sensorlytics.plans import jobs as J
+from sensorlytics.plans.attach import freeze
 from sensorlytics.session import scratch_path
 from sensorlytics.sinks import publish as K
 from sensorlytics.sources import fixtures as X
@@ -57,7 +58,7 @@ def _level1_6h(spark, d):
 
 
 def _flag_level1(spark, d, value):
-    lvl = with_window(_level1_6h(spark, d), "3 days", ts="timestamp", out="win2")
+    lvl = freeze(with_window(_level1_6h(spark, d), "3 days", ts="timestamp", out="win2"))
     f = O.std_flag(lvl, ["urn", "win2"], value, 2.0, flag="is_outlier")
     return f.select("urn", "timestamp", "values_count", "outliers_count", "is_outlier")
 
@@ -124,7 +125,7 @@ def _stream_passthrough(spark, d):
 
 def _published_messages(spark, d):
     out = scratch_path(spark, "messages")
-    lvl1 = J.outliers_level1(X.readings(spark, d), "6 hours")
+    lvl1 = freeze(J.outliers_level1(X.readings(spark, d), "6 hours"))
     msgs = (K.counts_payload(lvl1)
             .unionByName(K.on_values_payload(J.outliers_on_values(lvl1, "3 days")))
             .unionByName(K.on_outliers_payload(J.outliers_on_outliers(lvl1, "3 days"))))

@@ -14,6 +14,7 @@ from sensorlytics.operators import outliers as O
 from sensorlytics.operators import reductions as R
 from sensorlytics.functions.timecols import window_start_ms
 from sensorlytics.operators.cells import CELL, with_slot, with_window
+from sensorlytics.plans.attach import freeze
 
 # The reference's default widths and 2-sigma factor.
 LEVEL1_WIDTH = "5 minutes"
@@ -31,8 +32,14 @@ def outliers_level1(rows: DataFrame, width: str | int = LEVEL1_WIDTH, k: float =
             .select("urn", F.col("win").alias("timestamp"), "values_count", "outliers_count"))
 
 
+def _level1_cells(level1: DataFrame, width: str | int) -> DataFrame:
+    """Level-1 counts keyed by their level-2 window, frozen: the second level reads them
+    twice (statistics, then flags), and recomputing them would rescan all readings."""
+    return freeze(with_window(level1, width, ts="timestamp", out="win2"))
+
+
 def _level2(level1: DataFrame, width: str | int, k: float) -> DataFrame:
-    cells = with_window(level1, width, ts="timestamp", out="win2")
+    cells = _level1_cells(level1, width)
     flagged = O.std_flags(cells, {"f_v": "values_count", "f_o": "outliers_count"}, ["urn", "win2"], k)
     return (flagged.groupBy("urn", "win2")
             .agg(F.count(F.lit(1)).alias("intervals"), F.count_if("f_v").alias("outliers_on_values_count"),
@@ -43,7 +50,7 @@ def _level2(level1: DataFrame, width: str | int, k: float) -> DataFrame:
 def outliers_on_values(level1: DataFrame, width: str | int = LEVEL2_WIDTH, k: float = K_SIGMA) -> DataFrame:
     """JOB2, first branch: level-1 intervals per level-2 window and how many have an
     outlying ``values_count``."""
-    cells = with_window(level1, width, ts="timestamp", out="win2")
+    cells = _level1_cells(level1, width)
     flagged = O.std_flag(cells, ["urn", "win2"], "values_count", k, flag="f")
     return (flagged.groupBy("urn", "win2")
             .agg(F.count(F.lit(1)).alias("values_count"), F.count_if("f").alias("outliers_on_values_count"))
@@ -52,7 +59,7 @@ def outliers_on_values(level1: DataFrame, width: str | int = LEVEL2_WIDTH, k: fl
 
 def outliers_on_outliers(level1: DataFrame, width: str | int = LEVEL2_WIDTH, k: float = K_SIGMA) -> DataFrame:
     """JOB2, second branch: same on ``outliers_count``."""
-    cells = with_window(level1, width, ts="timestamp", out="win2")
+    cells = _level1_cells(level1, width)
     flagged = O.std_flag(cells, ["urn", "win2"], "outliers_count", k, flag="f")
     return (flagged.groupBy("urn", "win2")
             .agg(F.count(F.lit(1)).alias("outliers_count"), F.count_if("f").alias("outliers_on_outliers_count"))
