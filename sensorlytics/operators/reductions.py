@@ -127,18 +127,23 @@ def distinct_counts(rows: DataFrame, slot_minutes: int) -> DataFrame:
 
 
 def pairwise_avg(rows: DataFrame, width: str | int | None = None, value: str = "value",
-                 keys: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
+                 keys: list[str] | None = None, order: list[str] | None = None,
+                 first_ts: bool = False) -> DataFrame:
     """Left fold ``(acc + v) / 2`` over each cell in time order, closed form.
 
     With readings ranked 1..n in time order the fold equals
     ``sum(v * 0.5 ** least(n - 1, n - rn + 1))``; the ranks come from the skew-safe
-    ranking, the sum is a partial aggregate.
+    ranking, the sum is a partial aggregate. ``first_ts`` adds the earliest reading's
+    ``timestamp`` (as the processing-time job reports it) to the same aggregate.
     """
     if width is not None:
         rows = with_window(rows, width)
     keys = keys or CELL
     order = order or ["timestamp", "seq"]
-    ranked = rank_in_cells(rows.select(*keys, value, *order), keys, order)
+    carried = [value, *order] + (["timestamp"] if first_ts and "timestamp" not in order else [])
+    ranked = rank_in_cells(rows.select(*keys, *carried), keys, order)
     w = F.pow(F.lit(0.5), F.least(F.col("n") - 1, F.col("n") - F.col("rn") + 1))
-    return (ranked.groupBy(*keys).agg(F.sum(F.col(value) * w).alias("value"))
-            .select(F.col(keys[0]).alias("urn"), F.col(keys[1]).alias("timestamp"), "value"))
+    aggs = [F.sum(F.col(value) * w).alias("value")] + ([F.min("timestamp").alias("first_ts")] if first_ts else [])
+    out = ranked.groupBy(*keys).agg(*aggs)
+    return out.select(F.col(keys[0]).alias("urn"), F.col(keys[1]).alias("timestamp"), "value",
+                      *(["first_ts"] if first_ts else []))

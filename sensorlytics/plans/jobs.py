@@ -102,10 +102,8 @@ def proc_time_pairwise_avg(rows: DataFrame, arrival_col: str = "arrival_ms",
     """JOB7 (batch form): pairwise fold per (urn, arrival-time window); timestamp = the
     earliest reading's timestamp. ``arrival_col`` holds arrival epoch ms."""
     cells = rows.withColumn("win", window_start_ms(arrival_col, width))
-    folded = R.pairwise_avg(cells, None, "value", CELL, [arrival_col, "seq"])
-    first = cells.groupBy("urn", "win").agg(F.min("timestamp").alias("first_ts"))
-    return (folded.join(first, (folded.urn == first.urn) & (folded.timestamp == first.win))
-            .select(folded.urn, F.col("first_ts").alias("timestamp"), "value"))
+    folded = R.pairwise_avg(cells, None, "value", CELL, [arrival_col, "seq"], first_ts=True)
+    return folded.select("urn", F.col("first_ts").alias("timestamp"), "value")
 
 
 def batch_reductions(rows: DataFrame, slot_minutes: int = BATCH_SLOT_MINUTES) -> DataFrame:

@@ -204,11 +204,11 @@ def start_pairwise_updates(readings: DataFrame, landing_path: str, out_path: str
                 return
             cells = (spark.read.parquet(landing_path).where(F.col("win").isin(touched))
                      .join(staged.select("urn", "win").distinct(), ["urn", "win"], "left_semi"))
-            folded = pairwise_avg(cells, None, "value", ["urn", "win"], order)
+            folded = pairwise_avg(cells, None, "value", ["urn", "win"], order,
+                                  first_ts=processing_time_width is not None)
             if processing_time_width is not None:
-                first = cells.groupBy("urn", "win").agg(F.min("timestamp").alias("first_ts"))
-                folded = (folded.withColumnRenamed("timestamp", "win").join(first, ["urn", "win"])
-                          .select("urn", "win", F.col("first_ts").alias("timestamp"), "value"))
+                folded = folded.select("urn", F.col("timestamp").alias("win"), F.col("first_ts").alias("timestamp"),
+                                       "value")
             else:
                 folded = folded.select("urn", F.col("timestamp").alias("win"), "timestamp", "value")
             folded.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
