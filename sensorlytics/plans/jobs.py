@@ -118,10 +118,12 @@ def batch_outlier_values(rows: DataFrame, slot_minutes: int = BATCH_SLOT_MINUTES
 
 
 def batch_report(rows: DataFrame, slot_minutes: int = BATCH_SLOT_MINUTES, k: float = K_SIGMA) -> DataFrame:
-    """JOB10's printed numbers: result rows of each reduction (groups) and of the outliers."""
-    groups = with_slot(rows, slot_minutes).select("urn", "win").distinct().agg(F.count(F.lit(1)).alias("n"))
-    outl = batch_outlier_values(rows, slot_minutes, k).agg(F.count(F.lit(1)).alias("n"))
+    """JOB10's printed numbers: result rows of each reduction (one per (urn, slot) group) and
+    the number of outlier readings, both from one per-group count of the flagged readings."""
+    flagged = O.std_flag(with_slot(rows, slot_minutes).select("urn", "win", "value"), CELL, "value", k)
+    per_group = O.outlier_counts(flagged, CELL)
+    totals = per_group.agg(F.count(F.lit(1)).alias("groups"), F.sum("outliers_count").alias("outliers"))
     names = F.array(*[F.lit(x) for x in ("min", "max", "sum", "average")])
-    g = groups.select(F.explode(names).alias("reduction"), F.col("n").alias("result_rows"))
-    o = outl.select(F.lit("outliers").alias("reduction"), F.col("n").alias("result_rows"))
+    g = totals.select(F.explode(names).alias("reduction"), F.col("groups").alias("result_rows"))
+    o = totals.select(F.lit("outliers").alias("reduction"), F.col("outliers").cast("long").alias("result_rows"))
     return g.unionByName(o)
