@@ -122,6 +122,9 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str =
            salt_cols: list[str] | None = None, decided: dict | None = None) -> DataFrame:
     """Inner-join ``table`` (unique on ``keys``, with a reading count ``count_col``) to ``rows``.
 
+    Salts hash ``salt_cols`` (default: all columns of ``rows``); include a unique column so
+    that identical readings of a hot cell are spread too.
+
     ``table`` should be frozen (:func:`freeze`): :func:`probe` reads its row count, total
     and largest cell with one small action.
     """

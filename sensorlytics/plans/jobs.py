@@ -25,9 +25,15 @@ PROC_TIME_WIDTH = "10 seconds"
 K_SIGMA = 2.0
 
 
+def _cell_rows(cells: DataFrame) -> DataFrame:
+    """The columns the 2-sigma flag needs, plus the unique ``seq`` when there is one: salts
+    hash a row's columns, and ``seq`` keeps repeated values of a hot cell apart."""
+    return cells.select("urn", "win", "value", *(["seq"] if "seq" in cells.columns else []))
+
+
 def outliers_level1(rows: DataFrame, width: str | int = LEVEL1_WIDTH, k: float = K_SIGMA) -> DataFrame:
     """JOB1: per (urn, window) the number of readings and of 2-sigma outliers."""
-    flagged = O.std_flag(with_window(rows, width).select("urn", "win", "value"), CELL, "value", k)
+    flagged = O.std_flag(_cell_rows(with_window(rows, width)), CELL, "value", k)
     return (O.outlier_counts(flagged, CELL)
             .select("urn", F.col("win").alias("timestamp"), "values_count", "outliers_count"))
 
@@ -120,7 +126,7 @@ def batch_outlier_values(rows: DataFrame, slot_minutes: int = BATCH_SLOT_MINUTES
 def batch_report(rows: DataFrame, slot_minutes: int = BATCH_SLOT_MINUTES, k: float = K_SIGMA) -> DataFrame:
     """JOB10's printed numbers: result rows of each reduction (one per (urn, slot) group) and
     the number of outlier readings, both from one per-group count of the flagged readings."""
-    flagged = O.std_flag(with_slot(rows, slot_minutes).select("urn", "win", "value"), CELL, "value", k)
+    flagged = O.std_flag(_cell_rows(with_slot(rows, slot_minutes)), CELL, "value", k)
     per_group = O.outlier_counts(flagged, CELL)
     totals = per_group.agg(F.count(F.lit(1)).alias("groups"), F.sum("outliers_count").alias("outliers"))
     names = F.array(*[F.lit(x) for x in ("min", "max", "sum", "average")])
