@@ -120,3 +120,20 @@ def test_multi_flags_every_shape(spark, conf, shape):
     got = O.std_flags(df, {"fv": "value", "fn": "neg"})
     assert as_set(got.select("seq", F.col("fv").alias("f")), "seq", "f") == want_v
     assert as_set(got.select("seq", F.col("fn").alias("f")), "seq", "f") == want_n
+
+
+def test_constant_hot_sensor_salted(spark, conf):
+    # a third of the readings: one sensor repeating the same value (salts must still spread
+    # it, via seq), the constant-cell guard must flag none of it
+    df = hot_readings(spark).withColumn("value", F.when(F.col("urn") == "hot", F.lit(5.0)).otherwise(F.col("value")))
+    for k, v in SHAPES["salted"].items():
+        conf(k, v)
+    from sensorlytics.plans import jobs as J
+    got = {(r.urn, r.timestamp): (r.values_count, r.outliers_count)
+           for r in J.outliers_level1(df.drop("win"), "1 day").collect()}
+    want = {(r.urn, r.win): (r.n, r.o) for r in brute_flags(df).join(df.select("seq", "urn", "win"), "seq")
+            .groupBy("urn", "win").agg(F.count("*").alias("n"), F.count_if("f").alias("o")).collect()}
+    assert got == want
+    assert all(o == 0 for (u, _), (_, o) in got.items() if u == "hot")
+    salted = F.pmod(F.xxhash64("urn", "win", "value", "seq"), F.lit(3))
+    assert df.where("urn = 'hot'").select(salted).distinct().count() == 3
