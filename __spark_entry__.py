@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from sensorlytics.operators import outliers as O
 from sensorlytics.operators import reductions as R
 from sensorlytics.functions.timecols import slot_floor_ms
-from sensorlytics.operators.cells import CELL, with_window
+from sensorlytics.operators.cells import with_window
 from sensorlytics.operators import reports as P
 from sensorlytics.plans import jobs as J
 from sensorlytics.plans.attach import freeze
