@@ -3,7 +3,8 @@
 Readings streams carry ``urn, value, timestamp (epoch ms), seq``; the event time used for
 watermarks is ``timestamp_millis(timestamp)``.
 
-* :func:`passthrough` — stateless ingest → CSV payload (JOB6).
+* :func:`passthrough_lines` — text messages → lenient parse → CSV payloads (JOB6);
+  :func:`passthrough` does the same for typed readings. Stateless.
 * :func:`window_mean_updates` — windowed mean, update mode, unlimited lateness (JOB9):
   incremental state (sum, count) per (urn, window); late readings re-emit their window
   and the upsert sink keeps the latest value.
@@ -13,6 +14,10 @@ watermarks is ``timestamp_millis(timestamp)``.
   State holds one row per buffered reading keyed by (window, urn, seq), so even a hot
   cell's buffer is spread over all state partitions.
 * :func:`start_second_level` — JOB2 on the stream of level-1 counts, same pattern.
+* :func:`start_on_closed_windows` — any batch job on the closed windows (JOB3-JOB5).
+* :func:`start_pairwise_updates` — pairwise running average (JOB8 event time with unlimited
+  lateness, JOB7 processing time): readings land in a table partitioned by window and the
+  touched cells are re-folded with the skew-safe batch fold each micro-batch.
 """
 
 from __future__ import annotations
