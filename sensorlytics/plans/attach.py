@@ -103,7 +103,9 @@ def probe(table: DataFrame, keys: list[str], count_col: str = "n") -> dict:
     """
     spark = table.sparkSession
     limit = tuning.broadcast_limit(spark)
-    n_cells, total, biggest = table.agg(F.count(F.lit(1)), F.sum(count_col), F.max(count_col)).first()
+    # one small global aggregate; without AQE it is one job instead of a map job + a result job
+    with _adaptive(spark, False):
+        n_cells, total, biggest = table.agg(F.count(F.lit(1)), F.sum(count_col), F.max(count_col)).first()
     total, biggest = total or 0, biggest or 0
     hot_row = tuning.row_bytes(table.select(*keys).schema) + 8  # a hot-list row: keys + fan
     max_hot = max(limit // hot_row, 1)
