@@ -257,8 +257,29 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and oracles of the training-data operators; none if their folder isn't there."""
+    try:
+        from sensorlytics.llm import registry
+    except ModuleNotFoundError as e:
+        if e.name not in ("sensorlytics.llm", "sensorlytics.llm.registry"):
+            raise
+        return {}, {}
+    found, oracles = dict(registry.QUERIES), dict(registry.ORACLES)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as e:
+        if e.name != "corpus_pipeline":
+            raise
+    else:
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, oracles
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: _q(v) for k, v in _QUERIES.items()}
+    return {k: _q(v) for k, v in _QUERIES.items()} | _training_data()[0]
 
 
 # ---------------------------------------------------------------- DuckDB side
@@ -544,4 +565,4 @@ FROM fv GROUP BY urn, win2""",
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(_SQL) | _training_data()[1]

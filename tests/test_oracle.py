@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF01  # noqa: F401
 from oracle_harness import compare, duck
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import _QUERIES, _SQL, entry
 
 _CON = {}
 
@@ -16,10 +16,10 @@ def _con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(_SQL) == set(_QUERIES)
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(_QUERIES))
 def test_query_matches_oracle(spark, key):
     r = compare(spark, key, SF01, _con())
     assert r["status"] == "match", r
