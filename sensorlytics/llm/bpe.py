@@ -3,7 +3,7 @@
 The pre-tokens of the whole corpus are counted; the most frequent ``max_words`` are compiled, with
 their merged ids as output, into a minimal acyclic automaton (equal suffixes share states). Each arc
 carries how many words sort before it, so walking a word adds up to its number, and the number names
-its ids. The compiled file is written once per executor from a broadcast copy and mapped into memory.
+its ids. Each worker writes the compiled file from a broadcast copy and maps it into memory.
 
 A task splits each text as the tokenizer does, walks its new pre-tokens through the automaton all at
 once (one vectorised step per byte position) and merges the words the automaton doesn't hold exactly,
@@ -21,10 +21,8 @@ import hashlib
 import itertools
 import json
 import mmap
-import os
 import struct
 import tempfile
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -184,13 +182,11 @@ class Lexicon:
 
 
 def _mapped(image: bytes) -> Lexicon:
-    path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(image).hexdigest()[:24]}.bin")
-    if not os.path.exists(path):
-        part = f"{path}.{uuid.uuid4().hex}"
-        with open(part, "wb") as f:
-            f.write(image)
-        os.replace(part, path)
-    with open(path, "rb") as f:
+    """The compiled lexicon as a memory-mapped file. The file loses its name once it is mapped: the map
+    keeps it until the worker ends, and nothing stays behind in the executor's folder."""
+    with tempfile.NamedTemporaryFile(prefix="lexicon-") as f:
+        f.write(image)
+        f.flush()
         return Lexicon(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
