@@ -76,6 +76,22 @@ def split_heavy(flags: DataFrame, count_col: str, total: int, most: int = 5000)
     return flags.where(F.col(count_col) > limit), flags.where(F.col(count_col) <= limit)
 
 
+def most_frequent(counts: DataFrame, key: str, most: int, n: str = "n") -> list[tuple]:
+    """At most ``most`` rows (key, n) of a table of counts with the largest counts, largest first (ties by
+    key). The cut is a count, found from how many keys have which count, so tasks send only rows that
+    stay: keys tied at the cut are all left out if they don't fit."""
+    left, cut = most, None
+    sizes = counts.groupBy(n).count().orderBy(F.col(n).desc())
+    for size, keys in sizes.limit(most).collect():
+        if keys > left:
+            break
+        left, cut = left - keys, size
+    if cut is None:
+        return []
+    rows = counts.where(F.col(n) >= cut).select(key, n).collect()
+    return sorted(((bytes(k) if isinstance(k, bytearray) else k, c) for k, c in rows), key=lambda r: (-r[1], r[0]))
+
+
 def components(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): rows (id, comp), ``comp`` the smallest id.
 
