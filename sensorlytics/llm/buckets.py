@@ -71,7 +71,7 @@ class StarBuffer:
                 yield _rows(EDGE, a[at:at + 100_000], b[at:at + 100_000])
 
 
-def _tie_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def tie_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges of rows sorted by (kind, a, b); one open bucket is carried from batch to batch."""
     key = first = None
     for batch in batches:
@@ -93,13 +93,6 @@ def _tie_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(EDGE, *distinct_edges(np.minimum(of, b)[other], np.maximum(of, b)[other]))
 
 
-def tie(rows: DataFrame) -> DataFrame:
-    """Star edges (a, b) of rows (kind, a, b): KEY rows are (key, first id) of a task, EDGE rows edges."""
-    # keys meet by a; edges need not meet, so those of a large hub are spread
-    dealt = rows.repartition(F.xxhash64("a", F.when(F.col("kind") == EDGE, F.col("b")))).sortWithinPartitions("kind", "a", "b")
-    return dealt.mapInArrow(_tie_sorted, "kind byte, a long, b long").select("a", "b").distinct()
-
-
 def candidate_groups(edges: DataFrame, name: str) -> DataFrame:
     """(id, grp) of all ids that share a bucket with another."""
     return components(edges, name).select("id", F.col("comp").alias("grp"))

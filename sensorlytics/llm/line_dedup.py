@@ -5,11 +5,12 @@ blank) and hashed; lines of fewer than ``MIN_WORDS`` words are left alone. Each
 64-bit SimHash of its words. The bits are cut into blocks: two SimHashes that differ in at most
 ``MAX_BITS`` bits agree in all but ``MAX_BITS`` blocks (pigeonhole), so each choice of that many
 untouched blocks is an index key. The number of blocks follows the number of lines, so that chance
-meetings stay rare at any size; it doesn't change which lines meet. Lines that share a key are tied into
-candidate groups (``buckets``); inside a group, pairs within ``MAX_BITS`` bits are verified by edit
-similarity, ``1 - distance / longer length >= SIMILARITY``, with the exact Levenshtein distance of the
-normalised lines. Of every connected group of lines (equal ones included) the first occurrence by
-(doc_id, line number) is kept.
+meetings stay rare at any size; it doesn't change which hashes are near. Distinct SimHashes that share a
+key are compared, near ones are joined, and the joined ones name the candidate groups of lines. Inside a
+group, all pairs within ``MAX_BITS`` bits are verified, in tiles of bounded size, by edit similarity,
+``1 - distance / longer length >= SIMILARITY``, with the exact Levenshtein distance of the normalised
+lines. Of every connected group of lines (equal ones included) the first occurrence by (doc_id, line
+number) is kept.
 
 ``dedup_lines`` returns all columns of the documents with the other occurrences cut out of the text, plus
 n_lines and n_removed; ``drop_emptied`` leaves out documents that lost all their text this way. Null
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlytics.llm.buckets import StarBuffer, Union, candidate_groups, tie, tiled
+from sensorlytics.llm.buckets import Union, tiled
 from sensorlytics.llm.common import components, frozen, small_batches, split_heavy, table, utf8
 
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 3, 0.9
@@ -44,39 +45,53 @@ def normalised(line: bytes) -> list[bytes]:
 
 
 class SimHasher:
-    """64-bit SimHash of word lists; remembers each word's bits as +1 and -1."""
+    """64-bit SimHash of word lists: bit i is set if most words' hashes have it set.
+
+    Words of up to three letters, which all lines share, count only where a line has fewer than
+    ``MIN_WORDS`` others. A word's bits are kept spread over the bytes of eight 64-bit numbers, so that
+    words are summed eight bits at a time; long lines are summed in parts of 255 words.
+    """
 
     MEMO = 200_000
 
     def __init__(self):
         self.index: dict[bytes, int] = {}
-        self.rows = np.zeros((1024, 64), np.int8)
+        self.lanes = np.zeros((1024, 8), np.uint64)
 
     def _learn(self, words: set[bytes]) -> None:
         if len(self.index) + len(words) > self.MEMO:
             self.index.clear()
         new = [w for w in words if w not in self.index]
-        need = len(self.index) + len(new)
-        if need > len(self.rows):
-            grown = np.zeros((max(need, 2 * len(self.rows)), 64), np.int8)
-            grown[:len(self.rows)] = self.rows
-            self.rows = grown
+        at, need = len(self.index), len(self.index) + len(new)
+        if need > len(self.lanes):
+            grown = np.zeros((max(need, 2 * len(self.lanes)), 8), np.uint64)
+            grown[:len(self.lanes)] = self.lanes
+            self.lanes = grown
         if new:
             h = np.fromiter((xxhash.xxh64_intdigest(w, 77) for w in new), np.uint64, len(new))
-            at = len(self.index)
-            self.rows[at:need] = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8) * 2 - 1
+            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
+            self.lanes[at:need] = np.ascontiguousarray(bits).view(np.uint64).reshape(-1, 8)
             self.index.update(zip(new, range(at, need)))
 
     def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
         """SimHash of each (not empty) word list."""
         if not lines:
             return np.empty(0, np.int64)
-        flat = list(itertools.chain.from_iterable(lines))
+        used = []
+        for words in lines:
+            long = [w for w in words if len(w) > 3]
+            used.append(long if len(long) >= MIN_WORDS else words)
+        flat = list(itertools.chain.from_iterable(used))
         self._learn(set(flat))
         at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        start = np.cumsum([0, *map(len, lines)][:-1])
-        sums = np.add.reduceat(self.rows[at], start, axis=0, dtype=np.int32)
-        return np.packbits(sums > 0, axis=1).view(np.int64).ravel()
+        size = np.fromiter(map(len, used), np.int64, len(used))
+        start = np.cumsum(size) - size
+        parts = -(-size // 255)
+        first = np.cumsum(parts) - parts
+        inner = np.arange(int(parts.sum())) - np.repeat(first, parts)
+        sums = np.add.reduceat(self.lanes[at], np.repeat(start, parts) + 255 * inner, axis=0)
+        ones = np.add.reduceat(sums.view(np.uint8).reshape(-1, 64).astype(np.int32), first, axis=0)
+        return np.packbits(ones * 2 > size[:, None], axis=1).view(np.int64).ravel()
 
 
 def blocks_for(lines: int) -> int:
@@ -178,19 +193,72 @@ def verify_tile(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
-    """Verified groups of distinct lines: (line, comp). ``lines`` has (line, simhash, first)."""
+def near_in_bucket(bits: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Pairs within ``MAX_BITS`` bits that join the SimHashes of one bucket, all of them compared."""
+    union = Union(len(bits))
+    for i in range(len(bits) - 1):
+        for j in (np.flatnonzero(np.bitwise_count(bits[i + 1:] ^ bits[i]) <= MAX_BITS) + i + 1).tolist():
+            if union.join(i, j):
+                yield i, j
+
+
+def near_hashes(hashes: DataFrame, blocks: int) -> DataFrame:
+    """Edges (a, b) that join the distinct SimHashes within ``MAX_BITS`` bits of each other.
+
+    A bucket holds distinct SimHashes only, so copies of a line never crowd it.
+    """
 
     def index(batches):
-        buffer = StarBuffer()
         for batch in batches:
-            ids, keys = np.asarray(batch.column(0)), index_keys(np.asarray(batch.column(1)), blocks)
-            yield from buffer.add(keys.ravel(), np.repeat(ids, keys.shape[1]))
-        yield from buffer.flush()
+            h = np.asarray(batch.column(0))
+            keys = index_keys(h, blocks)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel(), pa.int64()), pa.array(np.repeat(h, keys.shape[1]), pa.int64())],
+                                             names=["key", "h"])
+
+    def meet(batches):
+        key, held = None, []
 
-    edges = frozen(tie(lines.select("line", "simhash").mapInArrow(index, "kind byte, a long, b long")), "line-edges")
-    groups = candidate_groups(edges, "line-candidates")
-    members = frozen(lines.join(groups.withColumnRenamed("id", "line"), "line").select(
+        def pairs():
+            bits = np.concatenate(held)
+            if len(bits) > 1:
+                found = list(near_in_bucket(bits.view(np.uint64)))
+                yield from ((int(bits[i]), int(bits[j])) for i, j in found)
+
+        for batch in batches:
+            keys, h = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            cuts = np.flatnonzero(np.diff(keys)) + 1
+            edges = []
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
+                if b == a:
+                    continue
+                if key is not None and keys[a] == key:
+                    held.append(h[a:b])
+                    continue
+                if sum(map(len, held)) > 1:
+                    edges.extend(pairs())
+                key, held = keys[a], [h[a:b]]
+            yield _edges(edges)
+        if sum(map(len, held)) > 1:
+            yield _edges(list(pairs()))
+
+    dealt = hashes.mapInArrow(index, "key long, h long").repartition("key").sortWithinPartitions("key", "h")
+    return dealt.mapInArrow(meet, "a long, b long").distinct()
+
+
+def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
+    """Verified groups of distinct lines: (line, comp). ``lines`` has (line, simhash, first)."""
+    hashes = lines.groupBy("simhash").agg(F.count(F.lit(1)).alias("lines"))
+    hashes = frozen(hashes, "line-hashes")
+    groups = components(frozen(near_hashes(hashes.select("simhash"), blocks), "line-edges"), "line-candidates")
+    # lines of a hash that is near another, or that two lines share
+    hashes = hashes.join(groups, hashes["simhash"] == groups["id"], "left").select(
+        "simhash", "lines", F.coalesce("comp", "simhash").alias("grp"), F.col("comp").isNotNull().alias("near")).where(
+        "near OR lines > 1").select("simhash", "grp")
+    members = frozen(lines.join(hashes, "simhash").select(
         "line", "grp", "simhash", F.col("first.id").alias("_id"), F.col("first.text_key").alias("_key"),
         F.col("first.number").alias("number")), "line-members")
     few = F.broadcast(members) if members.count() <= BROADCAST_ROWS else members

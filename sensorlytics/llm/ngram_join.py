@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlytics.llm.buckets import EDGE, StarBuffer, Union, candidate_groups, tie, tiled
+from sensorlytics.llm.buckets import EDGE, StarBuffer, Union, candidate_groups, tie_sorted, tiled
 from sensorlytics.llm.common import components, frozen, mix64, small_batches, table, utf8
 
 SHINGLE = 3
@@ -185,9 +185,7 @@ def _as_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _tie_and_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``buckets.tie`` of the index rows; rows of documents pass as they are."""
-    from sensorlytics.llm.buckets import _tie_sorted
-
+    """``tie_sorted`` of the index rows; rows of documents pass as they are."""
     waiting: list[pa.RecordBatch] = []
 
     def index_rows():
@@ -200,7 +198,7 @@ def _tie_and_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if rest.num_rows:
                 yield rest.select([0, 1, 2])
 
-    for edges in _tie_sorted(index_rows()):
+    for edges in tie_sorted(index_rows()):
         while waiting:
             yield waiting.pop()
         if edges.num_rows:
