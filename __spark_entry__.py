@@ -79,6 +79,31 @@ def _csv_roundtrip(spark, d):
     return I.read_typed_csv(spark, path)
 
 
+def _lines_nonfinite(spark, d):
+    """Readings as lines, with NaN and Infinity as the value of some."""
+    value = F.when(F.col("seq") % 97 == 0, "NaN").when(F.col("seq") % 97 == 1, "-Infinity").otherwise(
+        F.col("value").cast("string"))
+    return X.readings(spark, d).select("seq", F.concat_ws(",", "urn", value, F.col("timestamp").cast("string")).alias("line"))
+
+
+def _counts_bad(spark, d):
+    """Count messages with wrongly typed fields: what is good, and what is rejected."""
+    seq = F.col("seq")
+    ts = F.when(seq % 7 == 0, '"x"').when(seq % 7 == 1, "1.5").otherwise(F.col("timestamp").cast("string"))
+    n = F.when(seq % 7 == 2, '"q"').otherwise(seq.cast("string"))
+    payload = F.concat(F.lit('{"urn":"'), "urn", F.lit('","timestamp":'), ts, F.lit(',"valuesCount":'), n, F.lit("}"))
+    good, rejects = I.parse_counts_json(X.readings(spark, d).select("seq", payload.alias("payload")))
+    return good.select("seq", "timestamp", "values_count", F.lit("").alias("reason")).unionByName(
+        rejects.select("seq", F.lit(-1).cast("long").alias("timestamp"), F.lit(-1).cast("long").alias("values_count"), "reason"))
+
+
+def _flag_edge_cells(spark, d):
+    """2-sigma flags on whole numbers, with readings of no sensor: those are in no cell."""
+    r = X.readings(spark, d).withColumn("urn", F.when(F.col("seq") % 10 != 0, F.col("urn"))).withColumn(
+        "value", F.floor(F.col("value")).cast("double"))
+    return O.std_flag(with_window(r, "1 day")).select("seq", "urn", "is_outlier")
+
+
 def _counts_roundtrip(spark, d):
     good, _ = I.parse_counts_json(K.counts_payload(J.outliers_level1(X.readings(spark, d), "1 day")))
     return good.select("urn", "timestamp", "values_count", "outliers_count")
@@ -183,7 +208,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_strict_utv": lambda s, d: _good(X.lines(s, d, "utv"), "utv"),
     "ingest_trailing": lambda s, d: _good(X.lines_trailing(s, d), "uvt"),
     "ingest_lenient": lambda s, d: _good(X.lines_bad(s, d), "uvt", strict=False),
+    "ingest_lenient_nonfinite": lambda s, d: _good(_lines_nonfinite(s, d), "uvt", strict=False),
     "ingest_csv_typed": _csv_roundtrip,
+    "ingest_counts_json_bad": _counts_bad,
+    "std_flag_edge_cells": _flag_edge_cells,
     "ingest_counts_json": _counts_roundtrip,
     # publish
     "publish_counts_json": lambda s, d: K.counts_payload(J.outliers_level1(X.readings(s, d), "1 day")),
@@ -444,6 +472,12 @@ FROM fv GROUP BY urn, win2""",
     "ingest_strict_rejects": f"WITH {_BAD} SELECT seq, reason FROM b WHERE reason IS NOT NULL",
     "ingest_strict_utv": f"WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
     "ingest_trailing": f"WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
+    "ingest_lenient_nonfinite": f"""WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, "timestamp"
+        FROM r WHERE seq % 97 > 1""",
+    "ingest_counts_json_bad": f"""WITH {_R} SELECT seq, CASE WHEN seq % 7 > 2 THEN "timestamp" ELSE -1 END AS "timestamp",
+        CASE WHEN seq % 7 > 2 THEN seq ELSE -1 END AS values_count, CASE WHEN seq % 7 > 2 THEN '' ELSE 'bad_message' END AS reason FROM r""",
+    "std_flag_edge_cells": f"""WITH {_R}, c AS (SELECT seq, urn, floor(value) AS value, {_pm('"timestamp"', DAY)} AS win FROM r WHERE seq % 10 <> 0),
+        {_flag_ctes('c', 'urn, win', 'value')} SELECT seq, urn, is_outlier FROM f""",
     "ingest_lenient": f"""WITH {_R} SELECT seq, urn, CASE WHEN seq % 101 = 0 THEN 0.0 ELSE CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) END AS value,
        CASE WHEN seq % 103 = 0 THEN 0 ELSE "timestamp" END AS "timestamp" FROM r WHERE seq % 97 <> 0""",
     "ingest_csv_typed": f"WITH {_R} SELECT urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",

@@ -45,3 +45,9 @@ def guarded(stats: DataFrame, k: float = 2.0) -> DataFrame:
 def cell_stats(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k: float = 2.0) -> DataFrame:
     """One row per cell: keys, n, vmin, vmax, mean, sd, lo, hi (partial + final aggregate)."""
     return guarded(rows.groupBy(*keys).agg(*stat_aggs(value)), k)
+
+
+def keyed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Readings of a cell: those without a NULL in ``keys`` (a reading of no sensor, or without a
+    timestamp, is in no cell). Applied before any plan shape is chosen, so that all shapes agree."""
+    return rows.dropna(subset=list(keys))

@@ -12,8 +12,8 @@ Quartile rule: ``iqr_keep_inside`` keeps ``q1 < value < q3`` with type-6 quartil
 
 Plan: cell statistics by partial aggregation, frozen and probed once (``plans.attach``):
 a small table is broadcast; if some cell is hot, the statistics are attached with a
-hot-cell-salted shuffle join; otherwise (many cells, none above one task's share) the
-thresholds are window aggregates over the cell — one shuffle of the readings, no join.
+hot-cell-salted shuffle join; otherwise (many cells, none above one task's share) with a
+plain shuffle join. Readings with a NULL cell key are in no cell and leave every rule.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlytics.operators.cells import CELL
+from sensorlytics.operators.cells import CELL, keyed
 from sensorlytics.plans.attach import attach, freeze, probe
 from sensorlytics.plans.ranking import cells_bounded, rank_by_window, rank_in_cells
 
@@ -33,11 +33,10 @@ def _with_bounds(rows: DataFrame, keys: list[str], value: str, k: float) -> Data
 def _bounds_for(rows: DataFrame, keys: list[str], values: dict[str, str], k: float) -> DataFrame:
     """``rows`` plus ``lo{sfx}`` / ``hi{sfx}`` thresholds for each ``{sfx: value column}``.
 
-    The cell statistics are a partial aggregate, frozen and probed once. A small table is
-    broadcast; a hot cell gets the salted join; otherwise (many cells, none larger than
-    one task's share) the thresholds are recomputed as window aggregates over the cell,
-    which needs one shuffle of the readings and no join.
+    The cell statistics are a partial aggregate, frozen and probed once; every shape attaches
+    this one table, so a reading is judged by the same thresholds however large the data is.
     """
+    rows = keyed(rows, keys)
     aggs = [F.count(F.lit(1)).alias("n")]
     for sfx, value in values.items():
         v = F.col(value)
@@ -45,16 +44,7 @@ def _bounds_for(rows: DataFrame, keys: list[str], values: dict[str, str], k: flo
                  F.min(v).alias(f"_mn{sfx}"), F.max(v).alias(f"_mx{sfx}")]
     raw = rows.groupBy(*keys).agg(*aggs)
     stats = freeze(raw.select(*keys, "n", *[c for sfx in values for c in _guarded(sfx, k)]))
-    decided = probe(stats, keys)
-    if decided["shape"] != "shuffle":
-        return attach(rows, stats, keys, decided=decided)
-    w = Window.partitionBy(*keys)
-    over = rows
-    for sfx, value in values.items():
-        v = F.col(value)
-        over = (over.withColumn(f"_a{sfx}", F.avg(v).over(w)).withColumn(f"_s{sfx}", F.stddev_samp(v).over(w))
-                .withColumn(f"_mn{sfx}", F.min(v).over(w)).withColumn(f"_mx{sfx}", F.max(v).over(w)))
-    return over.select(*rows.columns, *[c for sfx in values for c in _guarded(sfx, k)])
+    return attach(rows, stats, keys, decided=probe(stats, keys))
 
 
 def _guarded(sfx: str, k: float) -> list[Column]:
@@ -150,6 +140,7 @@ def iqr_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value
     ranks and the quartiles are window functions over the same cell partitioning, so one
     shuffle and sort, no join. Otherwise: skew-safe ranking, a quartile table, attach.
     """
+    rows = keyed(rows, keys)
     cols = rows.columns
     v = F.col(value)
     if cells_bounded(rows, keys):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlytics.functions import intfold
-from sensorlytics.operators.cells import CELL, with_slot, with_window
+from sensorlytics.operators.cells import CELL, keyed, with_slot, with_window
 from sensorlytics.plans import tuning
 from sensorlytics.plans.attach import freeze
 from sensorlytics.plans.ranking import rank_in_cells
@@ -139,6 +139,7 @@ def pairwise_avg(rows: DataFrame, width: str | int | None = None, value: str = "
     if width is not None:
         rows = with_window(rows, width)
     keys = keys or CELL
+    rows = keyed(rows, keys)
     order = order or ["timestamp", "seq"]
     carried = [value, *order] + (["timestamp"] if first_ts and "timestamp" not in order else [])
     ranked = rank_in_cells(rows.select(*keys, *carried), keys, order)

@@ -108,7 +108,8 @@ def probe(table: DataFrame, keys: list[str], count_col: str = "n") -> dict:
         n_cells, total, biggest = table.agg(F.count(F.lit(1)), F.sum(count_col), F.max(count_col)).first()
     total, biggest = total or 0, biggest or 0
     hot_row = tuning.row_bytes(table.select(*keys).schema) + 8  # a hot-list row: keys + fan
-    max_hot = max(limit // hot_row, 1)
+    # the hot list has a bound of its own: salting must work where broadcasts are switched off
+    max_hot = max(tuning.HOT_LIST_BYTES // hot_row, 1)
     per_task = max(tuning.get_int(spark, tuning.ROWS_PER_TASK), math.ceil(total / max_hot), 1)
     dense = total >= n_cells * tuning.get_int(spark, tuning.MIN_ROWS_PER_CELL)
     if limit > 0 and n_cells * tuning.row_bytes(table.schema) <= limit and dense:
@@ -137,8 +138,7 @@ def attach(rows: DataFrame, table: DataFrame, keys: list[str], count_col: str =
         # no cell exceeds one task's share: a plain shuffle join is balanced
         return rows.join(table.hint("merge"), keys, "inner")
     per_task = d["per_task"]
-    # at most total / per_task cells qualify (per_task was raised until that many fit the
-    # broadcast limit), so this broadcast is bounded
+    # at most total / per_task cells qualify (per_task was raised until that many fit), so this broadcast is bounded by tuning.HOT_LIST_BYTES
     hot = (table.where(F.col(count_col) > per_task)
            .select(*keys, F.ceil(F.col(count_col) / F.lit(per_task)).cast("int").alias("_fan")))
     fan = F.coalesce(F.col("_fan"), F.lit(1))

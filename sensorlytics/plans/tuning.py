@@ -22,6 +22,10 @@ ROWS_PER_TASK = ("sensorlytics.skew.rowsPerTask", 2_000_000)
 FREEZE_MODE = ("sensorlytics.freeze", "checkpoint")
 
 
+# Most bytes of a hot-cell list, which is broadcast whatever the session's broadcast switch says.
+HOT_LIST_BYTES = 10 << 20
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     key, _ = MAX_BROADCAST_BYTES
     v = spark.conf.get(key, None) or spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")

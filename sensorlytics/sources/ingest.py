@@ -63,15 +63,18 @@ def parse_readings(lines: DataFrame, order: str, strict: bool = True, mode: str
                   .when(t.isNull(), F.lit("bad_timestamp")))
         value, ts = v, t
     else:
-        reason = F.when(~matched, F.lit("field_count"))
-        value = F.when(_finite(v), v).otherwise(F.lit(0.0))
+        # a parsable NaN or Infinity is no 0: it is rejected, like in the strict layout
+        reason = (F.when(~matched, F.lit("field_count"))
+                  .when(v.isNotNull() & ~_finite(v), F.lit("non_finite_value")))
+        value = F.coalesce(v, F.lit(0.0))
         ts = F.coalesce(t, F.lit(0).cast("long"))
     urn = F.regexp_extract(line, pattern, 1)
     ok = reason.isNull()
     if mode == "failfast":
-        guard = F.when(ok, urn).otherwise(
-            F.raise_error(F.concat(F.lit("malformed reading ("), reason, F.lit("): "), line)))
-        good = lines.select(*extra, guard.alias("urn"), value.alias("value"), ts.alias("timestamp"))
+        # a filter, not a column: no later projection can prune it
+        guard = F.when(ok, F.lit(True)).otherwise(F.raise_error(
+            F.concat(F.lit("malformed reading ("), reason, F.lit("): "), F.coalesce(line, F.lit("null")))).cast("boolean"))
+        good = lines.where(guard).select(*extra, urn.alias("urn"), value.alias("value"), ts.alias("timestamp"))
         rejects = lines.where(F.lit(False)).select(*extra, line, F.lit(None).cast("string").alias("reason"))
         return good, rejects
     good = lines.where(ok).select(*extra, urn.alias("urn"), value.alias("value"), ts.alias("timestamp"))
@@ -97,10 +100,12 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_counts_json(messages: DataFrame, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
     """JSON count messages → (urn, timestamp, values_count, outliers_count, ...); rejects
-    are messages that do not parse or have no ``urn``. Unknown fields are ignored."""
+    are messages that do not parse, have a field of the wrong type, or have no ``urn``. Unknown
+    fields are ignored; absent ones are 0."""
     extra = [c for c in messages.columns if c != payload_col]
-    parsed = messages.select(*extra, F.col(payload_col), F.from_json(F.col(payload_col), COUNTS_JSON_SCHEMA).alias("m"))
-    ok = F.col("m.urn").isNotNull()
+    parsed = messages.select(*extra, F.col(payload_col), F.from_json(
+        F.col(payload_col), COUNTS_JSON_SCHEMA + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"}).alias("m"))
+    ok = F.col("m.urn").isNotNull() & F.col("m._bad").isNull()
     good = parsed.where(ok).select(
         *extra, F.col("m.urn").alias("urn"), F.coalesce("m.timestamp", F.lit(0).cast("long")).alias("timestamp"),
         F.coalesce("m.valuesCount", F.lit(0).cast("long")).alias("values_count"),

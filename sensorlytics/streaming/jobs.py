@@ -163,12 +163,11 @@ def _start(stream: DataFrame, fn, checkpoint: str, mode: str, available_now: boo
 
 def _batch_arrival_ms(spark: SparkSession, landing_path: str, batch_id: int) -> int:
     marker = f"{landing_path.rstrip('/')}_arrivals/batch_id={batch_id}"
-    try:
-        return int(spark.read.parquet(marker).first()[0])
-    except Exception:  # first run of this batch: no marker yet
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{marker}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):  # first run of this batch
         now = int(time.time() * 1000)
         spark.createDataFrame([(now,)], "arrival_ms long").write.mode("overwrite").parquet(marker)
-        return int(spark.read.parquet(marker).first()[0])
+    return int(spark.read.parquet(marker).first()[0])
 
 
 def start_pairwise_updates(readings: DataFrame, landing_path: str, out_path: str, checkpoint: str,

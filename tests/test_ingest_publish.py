@@ -119,3 +119,11 @@ def test_typed_csv_and_messages(spark, tmp_path):
     back = spark.read.text(m)
     assert sorted(x.value for x in back.collect()) == ["a,1.500000,100", "b,2.000000,200"]
     assert {x.routing_key for x in back.select("routing_key").collect()} == {"readings"}
+
+
+@pytest.mark.parametrize("agg", ["sum(value)", "count(1)", "min(timestamp)"])
+def test_failfast_fails_whatever_is_read(spark, agg):
+    lines = spark.createDataFrame([("a,1.0,100",), ("garbage",)], "line string")
+    good, _ = I.parse_readings(lines, "uvt", mode="failfast")
+    with pytest.raises(Exception, match="malformed reading"):
+        good.selectExpr(agg).collect()

@@ -58,7 +58,7 @@ def test_no_python_in_plans(spark):
         assert "EvalPython" not in p and "InPandas" not in p
 
 
-def test_tiny_cells_use_window_not_broadcast(spark):
-    # sf0.001, 1-day cells average < 8 readings: thresholds as window aggregates, no join
+def test_tiny_cells_join_the_frozen_table_without_broadcast(spark):
+    # sf0.001, 1-day cells average < 8 readings: broadcasting their table does not pay
     p = plan(J.outliers_level1(X.readings(spark, SF001), "1 day"))
-    assert "Window" in p and "Join" not in p
+    assert "SortMergeJoin" in p and "Window" not in p

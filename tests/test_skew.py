@@ -52,8 +52,8 @@ def test_flags_every_join_shape(spark, conf, shape):
         assert "_salt" in plan
     elif shape == "broadcast":
         assert "BroadcastHashJoin" in plan
-    else:  # many cells, none hot: thresholds are window aggregates, no join
-        assert "_salt" not in plan and "Window" in plan and "Join" not in plan
+    else:  # many cells, none hot: the same frozen thresholds by a plain shuffle join
+        assert "_salt" not in plan and "SortMergeJoin" in plan and "Window" not in plan
     assert as_set(got, "seq", "f") == want
 
 
@@ -137,3 +137,25 @@ def test_constant_hot_sensor_salted(spark, conf):
     assert all(o == 0 for (u, _), (_, o) in got.items() if u == "hot")
     salted = F.pmod(F.xxhash64("urn", "win", "value", "seq"), F.lit(3))
     assert df.where("urn = 'hot'").select(salted).distinct().count() == 3
+
+
+def test_null_keys_and_thresholds_agree_in_every_shape(spark, conf):
+    """Readings of no sensor are in no cell, and on-threshold readings get one verdict, in all shapes."""
+    from pyspark.sql import functions as F
+    from sensorlytics.operators import outliers as O
+    from sensorlytics.operators import reductions as R
+
+    rows = spark.range(0, 1200, 1, 5).select(
+        F.when(F.col("id") % 10 != 0, F.concat(F.lit("u"), (F.col("id") % 3).cast("string"))).alias("urn"),
+        ((F.col("id") * 7919) % 101).cast("double").alias("value"), F.col("id").alias("timestamp"),
+        F.col("id").alias("seq"), F.lit(0).cast("long").alias("win"))
+    found = []
+    for threshold, per_task in (("10485760", "1000000"), ("-1", "1000000"), ("-1", "50"), ("10485760", "50")):
+        conf("spark.sql.autoBroadcastJoinThreshold", threshold)
+        conf("sensorlytics.skew.rowsPerTask", per_task)
+        flags = sorted(map(tuple, O.std_flag(rows).select("seq", "is_outlier").collect()))
+        kept = sorted(r.seq for r in O.iqr_keep_inside(rows).collect())
+        means = sorted((r.urn, round(r.value, 9)) for r in R.pairwise_avg(rows).collect())
+        found.append((flags, kept, means))
+    assert len(found[0][0]) == 1080 and len(found[0][2]) == 3
+    assert all(x == found[0] for x in found)
