@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlytics.llm.common import components
+from sensorlytics.llm.common import components, frozen
 
 KEY, EDGE = 0, 1
 FLUSH = 2_000_000  # bucket rows a task holds
-TILE = 512
+TILE, TILE_BYTES = 1024, 16 << 20
 
 
 def star(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -98,46 +98,46 @@ def candidate_groups(edges: DataFrame, name: str) -> DataFrame:
     return components(edges, name).select("id", F.col("comp").alias("grp"))
 
 
-def tiled(members: DataFrame, band_col: str = "band", tile: int = TILE) -> DataFrame:
-    """Deal members (id, grp, band, ...) of candidate groups into tiles that together hold every pair of
-    equal or neighbouring bands once.
+def tiled(members: DataFrame, payload: str, band_col: str = "band", tile: int = TILE, name: str = "tiles") -> DataFrame:
+    """Deal members (id, grp, band, ``payload``, ...) of candidate groups into tiles that together hold every
+    pair of equal or neighbouring bands once.
 
-    A group of up to ``tile`` members is one tile. A larger one is cut by band and by a hash of the id
-    into cells of about ``tile`` members, and each pair of cells is a tile. Adds tile (string) and side:
-    0 and 1 are the two cells of a tile, 2 marks a tile whose members all meet.
+    A group of up to ``tile`` members and ``TILE_BYTES`` of payload is one tile. A larger one is cut by band
+    and by a hash of the id into cells of about that size, and each pair of cells is a tile. Tiles are
+    worked out on ids alone; the payload is moved once to its tiles. Adds tile (string) and side: 0 and 1
+    are the two cells of a tile, 2 marks members that all meet.
     """
-    cells = members.groupBy("grp", band_col).count()
-    sizes = cells.groupBy("grp").agg(F.sum("count").alias("grp_n"))
-    cuts = cells.select("grp", F.col(band_col).alias("b"), F.ceil(F.col("count") / tile).cast("int").alias("cells"))
+    ids = members.select("id", "grp", band_col, F.octet_length(payload).cast("long").alias("bytes"))
+    cells = frozen(ids.groupBy("grp", band_col).agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes")), f"{name}-cells")
+    big = cells.groupBy("grp").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).where(
+        (F.col("n") > tile) | (F.col("bytes") > TILE_BYTES)).select("grp")
+    cuts = frozen(cells.join(big, "grp").select("grp", F.col(band_col).alias("b"), F.greatest(
+        F.ceil(F.col("n") / tile), F.ceil(F.col("bytes") / TILE_BYTES)).cast("int").alias("cells")), f"{name}-cuts")
 
     def cut_of(shift: int, as_: str) -> DataFrame:
         return cuts.select(F.col("grp").alias("g2"), (F.col("b") - shift).alias("b2"), F.col("cells").alias(as_))
 
-    big = sizes.where(F.col("grp_n") > tile).select("grp")
-    small = members.join(big, "grp", "left_anti").withColumn("tile", F.col("grp").cast("string")).withColumn(
-        "side", F.lit(2))
-    m = members.join(big, "grp", "left_semi")
+    m = ids.drop("bytes")
     for shift, as_ in ((0, "here"), (1, "above"), (-1, "below")):
         c = cut_of(shift, as_)
         m = m.join(c, (m["grp"] == c["g2"]) & (m[band_col] == c["b2"]), "left").drop("g2", "b2")
-    m = m.withColumn("cell", F.pmod(F.xxhash64("id", F.lit(17)), F.col("here")).cast("int"))
-    name = lambda b1, c1, b2, c2: F.concat_ws(":", F.col("grp").cast("string"), b1, c1, b2, c2)
+    m = m.withColumn("cell", F.pmod(F.xxhash64("id", F.lit(17)), F.coalesce("here", F.lit(1))).cast("int"))
+    label = lambda b1, c1, b2, c2: F.concat_ws(":", F.col("grp").cast("string"), b1, c1, b2, c2)
     span = lambda n: F.sequence(F.lit(0), n - 1)
     band = F.col(band_col).cast("string")
     up, down = (F.col(band_col) + 1).cast("string"), (F.col(band_col) - 1).cast("string")
     cell = F.col("cell").cast("string")
-    spots = F.concat(
-        F.transform(span(F.col("here")), lambda o: F.struct(
-            F.when(o < F.col("cell"), name(band, o.cast("string"), band, cell)).otherwise(
-                name(band, cell, band, o.cast("string"))).alias("tile"),
+    spots = F.when(F.col("here").isNull(), F.array(F.struct(F.col("grp").cast("string").alias("tile"), F.lit(2).alias("side")))).otherwise(F.concat(
+        F.transform(span(F.coalesce("here", F.lit(1))), lambda o: F.struct(
+            F.when(o < F.col("cell"), label(band, o.cast("string"), band, cell)).otherwise(
+                label(band, cell, band, o.cast("string"))).alias("tile"),
             F.when(o == F.col("cell"), 2).when(o < F.col("cell"), 1).otherwise(0).alias("side"))),
         F.when(F.col("above") > 0, F.transform(span(F.col("above")), lambda o: F.struct(
-            name(band, cell, up, o.cast("string")).alias("tile"), F.lit(0).alias("side")))).otherwise(F.array()),
+            label(band, cell, up, o.cast("string")).alias("tile"), F.lit(0).alias("side")))).otherwise(F.array()),
         F.when(F.col("below") > 0, F.transform(span(F.col("below")), lambda o: F.struct(
-            name(down, o.cast("string"), band, cell).alias("tile"), F.lit(1).alias("side")))).otherwise(F.array()))
-    large = m.withColumn("spot", F.explode(spots)).withColumn("tile", F.col("spot.tile")).withColumn(
-        "side", F.col("spot.side")).select(*small.columns)
-    return small.unionByName(large)
+            label(down, o.cast("string"), band, cell).alias("tile"), F.lit(1).alias("side")))).otherwise(F.array())))
+    spots = m.select("id", F.explode(spots).alias("spot")).select("id", "spot.tile", "spot.side")
+    return members.join(spots, "id")
 
 
 class Union:

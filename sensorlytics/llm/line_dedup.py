@@ -8,8 +8,8 @@ untouched blocks is an index key. The number of blocks follows the number of lin
 meetings stay rare at any size; it doesn't change which hashes are near. Distinct SimHashes that share a
 key are compared, near ones are joined, and the joined ones name the candidate groups of lines. Inside a
 group, all pairs within ``MAX_BITS`` bits are verified, in tiles of bounded size, by edit similarity,
-``1 - distance / longer length >= SIMILARITY``, with the exact Levenshtein distance of the normalised
-lines. Of every connected group of lines (equal ones included) the first occurrence by (doc_id, line
+``1 - distance / words of the longer line >= SIMILARITY``, with the exact Levenshtein distance over the
+words of the normalised lines. Of every connected group of lines (equal ones included) the first occurrence by (doc_id, line
 number) is kept.
 
 ``dedup_lines`` returns all columns of the documents with the other occurrences cut out of the text, plus
@@ -21,6 +21,7 @@ equal results. An empty table gives an empty result. Columns of any other name p
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,36 +56,43 @@ class SimHasher:
     MEMO = 200_000
 
     def __init__(self):
-        self.index: dict[bytes, int] = {}
-        self.lanes = np.zeros((1024, 8), np.uint64)
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.index) + len(words) > self.MEMO:
-            self.index.clear()
-        new = [w for w in words if w not in self.index]
-        at, need = len(self.index), len(self.index) + len(new)
-        if need > len(self.lanes):
-            grown = np.zeros((max(need, 2 * len(self.lanes)), 8), np.uint64)
-            grown[:len(self.lanes)] = self.lanes
-            self.lanes = grown
-        if new:
-            h = np.fromiter((xxhash.xxh64_intdigest(w, 77) for w in new), np.uint64, len(new))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.index, self.new = _Numbers(self), []
+        self.lanes, self.long = np.zeros((1024, 8), np.uint64), np.zeros(1024, np.int64)
+
+    def _learn(self) -> None:
+        """Bits of the words numbered since the last time."""
+        need = len(self.index)
+        at = need - len(self.new)
+        if need > len(self.long):
+            size = max(need, 2 * len(self.long))
+            self.lanes, old = np.zeros((size, 8), np.uint64), self.lanes
+            self.long, old_long = np.zeros(size, np.int64), self.long
+            self.lanes[:len(old)], self.long[:len(old_long)] = old, old_long
+        if self.new:
+            h = np.fromiter((xxhash.xxh64_intdigest(w, 77) for w in self.new), np.uint64, len(self.new))
             bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
             self.lanes[at:need] = np.ascontiguousarray(bits).view(np.uint64).reshape(-1, 8)
-            self.index.update(zip(new, range(at, need)))
+            self.long[at:need] = [len(w) > 3 for w in self.new]
+            self.new = []
 
     def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
         """SimHash of each (not empty) word list."""
         if not lines:
             return np.empty(0, np.int64)
-        used = []
-        for words in lines:
-            long = [w for w in words if len(w) > 3]
-            used.append(long if len(long) >= MIN_WORDS else words)
-        flat = list(itertools.chain.from_iterable(used))
-        self._learn(set(flat))
-        at = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        size = np.fromiter(map(len, used), np.int64, len(used))
+        if len(self.index) > self.MEMO:
+            self._forget()
+        size = np.fromiter(map(len, lines), np.int64, len(lines))
+        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(lines)), np.int64, int(size.sum()))
+        self._learn()
+        line = np.repeat(np.arange(len(lines)), size)
+        long = self.long[at]
+        n_long = np.bincount(line, long, len(lines)).astype(np.int64)
+        count = (long > 0) | (n_long < MIN_WORDS)[line]
+        at, line = at[count], line[count]
+        size = np.where(n_long < MIN_WORDS, size, n_long)
         start = np.cumsum(size) - size
         parts = -(-size // 255)
         first = np.cumsum(parts) - parts
@@ -94,13 +102,23 @@ class SimHasher:
         return np.packbits(ones * 2 > size[:, None], axis=1).view(np.int64).ravel()
 
 
+class _Numbers(dict):
+    """Words in order of arrival; new ones are listed for their hasher."""
+
+    def __init__(self, hasher):
+        super().__init__()
+        self.hasher = hasher
+
+    def __missing__(self, word):
+        self.hasher.new.append(word)
+        n = self[word] = len(self)
+        return n
+
+
 def blocks_for(lines: int) -> int:
-    """Blocks of the SimHash: the fewest whose keys keep chance meetings below one a line."""
-    for blocks in range(MAX_BITS + 2, 9):
-        choices = len(list(itertools.combinations(range(blocks), MAX_BITS)))
-        if 2 ** (64 * (blocks - MAX_BITS) // blocks) >= 2 * lines * choices:
-            return blocks
-    return 8
+    """Blocks of the SimHash: the fewest whose keys put at most some hundred hashes into a bucket by chance
+    (a bucket's hashes are compared by a few vectorised operations each)."""
+    return next((b for b in range(MAX_BITS + 2, 9) if lines <= 512 * 2 ** (64 * (b - MAX_BITS) // b)), 8)
 
 
 def index_keys(hashes: np.ndarray, blocks: int) -> np.ndarray:
@@ -116,17 +134,18 @@ def index_keys(hashes: np.ndarray, blocks: int) -> np.ndarray:
     return np.stack(out, 1)
 
 
-def levenshtein(a: str, b: str) -> int:
-    """Exact edit distance, bit-parallel over ``a`` (Hyyrö's form of Myers' algorithm on long integers)."""
+def levenshtein(a, b) -> int:
+    """Exact edit distance of two sequences, bit-parallel over ``a`` (Hyyrö's form of Myers' algorithm on
+    long integers)."""
     if not a or not b:
         return len(a) or len(b)
-    where: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        where[ch] = where.get(ch, 0) | (1 << i)
+    where: dict = {}
+    for i, x in enumerate(a):
+        where[x] = where.get(x, 0) | (1 << i)
     full, high = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, dist = full, 0, len(a)
-    for ch in b:
-        eq = where.get(ch, 0)
+    for x in b:
+        eq = where.get(x, 0)
         diag = ((((eq & up) + up) ^ up) | eq | down) & full
         plus, minus = down | (full & ~(diag | up)), up & diag
         if plus & high:
@@ -138,9 +157,34 @@ def levenshtein(a: str, b: str) -> int:
     return dist
 
 
-def similar(a: str, b: str, least: float = SIMILARITY) -> bool:
-    longer = max(len(a), len(b))
-    return abs(len(a) - len(b)) <= (1 - least) * longer and levenshtein(a, b) <= (1 - least) * longer + 1e-9
+class Line:
+    """A line's words and their counts."""
+
+    def __init__(self, text: str):
+        self.words = text.split(" ")
+        self.counts = Counter(self.words)
+
+
+def similar(a: Line, b: Line, least: float = SIMILARITY) -> bool:
+    """Whether 1 - (word edit distance) / (words of the longer line) is ``least`` or more.
+
+    Each edit changes the word counts by one word at most on either side, so most unlike pairs end at
+    the counts; equal beginnings and ends don't change the distance.
+    """
+    x, y = a.words, b.words
+    most = int((1 - least) * max(len(x), len(y)) + 1e-9)
+    if abs(len(x) - len(y)) > most:
+        return False
+    only_a = sum(n - b.counts.get(w, 0) for w, n in a.counts.items() if n > b.counts.get(w, 0))
+    if max(only_a, only_a + len(y) - len(x)) > most:
+        return False
+    lo, hi = 0, 0
+    short = min(len(x), len(y))
+    while lo < short and x[lo] == y[lo]:
+        lo += 1
+    while hi < short - lo and x[-1 - hi] == y[-1 - hi]:
+        hi += 1
+    return levenshtein(x[lo:len(x) - hi], y[lo:len(y) - hi]) <= most
 
 
 # ------------------------------------------------------------------ tables
@@ -172,7 +216,7 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if text != last:
                 last, parts = text, text.split(b"\n")
             out.append(b" ".join(normalised(parts[k])).decode())
-        size = [int(np.log(max(1, len(x))) / -np.log(SIMILARITY)) for x in out]
+        size = [int(np.log(x.count(" ") + 1) / -np.log(SIMILARITY) + 1e-9) for x in out]
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(size, pa.int32()), pa.array(out, pa.string())],
                                          names=["id", "grp", "simhash", "band", "words"])
 
@@ -180,14 +224,14 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def verify_tile(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links that join the similar lines of one tile."""
     pdf = pdf.drop_duplicates("id").sort_values("id").reset_index(drop=True)
-    ids, words, side = pdf["id"].tolist(), pdf["words"].tolist(), pdf["side"].to_numpy()
+    ids, lines, side = pdf["id"].tolist(), [Line(x) for x in pdf["words"]], pdf["side"].to_numpy()
     bits = pdf["simhash"].to_numpy(np.int64).view(np.uint64)
     union, out = Union(len(ids)), []
     for i in range(len(ids) - 1):
         near = np.bitwise_count(bits[i + 1:] ^ bits[i]) <= MAX_BITS
         meets = (side[i + 1:] == 2) | (side[i + 1:] != side[i])
         for j in (np.flatnonzero(near & meets) + i + 1).tolist():
-            if union.root(i) != union.root(j) and similar(words[i], words[j]):
+            if union.root(i) != union.root(j) and similar(lines[i], lines[j]):
                 union.join(i, j)
                 out.append((ids[i], ids[j]))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
@@ -226,11 +270,15 @@ def near_hashes(hashes: DataFrame, blocks: int) -> DataFrame:
 
         for batch in batches:
             keys, h = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-            cuts = np.flatnonzero(np.diff(keys)) + 1
+            if not len(keys):
+                continue
+            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            ends = np.r_[starts[1:], len(keys)]
             edges = []
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)]):
-                if b == a:
-                    continue
+            # buckets of one hash meet nothing, but for the first and last, which may go on in other batches
+            busy = np.flatnonzero(ends - starts > 1)
+            for k in sorted({0, *busy.tolist(), len(starts) - 1}):
+                a, b = int(starts[k]), int(ends[k])
                 if key is not None and keys[a] == key:
                     held.append(h[a:b])
                     continue
@@ -265,7 +313,7 @@ def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
     texts = rows.join(few, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
     payload = frozen(texts.select("line", "grp", "simhash", "number", "text").mapInArrow(
         _text_batches, "id long, grp long, simhash long, band int, words string"), "line-texts")
-    links = frozen(tiled(payload).groupBy("tile").applyInPandas(lambda pdf: verify_tile(pdf), "a long, b long"), "line-links")
+    links = frozen(tiled(payload, "words").groupBy("tile").applyInPandas(lambda pdf: verify_tile(pdf), "a long, b long"), "line-links")
     return components(links, "line-components").select(F.col("id").alias("line"), "comp")
 
 

@@ -6,8 +6,8 @@ put into size bands, so that partners are in the same or neighbouring bands; a b
 elements two partners can differ in. The token universe is hashed into m segments per band. Segment i
 has an allowance e_i: 1 if only equal segments are indexed, 2 if the segment's one-deletion
 neighbourhood is indexed too. If the allowances sum to H + 1 or more, partners must meet in a segment
-(pigeonhole). ``allocate`` picks m, the number of segments with one-deletions and the number of empty
-segments a set may leave out by a cost model: index rows a set makes, plus the partners it would meet
+(pigeonhole). ``allocate`` picks m, the number of segments with one-deletions and the number of segments
+a set may leave out (it leaves out its smallest, which unrelated sets share) by a cost model: index rows a set makes, plus the partners it would meet
 by chance. Deletions pay for small sets, plain segments for large ones.
 
 Sets with equal elements are one *class* from the start. Classes that share a signature are tied into
@@ -109,8 +109,8 @@ def band_of(n: int, num: int = 9, den: int = 10) -> int:
 def allocate(upper: int, num: int = 9, den: int = 10, peers: int = 1_000_000) -> tuple[int, int, int]:
     """(m, deletions, skips) of the band with sizes up to ``upper``.
 
-    The first ``deletions`` segments have allowance 2, the others 1; a set may leave out ``skips`` empty
-    segments, so that two sets leave out at most 2 * skips between them:
+    The first ``deletions`` segments have allowance 2, the others 1; a set may leave out any ``skips`` of
+    those, so that two sets leave out at most 2 * skips between them:
     m + deletions - 2 * skips = H + 1. (0, 0, 0) if partners can only be equal.
     """
     apart = max(most_apart(upper, upper, num, den), upper * (den - num) // num)
@@ -118,15 +118,19 @@ def allocate(upper: int, num: int = 9, den: int = 10, peers: int = 1_000_000) ->
         return 0, 0, 0
     best = None
     for deletions in range(min(4, apart + 1) + 1):
-        for skips in range(3):
+        for skips in [*range(24), *(int(24 * 1.25**k) for k in range(14))]:
             m = apart + 1 - deletions + 2 * skips
             if m < max(1, deletions):
                 continue
-            empty = math.exp(-upper / m)
-            rows = m + deletions * upper / m
-            chance = peers * min(1.0, m * empty) ** (skips + 1) * empty
-            if best is None or rows + chance < best[0]:
-                best = rows + chance, (m, deletions, skips)
+            # a set leaves about Poisson(m / e^size) segments empty and indexes those beyond the skips
+            mean = m * math.exp(-upper / m)
+            p, more = math.exp(-mean), 0.0
+            for k in range(1, skips + 100 + int(mean)):
+                p *= mean / k
+                more += max(0, k - skips) * p
+            cost = m + deletions * upper / m + peers * more * more / m
+            if best is None or cost < best[0]:
+                best = cost, (m, deletions, skips)
     return best[1]
 
 
@@ -150,7 +154,8 @@ def signatures(elements: np.ndarray, num: int = 9, den: int = 10) -> np.ndarray:
         tag = mix64(np.arange(m, dtype=np.uint64) + np.uint64(band << 32), 7)
         use = np.ones(m, bool)
         if skips:
-            use[[i for i in np.flatnonzero(count == 0).tolist() if i >= deletions][:skips]] = False
+            # leave out the segments that say least: the smallest of those with allowance 1
+            use[np.argsort(count[deletions:], kind="stable")[:skips] + deletions] = False
         with np.errstate(over="ignore"):
             out.append(mix64(sums[use] + tag[use], 9))
             if deletions:
@@ -274,7 +279,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("cls").alias("id"), "grp", "copies", "text")
     sets = frozen(texts.mapInArrow(lambda it: _set_batches(it, shingle, num, den),
                                    "id long, grp long, copies long, band int, elements binary"), "ngram-sets")
-    checked = frozen(tiled(sets).groupBy("tile").applyInPandas(
+    checked = frozen(tiled(sets, "elements").groupBy("tile").applyInPandas(
         lambda pdf: verify_tile(pdf, num, den), "id long, other long, links long"), "ngram-links")
     comp = components(checked.where("links = 0").select(F.col("id").alias("a"), F.col("other").alias("b")), "ngram-components")
     links = checked.where("links > 0").groupBy(F.col("id").alias("cls")).agg(F.sum("links").alias("other_links"))
