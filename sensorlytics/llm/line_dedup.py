@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlytics.llm.buckets import Union, tiled
-from sensorlytics.llm.common import components, frozen, small_batches, split_heavy, table, utf8
+from sensorlytics.llm.common import components, frozen, mix64, small_batches, split_heavy, table, utf8
 
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 3, 0.9
 BROADCAST_ROWS = 500_000
@@ -45,74 +45,88 @@ def normalised(line: bytes) -> list[bytes]:
     return line.lower().translate(_DIGITS, _DROP).split()
 
 
-class SimHasher:
-    """64-bit SimHash of word lists: bit i is set if most words' hashes have it set.
-
-    Words of up to three letters, which all lines share, count only where a line has fewer than
-    ``MIN_WORDS`` others. A word's bits are kept spread over the bytes of eight 64-bit numbers, so that
-    words are summed eight bits at a time; long lines are summed in parts of 255 words.
+_TO = np.frombuffer(bytes(32 if c in b"\t\x0b\x0c\r" else c for c in _DIGITS.lower()), np.uint8).copy()
+_TO[0] = 1  # 0 marks what is dropped; the two control characters count as one
+_TO[list(_DROP)] = 0
+_BYTE = mix64(np.arange(256, dtype=np.uint64), 31)
+WORD_BYTES, PARTS = 32, 2048
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words data[start:start + size]: byte by byte for all words at once, sorted by
+    size so that the words a byte is left of come first; words above ``WORD_BYTES`` one by one."""
+    order = np.argsort(-np.minimum(size, WORD_BYTES + 1), kind="stable")
+    at, n = start[order], size[order]
+    long = int(np.count_nonzero(n > WORD_BYTES))
+    h = mix64(n.astype(np.uint64), 32)
+    with np.errstate(over="ignore"):
+        for k in range(WORD_BYTES):
+            left = int(np.searchsorted(-n[long:], -k)) + long
+            if left == long:
+                break
+            h[long:left] = (h[long:left] ^ _BYTE[data[at[long:left] + k]]) * np.uint64(0x9E3779B97F4A7C15)
+            h[long:left] ^= h[long:left] >> np.uint64(29)
+    for i in range(long):
+        h[i] = xxhash.xxh64_intdigest(data[at[i]:at[i] + n[i]].tobytes(), 77)
+    out = np.empty(len(h), np.uint64)
+    out[order] = mix64(h, 33)
+    return out
+
+
+def simhashes(words: np.ndarray, short: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit SimHash of lines: bit i is set if most of the line's word hashes have it set.
+
+    ``words`` are the word hashes of all lines in order, ``size`` their number per line. Words of up to
+    three letters (``short``), which all lines share, count only where a line has fewer than ``MIN_WORDS``
+    others. A word's bits are spread over the bytes of eight 64-bit numbers, so that words are summed
+    eight bits at a time; long lines are summed in parts of 255 words, ``PARTS`` parts at a time.
     """
-
-    MEMO = 200_000
-
-    def __init__(self):
-        self._forget()
-
-    def _forget(self) -> None:
-        self.index, self.new = _Numbers(self), []
-        self.lanes, self.long = np.zeros((1024, 8), np.uint64), np.zeros(1024, np.int64)
-
-    def _learn(self) -> None:
-        """Bits of the words numbered since the last time."""
-        need = len(self.index)
-        at = need - len(self.new)
-        if need > len(self.long):
-            size = max(need, 2 * len(self.long))
-            self.lanes, old = np.zeros((size, 8), np.uint64), self.lanes
-            self.long, old_long = np.zeros(size, np.int64), self.long
-            self.lanes[:len(old)], self.long[:len(old_long)] = old, old_long
-        if self.new:
-            h = np.fromiter((xxhash.xxh64_intdigest(w, 77) for w in self.new), np.uint64, len(self.new))
-            bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1)
-            self.lanes[at:need] = np.ascontiguousarray(bits).view(np.uint64).reshape(-1, 8)
-            self.long[at:need] = [len(w) > 3 for w in self.new]
-            self.new = []
-
-    def __call__(self, lines: list[list[bytes]]) -> np.ndarray:
-        """SimHash of each (not empty) word list."""
-        if not lines:
-            return np.empty(0, np.int64)
-        if len(self.index) > self.MEMO:
-            self._forget()
-        size = np.fromiter(map(len, lines), np.int64, len(lines))
-        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(lines)), np.int64, int(size.sum()))
-        self._learn()
-        line = np.repeat(np.arange(len(lines)), size)
-        long = self.long[at]
-        n_long = np.bincount(line, long, len(lines)).astype(np.int64)
-        count = (long > 0) | (n_long < MIN_WORDS)[line]
-        at, line = at[count], line[count]
-        size = np.where(n_long < MIN_WORDS, size, n_long)
-        start = np.cumsum(size) - size
-        parts = -(-size // 255)
-        first = np.cumsum(parts) - parts
-        inner = np.arange(int(parts.sum())) - np.repeat(first, parts)
-        sums = np.add.reduceat(self.lanes[at], np.repeat(start, parts) + 255 * inner, axis=0)
-        ones = np.add.reduceat(sums.view(np.uint8).reshape(-1, 64).astype(np.int32), first, axis=0)
-        return np.packbits(ones * 2 > size[:, None], axis=1).view(np.int64).ravel()
-
-
-class _Numbers(dict):
-    """Words in order of arrival; new ones are listed for their hasher."""
-
-    def __init__(self, hasher):
-        super().__init__()
-        self.hasher = hasher
-
-    def __missing__(self, word):
-        self.hasher.new.append(word)
-        n = self[word] = len(self)
-        return n
+    if not len(size):
+        return np.empty(0, np.int64)
+    line = np.repeat(np.arange(len(size)), size)
+    n_long = np.bincount(line[~short], minlength=len(size))
+    few = n_long < MIN_WORDS
+    words, size = words[~short | few[line]], np.where(few, size, n_long)
+    parts = -(-size // 255)
+    first = np.cumsum(parts) - parts
+    inner = np.arange(int(parts.sum())) - np.repeat(first, parts)
+    start = np.append(np.repeat(np.cumsum(size) - size, parts) + 255 * inner, len(words))
+    sums = np.empty((len(inner), 64), np.uint8)
+    for a in range(0, len(inner), PARTS):
+        b = min(a + PARTS, len(inner))
+        bits = np.unpackbits(words[start[a]:start[b]].view(np.uint8).reshape(-1, 8), axis=1).view(np.uint64)
+        sums[a:b] = np.add.reduceat(bits, start[a:b] - start[a], axis=0).view(np.uint8)
+    if len(inner) == len(size):
+        return np.packbits(sums.astype(np.int64) * 2 > size[:, None], axis=1).view(np.int64).ravel()
+    ones = np.add.reduceat(sums, first, axis=0, dtype=np.int64)
+    return np.packbits(ones * 2 > size[:, None], axis=1).view(np.int64).ravel()
+
+
+def hashed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, line number, name, SimHash) of every line with ``MIN_WORDS`` words or more. The name is a hash
+    of the normalised line's words and their places."""
+    data = _TO[np.frombuffer(b"\n".join(texts), np.uint8)]
+    data = data[data != 0]
+    ends = np.flatnonzero(data == 10)
+    blank = np.ones(len(data) + 2, bool)
+    blank[1:-1] = (data == 32) | (data == 10)
+    start = np.flatnonzero(blank[:-2] & ~blank[1:-1])
+    size = np.flatnonzero(~blank[1:-1] & blank[2:]) + 1 - start
+    line = np.searchsorted(ends, start)
+    n = np.bincount(line, minlength=len(ends) + 1)
+    good = np.flatnonzero(n >= MIN_WORDS)
+    use = (n >= MIN_WORDS)[line]
+    start, size, n = start[use], size[use], n[good]
+    h = word_hashes(data, start, size)
+    at = np.cumsum(n) - n
+    place = np.arange(len(h)) - np.repeat(at, n)
+    with np.errstate(over="ignore"):
+        placed = mix64(h + mix64(place.astype(np.uint64), 34), 35)
+        names = mix64(np.add.reduceat(placed, at) + n.astype(np.uint64), 36) if len(at) else h
+    lines = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
+    first = np.cumsum(lines) - lines
+    text = np.searchsorted(first, good, "right") - 1
+    return text, good - first[text], names.view(np.int64), simhashes(h, size <= 3, n)
 
 
 def blocks_for(lines: int) -> int:
@@ -190,21 +204,12 @@ def similar(a: Line, b: Line, least: float = SIMILARITY) -> bool:
 # ------------------------------------------------------------------ tables
 
 def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hasher = SimHasher()
     for batch in small_batches(batches, "text", 4 << 20):
-        row, number, names, lists = [], [], [], []
-        for i, text in enumerate(utf8(batch.column(2))):
-            for k, line in enumerate(text.split(b"\n")):
-                words = normalised(line)
-                if len(words) >= MIN_WORDS:
-                    row.append(i)
-                    number.append(k)
-                    names.append(xxhash.xxh64_intdigest(b" ".join(words)) - 2**63)
-                    lists.append(words)
+        row, number, names, hashes = hashed_lines(utf8(batch.column(2)))
         at = pa.array(row, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int64()),
-             pa.array(names, pa.int64()), pa.array(hasher(lists), pa.int64())],
+             pa.array(names, pa.int64()), pa.array(hashes, pa.int64())],
             names=["id", "text_key", "number", "line", "simhash"])
 
 

@@ -212,7 +212,7 @@ def test_lines_are_kept_once(spark, empty):
     text = {r.doc_id: r.text for r in got}
     assert text[1] == rows[0][1] and text[2] == "second own line of two" and text[4] == "ok"
     assert text[5] is None and text[6] == "" and text[7] == "" and text[None] == ""
-    near = line_dedup.SimHasher()([line_dedup.normalised(x.encode()) for x in (long, edited)]).view(np.uint64)
+    near = line_dedup.hashed_lines([x.encode() for x in (long, edited)])[3].view(np.uint64)
     if np.bitwise_count(near[0] ^ near[1]) <= line_dedup.MAX_BITS:
         assert text[3] == "ok"
     left = {r.doc_id for r in line_dedup.dedup_lines(docs, drop_emptied=True).collect()}
@@ -220,6 +220,30 @@ def test_lines_are_kept_once(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_hashed_lines_against_plain_lines():
+    """Same lines and numbers as splitting each text; one name per normalised line; bits by majority."""
+    rng = random.Random(5)
+    texts = [x.encode() for x in (
+        "", "a b c d e", "A-b 12 cc\td e\r\nx", "\n\n", "one two three four five\n", "z" * 100 + " q w e r t",
+        "\x0ba\x0cb c d e f", " ".join(str(rng.random()) for _ in range(3000)), "\u00e9 \u00fc \u00f1 a b c\nA b, C d. e")]
+    plain = [(i, k, b" ".join(w)) for i, t in enumerate(texts) for k, x in enumerate(t.split(b"\n"))
+             if len(w := line_dedup.normalised(x)) >= line_dedup.MIN_WORDS]
+    row, number, names, hashes = line_dedup.hashed_lines(texts)
+    assert [(i, k) for i, k, _ in plain] == list(zip(row.tolist(), number.tolist()))
+    seen = {}
+    for (_, _, line), name, h in zip(plain, names.tolist(), hashes.tolist()):
+        assert seen.setdefault(line, (name, h)) == (name, h)
+        words, data = line.split(), np.frombuffer(line, np.uint8)
+        at = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        own = line_dedup.word_hashes(data, at, np.array([len(w) for w in words]))
+        count = np.array([len(w) > 3 for w in words])
+        own = own[count] if count.sum() >= line_dedup.MIN_WORDS else own
+        ones = np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=int)
+        assert np.packbits(ones * 2 > len(own)).view(np.int64)[0] == h
+    assert len({name for name, _ in seen.values()}) == len(seen)
+    assert all(len(x) == 0 for x in line_dedup.hashed_lines([b""]))
+
+
 def test_near_hashes_finds_all_pairs(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200).astype(np.uint64)
