@@ -11,7 +11,11 @@ a set may leave out (it leaves out its smallest, which unrelated sets share) by
 by chance. Deletions pay for small sets, plain segments for large ones.
 
 Sets with equal elements are one *class* from the start. Classes that share a signature are tied into
-candidate groups (``buckets``), and inside a group all pairs whose sizes allow it are verified exactly.
+candidate groups (``buckets``). Documents that share a passage can tie very many classes together, so
+groups are first cut down by *parity sketches*: bit i of a set's sketch is the parity of its elements with
+hash i, so two sketches differ in at most as many bits as the sets differ in elements. Pairs whose sketches
+differ in more bits than linked sets may differ in elements are no links; the others join the narrower
+groups, inside which all pairs whose sizes allow it are verified exactly.
 
 ``near_groups`` returns, per row: n_shingles, n_links (other rows linked to it, equal texts included)
 and component_id (smallest id reachable by links). Null or empty texts have an empty set, link with
@@ -40,6 +44,7 @@ from sensorlytics.llm.common import components, frozen, mix64, small_batches, ta
 SHINGLE = 3
 DOC = 2  # kind of the rows (doc_id, class, size)
 BROADCAST_ROWS = 500_000  # 24 bytes each
+SKETCH_TILE = 4096  # members of a tile of sketches
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
@@ -164,29 +169,86 @@ def signatures(elements: np.ndarray, num: int = 9, den: int = 10) -> np.ndarray:
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.empty(0, np.int64)
 
 
+# ------------------------------------------------------------------ parity sketches
+
+def sketch_bits(n: int) -> int:
+    """Bits of the sketch of a set of n elements: the power of two from 2 n up, at least 256."""
+    return max(256, 1 << (2 * n - 1).bit_length())
+
+
+def parity_sketch(elements: np.ndarray) -> bytes:
+    """Bit i: whether an odd number of elements hash to i. The hash of a smaller sketch is the lower bits of
+    the same hash, so XOR of a sketch's halves is the sketch of half the bits."""
+    bits = sketch_bits(len(elements))
+    spot = (mix64(elements, 211) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(spot, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def join_sketches(pdf: pd.DataFrame, num: int = 9, den: int = 10) -> pd.DataFrame:
+    """Edges (a, b) that join the members of one tile whose sketches allow a link.
+
+    Members are sorted by size; a member's partners are the next ones up to the largest size a link allows,
+    whose sketches are folded to the length of its own.
+    """
+    pdf = pdf.drop_duplicates("id").sort_values(["n", "id"], kind="stable").reset_index(drop=True)
+    ids, n, side = (pdf[c].to_numpy(np.int64) for c in ("id", "n", "side"))
+    words = np.array([len(x) // 8 for x in pdf["sketch"]], np.int64)
+    own = {int(w): np.frombuffer(b"".join(pdf["sketch"][words == w]), np.uint64).reshape(-1, w) for w in np.unique(words)}
+    start = {w: int(np.searchsorted(words, w)) for w in own}
+
+    def folded(w: int, to: int) -> np.ndarray:
+        m = own[w]
+        while m.shape[1] > to:
+            half = m.shape[1] // 2
+            m = m[:, :half] ^ m[:, half:]
+        return m
+
+    union, out = Union(len(ids)), []
+    views: dict = {}
+    for i in range(len(ids) - 1):
+        w, last = int(words[i]), int(np.searchsorted(n, n[i] * den // num, "right"))
+        me = own[w][i - start[w]]
+        for v in own:
+            a, b = max(i + 1, start[v]), min(last, start[v] + len(own[v]))
+            if v < w or a >= b:
+                continue
+            if (v, w) not in views:
+                views[v, w] = folded(v, w)
+            apart = np.bitwise_count(views[v, w][a - start[v]:b - start[v]] ^ me).sum(axis=1, dtype=np.int64)
+            near = apart * (den + num) <= (n[i] + n[a:b]) * (den - num)
+            meets = (side[a:b] == 2) | (side[a:b] != side[i])
+            for j in (np.flatnonzero(near & meets) + a).tolist():
+                if union.join(i, j):
+                    out.append((ids[i], ids[j]))
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 # ------------------------------------------------------------------ the join
 
 def _index_batches(batches: Iterator[pa.RecordBatch], shingle: int, num: int, den: int) -> Iterator[pa.RecordBatch]:
     shingler, buffer = Shingler(shingle), StarBuffer()
     for batch in small_batches(batches, "text"):
-        classes, sizes = [], []
+        classes, sizes, sketches = [], [], []
         for text in utf8(batch.column(1)):
             elements = shingler(text)
             name = class_of(elements)
             classes.append(name if len(elements) else None)
             sizes.append(len(elements))
+            sketches.append(parity_sketch(elements) if len(elements) else None)
             keys = signatures(elements, num, den)
             yield from _as_rows(buffer.add(keys, np.full(len(keys), name, np.int64)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(batch.num_rows, DOC, np.int8), pa.int8()), batch.column(0), pa.array(classes, pa.int64()),
-             pa.array(sizes, pa.int64()), batch.column(2)], names=["kind", "a", "b", "n", "text_key"])
+             pa.array(sizes, pa.int64()), batch.column(2), pa.array(sketches, pa.binary())],
+            names=["kind", "a", "b", "n", "text_key", "sketch"])
     yield from _as_rows(buffer.flush())
 
 
 def _as_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         none = pa.nulls(b.num_rows, pa.int64())
-        yield pa.RecordBatch.from_arrays([*b.columns, none, none], names=["kind", "a", "b", "n", "text_key"])
+        yield pa.RecordBatch.from_arrays([*b.columns, none, none, pa.nulls(b.num_rows, pa.binary())],
+                                         names=["kind", "a", "b", "n", "text_key", "sketch"])
 
 
 def _tie_and_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,16 +322,23 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     num, den = similarity
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_key"))
-    schema = "kind byte, a long, b long, n long, text_key long"
+    schema = "kind byte, a long, b long, n long, text_key long, sketch binary"
     indexed = rows.mapInArrow(lambda it: _index_batches(it, shingle, num, den), schema)
     dealt = indexed.repartition(F.col("kind"), F.xxhash64("a", F.when(F.col("kind") != 0, F.col("b")))).sortWithinPartitions(
         "kind", "a", "b")
     found = frozen(dealt.mapInArrow(_tie_and_pass, schema), "ngram-index")
-    members = found.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("cls"), "n", "text_key")
+    members = found.where(F.col("kind") == DOC).select(F.col("a").alias("id"), F.col("b").alias("cls"), "n", "text_key", "sketch")
     groups = candidate_groups(found.where(F.col("kind") == EDGE).select("a", "b"), "ngram-candidates")
     classes = frozen(members.where("cls IS NOT NULL").groupBy("cls").agg(
-        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("text_key"))).alias("rep")), "ngram-classes")
+        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"),
+        F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("text_key"))).alias("rep"),
+        F.any_value("sketch").alias("sketch")), "ngram-classes")
+    band = F.udf(lambda n: band_of(n, num, den), "int")
+    sketches = frozen(classes.join(groups.withColumnRenamed("id", "cls"), "cls").select(
+        F.col("cls").alias("id"), "grp", "n", band("n").alias("band"), "sketch"), "ngram-sketches")
+    close = frozen(tiled(sketches, "sketch", tile=SKETCH_TILE, name="ngram-sketch-tiles").groupBy("tile").applyInPandas(
+        lambda pdf: join_sketches(pdf, num, den), "a long, b long"), "ngram-close")
+    groups = candidate_groups(close, "ngram-narrow")
     reps = classes.join(groups.withColumnRenamed("id", "cls"), "cls").select(
         "cls", "grp", "copies", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key"))
     reps = frozen(reps, "ngram-members")
@@ -283,7 +352,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         lambda pdf: verify_tile(pdf, num, den), "id long, other long, links long"), "ngram-links")
     comp = components(checked.where("links = 0").select(F.col("id").alias("a"), F.col("other").alias("b")), "ngram-components")
     links = checked.where("links > 0").groupBy(F.col("id").alias("cls")).agg(F.sum("links").alias("other_links"))
-    named = classes.join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = classes.drop("sketch", "n", "rep").join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     first = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     named = named.join(first, "comp").join(links, "cls", "left").select(
         "cls", "component_id", (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -320,6 +321,31 @@ def test_near_groups(spark, docs, empty, shingle, sim):
     assert ngram_join.near_groups(empty).count() == 0
 
 
+@pytest.mark.parametrize("num,den", [(9, 10), (8, 10), (2, 5)])
+def test_sketches_lose_no_link(num, den):
+    """Linked sets, of equal or other sketch lengths, end up in one group; groups of unlike sets fall apart."""
+    rng = np.random.default_rng(8)
+    sets = []
+    for size in (3, 40, 120, 128, 131, 500, 1020):
+        base = rng.integers(0, 2**63, size).astype(np.uint64)
+        sets += [base, base[: max(1, -(-size * num // den))], np.append(base[size // 20:], rng.integers(0, 2**63, size // 40).astype(np.uint64))]
+    passage = sets[-1][:300]
+    sets += [np.append(passage, rng.integers(0, 2**63, 700).astype(np.uint64)) for _ in range(5)]
+    for sides in ([2] * len(sets), [i % 2 for i in range(len(sets))]):
+        pdf = pd.DataFrame({"id": range(len(sets)), "n": [len(s) for s in sets], "side": sides,
+                            "sketch": [ngram_join.parity_sketch(s) for s in sets]})
+        union = ngram_join.Union(len(sets))
+        for a, b in ngram_join.join_sketches(pdf, num, den).itertuples(index=False):
+            union.join(a, b)
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if both * den >= (len(sets[i]) + len(sets[j]) - both) * num and (sides[i] == 2 or sides[i] != sides[j]):
+                    assert union.root(i) == union.root(j)
+        if den == 10:
+            assert len({union.root(i) for i in range(len(sets) - 5, len(sets))}) == 5
+
+
 def test_pigeonhole_holds():
     """Any two sets that are similar enough share a signature, whatever the allocation."""
     rng = np.random.default_rng(8)
