@@ -10,7 +10,7 @@ are then checked, in tiles of bounded size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -140,6 +140,42 @@ def tiled(members: DataFrame, payload: str, band_col: str = "band", tile: int =
     return members.join(spots, "id")
 
 
+def per_tile(tiles: DataFrame, work: Callable[[pa.Table], list[tuple]], columns: list[str]) -> DataFrame:
+    """Rows (of longs) that ``work`` makes of each tile. It gets the tile's members, distinct and sorted by
+    id; a tile of one member has no pairs and is passed over. Tiles are read one after another from
+    sorted partitions, so a task holds one tile at a time.
+    """
+
+    def rows_of(parts: list[pa.RecordBatch]) -> list[tuple]:
+        if sum(p.num_rows for p in parts) < 2:
+            return []
+        tile = pa.Table.from_batches(parts)
+        first = np.unique(np.asarray(tile["id"]), return_index=True)[1]
+        return work(tile.take(first)) if len(first) > 1 else []
+
+    def run(batches):
+        name, held = None, []
+        for batch in batches:
+            names, found = np.array(batch.column(0).to_pylist(), object), []
+            starts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), batch.num_rows]
+            for a, b in zip(starts, starts[1:]):
+                if a == b:
+                    continue
+                if names[a] != name:
+                    found.extend(rows_of(held))
+                    name, held = names[a], []
+                held.append(batch.slice(a, b - a))
+            yield _longs(found, columns)
+        yield _longs(rows_of(held), columns)
+
+    dealt = tiles.select("tile", *(c for c in tiles.columns if c != "tile")).repartition("tile").sortWithinPartitions("tile")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in columns))
+
+
+def _longs(rows: list[tuple], columns: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(columns))], names=columns)
+
+
 class Union:
     """Union by smallest index, for the members of one tile."""
 

@@ -25,13 +25,12 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlytics.llm.buckets import Union, tiled
+from sensorlytics.llm.buckets import Union, per_tile, tiled
 from sensorlytics.llm.common import components, frozen, mix64, small_batches, split_heavy, table, utf8
 
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 3, 0.9
@@ -226,11 +225,10 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                          names=["id", "grp", "simhash", "band", "words"])
 
 
-def verify_tile(pdf: pd.DataFrame) -> pd.DataFrame:
+def verify_tile(tile: pa.Table) -> list[tuple[int, int]]:
     """Links that join the similar lines of one tile."""
-    pdf = pdf.drop_duplicates("id").sort_values("id").reset_index(drop=True)
-    ids, lines, side = pdf["id"].tolist(), [Line(x) for x in pdf["words"]], pdf["side"].to_numpy()
-    bits = pdf["simhash"].to_numpy(np.int64).view(np.uint64)
+    ids, lines, side = tile["id"].to_pylist(), [Line(x) for x in tile["words"].to_pylist()], np.asarray(tile["side"])
+    bits = np.asarray(tile["simhash"]).view(np.uint64)
     union, out = Union(len(ids)), []
     for i in range(len(ids) - 1):
         near = np.bitwise_count(bits[i + 1:] ^ bits[i]) <= MAX_BITS
@@ -239,7 +237,7 @@ def verify_tile(pdf: pd.DataFrame) -> pd.DataFrame:
             if union.root(i) != union.root(j) and similar(lines[i], lines[j]):
                 union.join(i, j)
                 out.append((ids[i], ids[j]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return out
 
 
 def near_in_bucket(bits: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -318,7 +316,7 @@ def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
     texts = rows.join(few, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
     payload = frozen(texts.select("line", "grp", "simhash", "number", "text").mapInArrow(
         _text_batches, "id long, grp long, simhash long, band int, words string"), "line-texts")
-    links = frozen(tiled(payload, "words").groupBy("tile").applyInPandas(lambda pdf: verify_tile(pdf), "a long, b long"), "line-links")
+    links = frozen(per_tile(tiled(payload, "words"), lambda tile: verify_tile(tile), ["a", "b"]), "line-links")
     return components(links, "line-components").select(F.col("id").alias("line"), "comp")
 
 

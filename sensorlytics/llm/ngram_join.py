@@ -31,14 +31,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlytics.llm.buckets import EDGE, StarBuffer, Union, candidate_groups, tie_sorted, tiled
+from sensorlytics.llm.buckets import EDGE, StarBuffer, Union, candidate_groups, per_tile, tie_sorted, tiled
 from sensorlytics.llm.common import components, frozen, mix64, small_batches, table, utf8
 
 SHINGLE = 3
@@ -184,17 +183,19 @@ def parity_sketch(elements: np.ndarray) -> bytes:
     return np.packbits((np.bincount(spot, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def join_sketches(pdf: pd.DataFrame, num: int = 9, den: int = 10) -> pd.DataFrame:
+def join_sketches(tile: pa.Table, num: int = 9, den: int = 10) -> list[tuple[int, int]]:
     """Edges (a, b) that join the members of one tile whose sketches allow a link.
 
     Members are sorted by size; a member's partners are the next ones up to the largest size a link allows,
     whose sketches are folded to the length of its own.
     """
-    pdf = pdf.drop_duplicates("id").sort_values(["n", "id"], kind="stable").reset_index(drop=True)
-    ids, n, side = (pdf[c].to_numpy(np.int64) for c in ("id", "n", "side"))
-    words = np.array([len(x) // 8 for x in pdf["sketch"]], np.int64)
-    own = {int(w): np.frombuffer(b"".join(pdf["sketch"][words == w]), np.uint64).reshape(-1, w) for w in np.unique(words)}
-    start = {w: int(np.searchsorted(words, w)) for w in own}
+    tile = tile.sort_by([("n", "ascending"), ("id", "ascending")])
+    ids, n, side = (np.asarray(tile[c]).astype(np.int64) for c in ("id", "n", "side"))
+    sketches = tile["sketch"].to_pylist()
+    words = np.array([len(x) // 8 for x in sketches], np.int64)
+    start = {int(w): int(np.searchsorted(words, w)) for w in np.unique(words)}
+    own = {w: np.frombuffer(b"".join(sketches[a:a + np.count_nonzero(words == w)]), np.uint64).reshape(-1, w)
+           for w, a in start.items()}
 
     def folded(w: int, to: int) -> np.ndarray:
         m = own[w]
@@ -220,7 +221,7 @@ def join_sketches(pdf: pd.DataFrame, num: int = 9, den: int = 10) -> pd.DataFram
             for j in (np.flatnonzero(near & meets) + a).tolist():
                 if union.join(i, j):
                     out.append((ids[i], ids[j]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return out
 
 
 # ------------------------------------------------------------------ the join
@@ -284,35 +285,33 @@ def _set_batches(batches: Iterator[pa.RecordBatch], shingle: int, num: int, den:
                                           packed], names=["id", "grp", "copies", "band", "elements"])
 
 
-def verify_tile(pdf: pd.DataFrame, num: int = 9, den: int = 10) -> pd.DataFrame:
-    """Exact links of one tile: spanning links as (id, other) and the weight of each member's links.
+def verify_tile(tile: pa.Table, num: int = 9, den: int = 10) -> list[tuple[int, int, int]]:
+    """Exact links of one tile: spanning links as (id, other, 0) and, as (id, id, links), the weight of each
+    member's links.
 
     The elements are renumbered once; then each member marks its elements and all others count theirs
     among the marks, one gather for the whole tile.
     """
-    pdf = pdf.drop_duplicates("id").sort_values("id", kind="stable").reset_index(drop=True)
-    sets = [np.frombuffer(x, np.uint64) for x in pdf["elements"]]
-    n, side = np.array([len(s) for s in sets], np.int64), pdf["side"].to_numpy()
-    ids, copies = pdf["id"].to_numpy(np.int64), pdf["copies"].to_numpy(np.int64)
-    links = np.zeros(len(pdf), np.int64)
-    spanning, union = [], Union(len(pdf))
-    if len(pdf) > 1:
-        codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        start = np.cumsum(n) - n
-        mark = np.zeros(int(codes.max()) + 1, bool)
-        for i in range(len(pdf) - 1):
-            own = codes[start[i]:start[i] + n[i]]
-            mark[own] = True
-            shared = np.add.reduceat(mark[codes[start[i + 1]:]], start[i + 1:] - start[i + 1], dtype=np.int64)
-            mark[own] = False
-            meets = (side[i + 1:] == 2) | (side[i + 1:] != side[i])
-            for j in (np.flatnonzero(meets & (shared * den >= (n[i] + n[i + 1:] - shared) * num)) + i + 1).tolist():
-                links[i] += copies[j]
-                links[j] += copies[i]
-                if union.join(i, j):
-                    spanning.append((ids[i], ids[j], 0))
-    own = [(i, i, k) for i, k in zip(ids.tolist(), links.tolist()) if k]
-    return pd.DataFrame(spanning + own, columns=["id", "other", "links"]).astype("int64")
+    sets = [np.frombuffer(x, np.uint64) for x in tile["elements"].to_pylist()]
+    ids, copies, side = (np.asarray(tile[c]) for c in ("id", "copies", "side"))
+    n = np.array([len(s) for s in sets], np.int64)
+    links = np.zeros(len(sets), np.int64)
+    spanning, union = [], Union(len(sets))
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    start = np.cumsum(n) - n
+    mark = np.zeros(int(codes.max()) + 1, bool)
+    for i in range(len(sets) - 1):
+        own = codes[start[i]:start[i] + n[i]]
+        mark[own] = True
+        shared = np.add.reduceat(mark[codes[start[i + 1]:]], start[i + 1:] - start[i + 1], dtype=np.int64)
+        mark[own] = False
+        meets = (side[i + 1:] == 2) | (side[i + 1:] != side[i])
+        for j in (np.flatnonzero(meets & (shared * den >= (n[i] + n[i + 1:] - shared) * num)) + i + 1).tolist():
+            links[i] += copies[j]
+            links[j] += copies[i]
+            if union.join(i, j):
+                spanning.append((ids[i], ids[j], 0))
+    return spanning + [(i, i, k) for i, k in zip(ids.tolist(), links.tolist()) if k]
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -336,8 +335,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     band = F.udf(lambda n: band_of(n, num, den), "int")
     sketches = frozen(classes.join(groups.withColumnRenamed("id", "cls"), "cls").select(
         F.col("cls").alias("id"), "grp", "n", band("n").alias("band"), "sketch"), "ngram-sketches")
-    close = frozen(tiled(sketches, "sketch", tile=SKETCH_TILE, name="ngram-sketch-tiles").groupBy("tile").applyInPandas(
-        lambda pdf: join_sketches(pdf, num, den), "a long, b long"), "ngram-close")
+    close = frozen(per_tile(tiled(sketches, "sketch", tile=SKETCH_TILE, name="ngram-sketch-tiles"),
+                            lambda tile: join_sketches(tile, num, den), ["a", "b"]), "ngram-close")
     groups = candidate_groups(close, "ngram-narrow")
     reps = classes.join(groups.withColumnRenamed("id", "cls"), "cls").select(
         "cls", "grp", "copies", F.col("rep.id").alias("rep_id"), F.col("rep.text_key").alias("text_key"))
@@ -348,8 +347,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("cls").alias("id"), "grp", "copies", "text")
     sets = frozen(texts.mapInArrow(lambda it: _set_batches(it, shingle, num, den),
                                    "id long, grp long, copies long, band int, elements binary"), "ngram-sets")
-    checked = frozen(tiled(sets, "elements").groupBy("tile").applyInPandas(
-        lambda pdf: verify_tile(pdf, num, den), "id long, other long, links long"), "ngram-links")
+    checked = frozen(per_tile(tiled(sets, "elements"), lambda tile: verify_tile(tile, num, den), ["id", "other", "links"]),
+                     "ngram-links")
     comp = components(checked.where("links = 0").select(F.col("id").alias("a"), F.col("other").alias("b")), "ngram-components")
     links = checked.where("links > 0").groupBy(F.col("id").alias("cls")).agg(F.sum("links").alias("other_links"))
     named = classes.drop("sketch", "n", "rep").join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))

@@ -5,8 +5,8 @@ import random
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -332,10 +332,10 @@ def test_sketches_lose_no_link(num, den):
     passage = sets[-1][:300]
     sets += [np.append(passage, rng.integers(0, 2**63, 700).astype(np.uint64)) for _ in range(5)]
     for sides in ([2] * len(sets), [i % 2 for i in range(len(sets))]):
-        pdf = pd.DataFrame({"id": range(len(sets)), "n": [len(s) for s in sets], "side": sides,
-                            "sketch": [ngram_join.parity_sketch(s) for s in sets]})
+        tile = pa.table({"id": list(range(len(sets))), "n": [len(s) for s in sets], "side": sides,
+                         "sketch": [ngram_join.parity_sketch(s) for s in sets]})
         union = ngram_join.Union(len(sets))
-        for a, b in ngram_join.join_sketches(pdf, num, den).itertuples(index=False):
+        for a, b in ngram_join.join_sketches(tile, num, den):
             union.join(a, b)
         for i in range(len(sets)):
             for j in range(i):
