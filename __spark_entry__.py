@@ -6,14 +6,17 @@ both sides so the value hashes do not depend on summation order. Window widths f
 FIXTURES.md §3 (dense enough that the 2-sigma rules have outliers to find).
 
 ``stream_*`` queries stage the readings (or text lines) as files under the checkpoint
-folder, run the stream to completion with ``availableNow`` and return the sink table; the
-append-mode ones hold exactly the windows ending at least 5 minutes before the last
-reading (the final watermark), which their SQL states the same way.
+folder, run the stream to completion with ``availableNow`` and return the sink table. Their
+input is bounded, so it ends with an end marker that closes every window;
+``stream_outliers_endless`` alone runs without one and holds the windows ending at least 5
+minutes before the last reading (the final watermark), which its SQL states the same way.
+``text_*`` and ``stream_text_*`` queries start from text lines without ``seq``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,30 +180,51 @@ def _stream_pairwise(spark, d, proc_width=None):
     return SS.read_latest(spark, out, ["urn", "win"]).select("urn", "timestamp", "value")
 
 
+def _bounded(spark, stream, start, name):
+    """Run a closed-window job over all of its input, its last windows included."""
+    out, ckpt = scratch_path(spark, name), scratch_path(spark, "ckpt")
+    SJ.run_bounded(stream, scratch_path(spark, "end"),
+                   lambda end_marker: start(stream, out, ckpt, end_marker=end_marker))
+    return out
+
+
 def _stream_closed(spark, d, transform):
-    out = scratch_path(spark, "closed")
-    _run(SJ.start_on_closed_windows(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"),
-                                    transform, "1 day"))
-    return SS.read_table(spark, out)
+    start = partial(SJ.start_on_closed_windows, transform=transform, width="1 day")
+    return SS.read_table(spark, _bounded(spark, SJ.reading_stream(spark, _stage(spark, d)), start, "closed"))
 
 
 def _stream_level1(spark, d, width):
-    out = scratch_path(spark, "level1")
-    _run(SJ.start_outlier_counts(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"),
-                                 width))
-    return out
+    start = partial(SJ.start_outlier_counts, width=width)
+    return _bounded(spark, SJ.reading_stream(spark, _stage(spark, d)), start, "level1")
 
 
 def _stream_outliers(spark, d):
     return SS.read_table(spark, _stream_level1(spark, d, "1 day"))
 
 
-def _stream_second_level(spark, d):
-    lvl1 = _stream_level1(spark, d, "6 hours")
-    out = scratch_path(spark, "level2")
-    _run(SJ.start_second_level(SJ.level1_stream(spark, lvl1), out, scratch_path(spark, "ckpt"), "3 days"))
+def _stream_outliers_endless(spark, d):
+    out = scratch_path(spark, "endless")
+    _run(SJ.start_outlier_counts(SJ.reading_stream(spark, _stage(spark, d)), out, scratch_path(spark, "ckpt"), "1 day"))
     return SS.read_table(spark, out)
 
+
+def _stream_second_level(spark, d):
+    lvl1 = SJ.level1_stream(spark, _stream_level1(spark, d, "6 hours"))
+    return SS.read_table(spark, _bounded(spark, lvl1, partial(SJ.start_second_level, width="3 days"), "level2"))
+
+
+def _text_readings(spark, d):
+    """Readings parsed from text lines: no ``seq``."""
+    return I.parse_readings(X.lines(spark, d, "uvt").select("line"), "uvt")[0]
+
+
+def _stream_text_outliers(spark, d):
+    src = scratch_path(spark, "text-readings")
+    X.lines(spark, d, "uvt").select("line").write.text(src)
+    readings, _ = I.parse_readings(SJ.text_stream(spark, src), "uvt")
+    return SS.read_table(spark, _bounded(spark, readings, partial(SJ.start_outlier_counts, width="1 day"), "text-level1"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # ingest
     "ingest_strict_uvt": lambda s, d: _good(X.lines_bad(s, d), "uvt"),
@@ -233,6 +257,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_window_mean": _stream_window_mean,
     "stream_outliers_5min": _stream_outliers,
     "stream_outliers_60min": _stream_second_level,
+    "stream_outliers_endless": _stream_outliers_endless,
+    "stream_text_outliers": _stream_text_outliers,
     "stream_pairwise_avg": _stream_pairwise,
     "stream_iqr_summary_raw_vs_clean": lambda s, d: _stream_closed(
         s, d, lambda b: J.iqr_summary_raw_vs_clean(b, "1 day")),
@@ -240,6 +266,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         s, d, lambda b: J.std_summary_raw_vs_clean(b, "1 day")),
     "stream_std_removed_summary": lambda s, d: _stream_closed(s, d, lambda b: J.std_removed_summary(b, "1 day")),
     "stream_proc_time_pairwise_avg": lambda s, d: _stream_pairwise(s, d, "10 seconds"),
+    # file jobs from text lines
+    "text_iqr_summary": lambda s, d: J.iqr_summary_raw_vs_clean(_text_readings(s, d), "1 day"),
+    "text_std_removed_summary": lambda s, d: J.std_removed_summary(_text_readings(s, d), "1 day"),
+    "text_pairwise_avg": lambda s, d: R.pairwise_avg(_text_readings(s, d), "1 day"),
     # JOB10 batch reductions on hourly slots
     "batch_sum": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "sum"),
     "batch_avg": lambda s, d: J.batch_reductions(X.readings(s, d), 60).select("urn", "timestamp", "average"),
@@ -441,13 +471,18 @@ SELECT 'o60min', {_json(('urn', 'urn'), ('timestamp', '"timestamp"'), ('outliers
                          ('outliersOnOutliersCount', 'outliers_on_outliers_count'))} FROM o""",
     "stream_window_mean": f"""WITH {_R} SELECT urn, {_pm('"timestamp"', 300000)} AS "timestamp",
        CAST(round(CAST(avg(value) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value FROM r GROUP BY urn, 2""",
-    "stream_iqr_summary_raw_vs_clean": f"""SELECT * FROM ({_raw_vs_clean(_IQR_CTES, "kept")})
-WHERE start + {DAY} <= {_MAXTS} - 300000""",
-    "stream_std_summary_raw_vs_clean": f"""SELECT * FROM ({_raw_vs_clean(
-        _STD_KEEP + ", kept AS (SELECT * FROM f WHERE value > lo AND value < hi)", "kept")})
-WHERE start + {DAY} <= {_MAXTS} - 300000""",
-    "stream_std_removed_summary": f"""SELECT * FROM (WITH {_STD_KEEP}, kept AS (SELECT * FROM f WHERE NOT is_outlier) {
-        _summary_sql("kept", DAY)}) WHERE start + {DAY} <= {_MAXTS} - 300000""",
+    "stream_iqr_summary_raw_vs_clean": _raw_vs_clean(_IQR_CTES, "kept"),
+    "text_iqr_summary": _raw_vs_clean(_IQR_CTES, "kept"),
+    "stream_std_summary_raw_vs_clean": _raw_vs_clean(
+        _STD_KEEP + ", kept AS (SELECT * FROM f WHERE value > lo AND value < hi)", "kept"),
+    "stream_std_removed_summary": f"""WITH {_STD_KEEP}, kept AS (SELECT * FROM f WHERE NOT is_outlier) {
+        _summary_sql("kept", DAY)}""",
+    "text_std_removed_summary": f"""WITH {_STD_KEEP}, kept AS (SELECT * FROM f WHERE NOT is_outlier) {
+        _summary_sql("kept", DAY)}""",
+    "text_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", {_pm('"timestamp"', DAY)} AS win FROM r),
+k AS ({_ranked('c', 'urn, win', '"timestamp", value')})
+SELECT urn, win AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
+FROM k GROUP BY urn, win""",
     "stream_pairwise_avg": f"""WITH {_R}, c AS (SELECT urn, value, "timestamp", seq, {_pm('"timestamp"', DAY)} AS win FROM r),
 k AS ({_ranked('c', 'urn, win', '"timestamp", seq')})
 SELECT urn, win AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
@@ -455,12 +490,12 @@ FROM k GROUP BY urn, win""",
     "stream_proc_time_pairwise_avg": f"""WITH {_R}, k AS ({_ranked('r', 'urn', '"timestamp", seq')})
 SELECT urn, min("timestamp") AS "timestamp", CAST(round(CAST(sum(value * pow(0.5, least(n - 1, n - rn + 1))) AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value
 FROM k GROUP BY urn""",
-    "stream_outliers_5min": f"""WITH {_level1(_R, DAY)} SELECT * FROM l1
+    "stream_outliers_5min": f"WITH {_level1(_R, DAY)} SELECT * FROM l1",
+    "stream_text_outliers": f"WITH {_level1(_R, DAY)} SELECT * FROM l1",
+    "stream_outliers_endless": f"""WITH {_level1(_R, DAY)} SELECT * FROM l1
 WHERE "timestamp" + {DAY} <= {_MAXTS} - 300000""",
-    "stream_outliers_60min": f"""WITH {_level1(_R, 6 * HOUR, 'l1all')},
-l1 AS (SELECT * FROM l1all WHERE "timestamp" + {6 * HOUR} <= {_MAXTS} - 300000),
-c2 AS (SELECT *, {_pm('"timestamp"', 3 * DAY)} AS win2 FROM l1
-       WHERE {_pm('"timestamp"', 3 * DAY)} + {3 * DAY} <= (SELECT max("timestamp") FROM l1) - 300000),
+    "stream_outliers_60min": f"""WITH {_level1(_R, 6 * HOUR)},
+c2 AS (SELECT *, {_pm('"timestamp"', 3 * DAY)} AS win2 FROM l1),
 {_flag_ctes('c2', 'urn, win2', 'values_count', name='fv')},
 {_flag_ctes('c2', 'urn, win2', 'outliers_count', name='fo')}
 SELECT urn, win2 AS "timestamp", count(*) AS intervals,

@@ -20,6 +20,17 @@ def with_window(rows: DataFrame, width: str | int, ts: str = "timestamp", out: s
     return rows.withColumn(out, window_start_ms(ts, width))
 
 
+def id_columns(rows: DataFrame) -> list[str]:
+    """The unique ``seq`` of a reading, where its source has one (text readings have none)."""
+    return ["seq"] if "seq" in rows.columns else []
+
+
+def time_order(rows: DataFrame, value: str = "value") -> list[str]:
+    """Time order of readings. Ties follow ``seq``; without it they follow the value, so only
+    equal readings are left, which no operator tells apart."""
+    return ["timestamp", *(id_columns(rows) or [value])]
+
+
 def with_slot(rows: DataFrame, minutes: int, ts: str = "timestamp", out: str = "win") -> DataFrame:
     """Add the calendar slot (minute-of-hour floor) of each reading."""
     return rows.withColumn(out, slot_floor_ms(ts, minutes))

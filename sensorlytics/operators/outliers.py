@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlytics.operators.cells import CELL, keyed
+from sensorlytics.operators.cells import CELL, id_columns, keyed
 from sensorlytics.plans.attach import attach, freeze, probe
 from sensorlytics.plans.ranking import cells_bounded, rank_by_window, rank_in_cells
 
@@ -113,7 +113,7 @@ def _type6_ranks(p: float) -> tuple[Column, Column, Column]:
 def quartiles(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
               order: list[str] | None = None) -> DataFrame:
     """Exact type-6 q1/q3 per cell, from ranks computed without a per-cell task."""
-    tie = order or ["seq"]
+    tie = order or id_columns(rows)
     ranked = rank_in_cells(rows.select(*keys, value, *tie), keys, [value, *tie])
     lo1, up1, f1 = _type6_ranks(0.25)
     lo3, up3, f3 = _type6_ranks(0.75)
@@ -144,7 +144,7 @@ def iqr_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value
     cols = rows.columns
     v = F.col(value)
     if cells_bounded(rows, keys):
-        ranked = rank_by_window(rows, keys, [value, *(order or ["seq"])])
+        ranked = rank_by_window(rows, keys, [value, *(order or id_columns(rows))])
         w = Window.partitionBy(*keys)
         rn = F.col("rn")
         qs = []

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlytics.functions import intfold
-from sensorlytics.operators.cells import CELL, keyed, with_slot, with_window
+from sensorlytics.operators.cells import CELL, keyed, time_order, with_slot, with_window
 from sensorlytics.plans import tuning
 from sensorlytics.plans.attach import freeze
 from sensorlytics.plans.ranking import rank_in_cells
@@ -42,13 +42,16 @@ def window_int_mean(rows: DataFrame, width: str | int, value: str = "value") ->
     For a cell whose readings are all >= 0 the running sum only ever adds ``floor(v)``
     and saturates at 2^31-1; all <= 0 adds ``ceil(v)`` and saturates at -2^31. That closed
     form is one partial aggregate. A cell with mixed signs depends on the arrival order;
-    its answer is the ordered fold over (timestamp, seq): cells of at most
+    its answer is the ordered fold over (timestamp, seq), or (timestamp, value) where readings
+    have no ``seq``. NULL readings count in no cell, in every form. Cells of at most
     ``sensorlytics.skew.rowsPerTask`` readings fold a sorted array JVM-side; larger ones
     stream their sorted readings through a carried accumulator (``functions.intfold``),
     one task per such cell because the fold is sequential, but without holding the cell.
     """
-    cells = with_window(rows, width)
     v = F.col(value)
+    if "seq" not in rows.columns:
+        rows = rows.withColumn("seq", F.lit(0).cast("long"))
+    cells = with_window(rows.where(v.isNotNull()), width)
     # per-cell aggregate, frozen: it feeds the closed form and both mixed-sign branches
     agg = freeze(cells.groupBy("urn", "win").agg(
         F.count(v).alias("n"), F.min(v).alias("vmin"), F.max(v).alias("vmax"),
@@ -77,7 +80,7 @@ def _streamed_int_mean(cells: DataFrame, value: str) -> DataFrame:
     # ship the small fold module with the function itself, so executors need no install
     cloudpickle.register_pickle_by_value(intfold)
     ordered = (cells.select("urn", "win", "timestamp", "seq", F.col(value).alias("value"))
-               .repartition("urn", "win").sortWithinPartitions("urn", "win", "timestamp", "seq"))
+               .repartition("urn", "win").sortWithinPartitions("urn", "win", "timestamp", "seq", "value"))
     return ordered.mapInPandas(intfold.fold_sorted_cells, "urn string, timestamp long, value double")
 
 
@@ -140,8 +143,8 @@ def pairwise_avg(rows: DataFrame, width: str | int | None = None, value: str = "
         rows = with_window(rows, width)
     keys = keys or CELL
     rows = keyed(rows, keys)
-    order = order or ["timestamp", "seq"]
-    carried = [value, *order] + (["timestamp"] if first_ts and "timestamp" not in order else [])
+    order = order or time_order(rows, value)
+    carried = list(dict.fromkeys([value, *order, *(["timestamp"] if first_ts else [])]))
     ranked = rank_in_cells(rows.select(*keys, *carried), keys, order)
     w = F.pow(F.lit(0.5), F.least(F.col("n") - 1, F.col("n") - F.col("rn") + 1))
     aggs = [F.sum(F.col(value) * w).alias("value")] + ([F.min("timestamp").alias("first_ts")] if first_ts else [])

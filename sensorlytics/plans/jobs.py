@@ -1,7 +1,7 @@
 """The eleven jobs of the reference as DataFrame pipelines (batch form).
 
-Each function takes readings ``(urn, value, timestamp, seq)`` — or a previous job's
-output — plus its parameters, and returns a lazy DataFrame. Window widths are
+Each function takes readings ``(urn, value, timestamp)``, with a unique ``seq`` where the
+source has one — or a previous job's output — plus its parameters, and returns a lazy DataFrame. Window widths are
 parameters: the reference's defaults (5 minutes, 60 minutes) are kept as defaults.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorlytics.operators import outliers as O
 from sensorlytics.operators import reductions as R
 from sensorlytics.functions.timecols import window_start_ms
-from sensorlytics.operators.cells import CELL, with_slot, with_window
+from sensorlytics.operators.cells import CELL, id_columns, with_slot, with_window
 from sensorlytics.plans.attach import freeze
 
 # The reference's default widths and 2-sigma factor.
@@ -108,7 +108,8 @@ def proc_time_pairwise_avg(rows: DataFrame, arrival_col: str = "arrival_ms",
     """JOB7 (batch form): pairwise fold per (urn, arrival-time window); timestamp = the
     earliest reading's timestamp. ``arrival_col`` holds arrival epoch ms."""
     cells = rows.withColumn("win", window_start_ms(arrival_col, width))
-    folded = R.pairwise_avg(cells, None, "value", CELL, [arrival_col, "seq"], first_ts=True)
+    folded = R.pairwise_avg(cells, None, "value", CELL,
+                          [arrival_col, *(id_columns(rows) or ["timestamp", "value"])], first_ts=True)
     return folded.select("urn", F.col("first_ts").alias("timestamp"), "value")
 
 

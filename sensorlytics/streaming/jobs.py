@@ -1,7 +1,8 @@
 """Stream jobs.
 
-Readings streams carry ``urn, value, timestamp (epoch ms), seq``; the event time used for
-watermarks is ``timestamp_millis(timestamp)``.
+Readings streams carry ``urn, value, timestamp (epoch ms)`` and, where the source has one, a
+unique ``seq``; the event time used for watermarks is ``timestamp_millis(timestamp)``. Without
+``seq`` (text messages) equal readings are counted in state and told apart by a copy number.
 
 * :func:`passthrough_lines` — text messages → lenient parse → CSV payloads (JOB6);
   :func:`passthrough` does the same for typed readings. Stateless.
@@ -11,10 +12,14 @@ watermarks is ``timestamp_millis(timestamp)``.
 * :func:`start_outlier_counts` — JOB1 on a stream: readings are held in state until the
   watermark closes their window (late readings are dropped), each closed window is then
   handed to ``foreachBatch`` whole and flagged with the batch operators (skew-safe attach).
-  State holds one row per buffered reading keyed by (window, urn, seq), so even a hot
-  cell's buffer is spread over all state partitions.
+  State holds one row per buffered reading keyed by (window, urn, seq), or (window, urn,
+  timestamp, value) without ``seq``, so even a hot cell's buffer is spread over all state
+  partitions.
 * :func:`start_second_level` — JOB2 on the stream of level-1 counts, same pattern.
 * :func:`start_on_closed_windows` — any batch job on the closed windows (JOB3-JOB5).
+* :func:`run_bounded` — a bounded input: once all of it is read, an end marker moves the
+  watermark past every window, so the last windows are emitted too. Without an end marker the
+  stream is endless and emits a window only when later readings close it.
 * :func:`start_pairwise_updates` — pairwise running average (JOB8 event time with unlimited
   lateness, JOB7 processing time): readings land in a table partitioned by window and the
   touched cells are re-folded with the skew-safe batch fold each micro-batch.
@@ -23,9 +28,10 @@ watermarks is ``timestamp_millis(timestamp)``.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +44,8 @@ READING_SCHEMA = "urn STRING, value DOUBLE, timestamp BIGINT, seq BIGINT"
 # The reference's watermark delay and unlimited lateness.
 WATERMARK_DELAY = "5 minutes"
 UNLIMITED_LATENESS = "10000 days"
+# Event time of the end marker, 9999-12-30: later than any reading's window.
+END_OF_INPUT_MS = 253_402_128_000_000
 
 
 def reading_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -83,39 +91,94 @@ def window_mean_updates(readings: DataFrame, width: str | int = "5 minutes",
     return g.select("urn", F.unix_millis("w.start").alias("timestamp"), "value")
 
 
-def _buffer_closed_windows(readings: DataFrame, width: str | int, delay: str, id_cols: list[str],
-                           value_cols: list[str]) -> DataFrame:
-    """Hold readings until the watermark passes their window's end, then emit them (append).
+def _with_end_marker(stream: DataFrame, marker_path: str | None) -> DataFrame:
+    """The stream, and with it the end marker once :func:`end_input` has written it."""
+    if marker_path is None:
+        return stream
+    spark = stream.sparkSession
+    # the file source wants a folder to watch; an existing one (with its marker) is left alone
+    spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(marker_path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(marker_path))
+
+
+def end_input(stream: DataFrame, marker_path: str) -> None:
+    """Declare the input of ``stream`` complete: one row of no sensor, later than all readings.
+
+    Its own window ends behind the watermark it sets, so it never reaches an output. A second
+    marker (a retry) falls into the same window and changes nothing."""
+    fields = {"timestamp": F.lit(END_OF_INPUT_MS)}
+    row = stream.sparkSession.range(1).select(
+        *[fields.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in stream.schema.fields])
+    row.coalesce(1).write.mode("append").parquet(marker_path)
+
+
+def run_bounded(stream: DataFrame, marker_path: str, start: Callable[..., StreamingQuery]) -> None:
+    """Run a closed-window job over a bounded input to its very end.
+
+    ``start(end_marker=...)`` starts the query (the same checkpoint each time). The first run
+    reads all input; then the end marker is written and the second run closes every window
+    that is left, as a bounded source's final watermark does."""
+    for last in (False, True):
+        if last:
+            end_input(stream, marker_path)
+        query = start(end_marker=marker_path)
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
 
-    ``id_cols`` identify a reading within its sensor (a replayed duplicate collapses)."""
+
+def _buffer_closed_windows(readings: DataFrame, width: str | int, delay: str, id_cols: list[str],
+                           held: dict[str, Column]) -> DataFrame:
+    """Hold readings until the watermark passes their window's end, then emit them (append),
+    one row per ``id_cols`` within a sensor with the ``held`` aggregates."""
     w = spark_interval(width)
     g = (with_event_time(readings).withWatermark("event_time", delay)
          .groupBy(F.window("event_time", w).alias("w"), "urn", *id_cols)
-         .agg(*[F.first(c).alias(c) for c in value_cols]))
-    return g.select("urn", *id_cols, F.unix_millis("w.start").alias("win"), *value_cols)
+         .agg(*[c.alias(name) for name, c in held.items()]))
+    return g.select("urn", *id_cols, F.unix_millis("w.start").alias("win"), *held)
+
+
+def _first(*names: str) -> dict[str, Column]:
+    """A reading's columns, kept once: a replayed duplicate collapses."""
+    return {name: F.first(name) for name in names}
+
+
+def _buffer_closed_readings(readings: DataFrame, width: str | int, delay: str) -> DataFrame:
+    """Closed windows' readings ``(urn, win, value, timestamp, seq)``, whole cells.
+
+    Readings without ``seq`` are held as (timestamp, value, copies) and come out once per
+    copy, with the copy's number as ``seq``: equal readings all count."""
+    if "seq" in readings.columns:
+        return _buffer_closed_windows(readings, width, delay, ["seq"], _first("value", "timestamp"))
+    held = _buffer_closed_windows(readings, width, delay, ["timestamp", "value"], {"n": F.count(F.lit(1))})
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))
+    return held.select("urn", "win", "value", "timestamp", copy.alias("seq"))
 
 
 def start_on_closed_windows(readings: DataFrame, out_path: str, checkpoint: str, transform,
                             width: str | int = "5 minutes", delay: str = WATERMARK_DELAY,
-                            available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+                            available_now: bool = True, processing_time: str | None = None,
+                            end_marker: str | None = None) -> StreamingQuery:
     """Run a batch job on every window the watermark closes (JOB3, JOB4, JOB5 as streams).
 
     ``transform`` receives the closed windows' readings ``(urn, value, timestamp, seq)`` —
-    whole cells — and returns the rows to append to ``out_path``."""
-    closed = _buffer_closed_windows(readings, width, delay, ["seq"], ["value", "timestamp"])
+    whole cells — and returns the rows to append to ``out_path``. ``end_marker``: see
+    :func:`run_bounded`."""
+    closed = _buffer_closed_readings(_with_end_marker(readings, end_marker), width, delay)
     return _start(closed, batch_writer(out_path, lambda b: transform(b.drop("win"))), checkpoint, "append",
                   available_now, processing_time)
 
 
 def start_outlier_counts(readings: DataFrame, out_path: str, checkpoint: str, width: str | int = "5 minutes",
                          delay: str = WATERMARK_DELAY, k: float = 2.0, available_now: bool = True,
-                         processing_time: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None, end_marker: str | None = None) -> StreamingQuery:
     """JOB1 as a stream: level-1 counts of every closed window, appended to ``out_path``."""
-    closed = _buffer_closed_windows(readings, width, delay, ["seq"], ["value"])
+    closed = _buffer_closed_readings(_with_end_marker(readings, end_marker), width, delay)
 
     def counts(batch: DataFrame) -> DataFrame:
         from sensorlytics.operators import outliers as O
-        flagged = O.std_flag(batch.select("urn", "win", "value"), CELL, "value", k)
+        # timestamp and seq keep equal values of a hot cell on different salts
+        flagged = O.std_flag(batch.select("urn", "win", "value", "timestamp", "seq"), CELL, "value", k)
         return (O.outlier_counts(flagged, CELL)
                 .select("urn", F.col("win").alias("timestamp"), "values_count", "outliers_count"))
 
@@ -130,9 +193,10 @@ def level1_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def start_second_level(level1: DataFrame, out_path: str, checkpoint: str, width: str | int = "60 minutes",
                        delay: str = WATERMARK_DELAY, k: float = 2.0, available_now: bool = True,
-                       processing_time: str | None = None) -> StreamingQuery:
+                       processing_time: str | None = None, end_marker: str | None = None) -> StreamingQuery:
     """JOB2 as a stream over level-1 counts (their window start is the event time)."""
-    closed = _buffer_closed_windows(level1, width, delay, ["timestamp"], ["values_count", "outliers_count"])
+    closed = _buffer_closed_windows(_with_end_marker(level1, end_marker), width, delay, ["timestamp"],
+                                    _first("values_count", "outliers_count"))
 
     def second(batch: DataFrame) -> DataFrame:
         from sensorlytics.operators import outliers as O

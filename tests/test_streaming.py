@@ -78,3 +78,68 @@ def test_pairwise_stream_refolds_late_cells(spark):
                                   out, scratch_path(spark, "t-pw-ck"), "1 day"))
     got = {x.timestamp: x.value for x in SS.read_latest(spark, out, ["urn", "win"]).collect()}
     assert got == {0: ((1.0 + 2.0) / 2 + 4.0) / 2, DAY: 8.0}
+
+
+def test_bounded_run_emits_the_last_windows(spark):
+    schema = "urn string, value double, timestamp long, seq long"
+    day1 = [("s", float(v), 1000 * i, i) for i, v in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 50])]
+    day2 = [("s", 1.0, DAY + 600_000, 100), (None, 3.0, DAY + 700_000, 101)]
+    src, out, ckpt = (scratch_path(spark, n) for n in ("t-end", "t-end-out", "t-end-ck"))
+    spark.createDataFrame(day1, schema).coalesce(1).write.parquet(src)
+    time.sleep(1.1)
+    spark.createDataFrame(day2, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = SJ.reading_stream(spark, src, max_files_per_trigger=1)
+    marker = scratch_path(spark, "t-end-mark")
+
+    def start(end_marker):
+        return SJ.start_outlier_counts(stream, out, ckpt, "1 day", end_marker=end_marker)
+
+    def counts():
+        return sorted(((x.urn or "", x.timestamp, x.values_count, x.outliers_count)
+                       for x in SS.read_table(spark, out).collect()))
+
+    SJ.run_bounded(stream, marker, start)
+    assert counts() == [("s", 0, 10, 1), ("s", DAY, 1, 0)]  # no marker row; a reading of no sensor is in no cell
+    SJ.run_bounded(stream, marker, start)                  # a retry adds nothing
+    assert counts() == [("s", 0, 10, 1), ("s", DAY, 1, 0)]
+
+
+def test_stream_without_seq_counts_equal_readings(spark):
+    rows = [("s", 1.0, 1000)] * 9 + [("s", 50.0, 2000)] + [("t", 2.0, 1000)] * 3
+    src, out, ckpt = (scratch_path(spark, n) for n in ("t-noseq", "t-noseq-out", "t-noseq-ck"))
+    spark.createDataFrame(rows, "urn string, value double, timestamp long").repartition(3).write.parquet(src)
+    stream = spark.readStream.schema("urn string, value double, timestamp long").parquet(src)
+    SJ.run_bounded(stream, scratch_path(spark, "t-noseq-mark"),
+                   lambda end_marker: SJ.start_outlier_counts(stream, out, ckpt, "1 day", end_marker=end_marker))
+    got = sorted((x.urn, x.values_count, x.outliers_count) for x in SS.read_table(spark, out).collect())
+    assert got == [("s", 10, 1), ("t", 3, 0)]
+
+
+def test_batch_operators_without_seq(spark):
+    r = X.readings(spark, SF001)
+    plain = r.drop("seq")
+
+    def rows(df):
+        return sorted((x.urn, x.timestamp, round(x.value, 9)) for x in df.collect())
+
+    # readings of one sensor at the same millisecond would differ only in the order of ties
+    assert r.groupBy("urn", "timestamp").count().where("count > 1").isEmpty()
+    assert rows(R.pairwise_avg(plain, "1 day")) == rows(R.pairwise_avg(r, "1 day"))
+    signed = X.readings_signed(spark, SF001)
+    assert rows(R.window_int_mean(signed.drop("seq"), "1 day")) == rows(R.window_int_mean(signed, "1 day"))
+    shuffled = plain.unionByName(plain.limit(50)).repartition(5, "value")
+    assert rows(R.pairwise_avg(shuffled, "1 day")) == rows(R.pairwise_avg(shuffled.repartition(2), "1 day"))
+
+
+def test_int_mean_leaves_null_readings_out_at_every_size(spark):
+    rows = [("s", v, 1000 * i, i) for i, v in enumerate([5.0, None, -2.0, 4.0, None, -1.0])] + [("t", None, 0, 9)]
+    r = spark.createDataFrame(rows, "urn string, value double, timestamp long, seq long")
+    want = [("s", 0, 1.0)]
+    before = spark.conf.get("sensorlytics.skew.rowsPerTask", None)
+    for limit in ("1000", "2"):
+        spark.conf.set("sensorlytics.skew.rowsPerTask", limit)
+        try:
+            assert [tuple(x) for x in R.window_int_mean(r, "1 day").collect()] == want
+        finally:
+            spark.conf.unset("sensorlytics.skew.rowsPerTask") if before is None else spark.conf.set(
+                "sensorlytics.skew.rowsPerTask", before)
