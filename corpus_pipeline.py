@@ -43,7 +43,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_dedup.dedup_lines(docs, drop_emptied=True)
+    left = line_dedup.dedup_lines(docs, drop_emptied=True, least_words=0)
     return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(
         F.col("n_chars"))).select(*COLUMNS)
 

@@ -1,8 +1,10 @@
 """Fuzzy line deduplication.
 
 Lines are normalised (A-Z lower-cased, digits to one mark, punctuation dropped, white space runs to one
-blank) and hashed; lines of fewer than ``MIN_WORDS`` words are left alone. Each distinct line gets a
-64-bit SimHash of its words. The bits are cut into blocks: two SimHashes that differ in at most
+blank) and hashed; equal ones are copies of a line at any length. A line of marks only, which normalises
+to nothing, is named by its marks; blank lines are left alone. Each distinct line of ``MIN_CHARS``
+characters or more gets a 64-bit SimHash of its words; a shorter one has no other line within
+``SIMILARITY``, as it may not differ in one character. The bits are cut into blocks: two SimHashes that differ in at most
 ``MAX_BITS`` bits agree in all but ``MAX_BITS`` blocks (pigeonhole), so each choice of that many
 untouched blocks is an index key. The number of blocks follows the number of lines, so that chance
 meetings stay rare at any size; it doesn't change which hashes are near. Distinct SimHashes that share a
@@ -16,6 +18,8 @@ number) is kept.
 n_lines and n_removed; ``drop_emptied`` leaves out documents that lost all their text this way. Null
 texts stay null, a null id sorts last. Rows that repeat (equal id and text) are one document and get
 equal results. An empty table gives an empty result. Columns of any other name pass through.
+``least_words`` leaves lines of fewer words alone: the query and the pipeline ask for all lines (0), the
+default of ``dedup_lines`` is ``MIN_WORDS``.
 """
 
 from __future__ import annotations
@@ -34,9 +38,11 @@ from sensorlytics.llm.buckets import Union, per_tile, tiled
 from sensorlytics.llm.common import components, frozen, mix64, small_batches, split_heavy, table, utf8
 
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 3, 0.9
+MIN_CHARS = 10  # the fewest of which a tenth is one character
 BROADCAST_ROWS = 500_000
 _DIGITS = bytes(48 if 48 <= c <= 57 else c for c in range(256))
 _DROP = bytes([*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)])
+_MARKS_AND_BLANKS = _DROP + b" \t\x0b\x0c\r"
 
 
 def normalised(line: bytes) -> list[bytes]:
@@ -102,8 +108,13 @@ def simhashes(words: np.ndarray, short: np.ndarray, size: np.ndarray) -> np.ndar
 
 
 def hashed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, line number, name, SimHash) of every line with ``MIN_WORDS`` words or more. The name is a hash
-    of the normalised line's words and their places."""
+    """(text, line number, name, SimHash) of every line with ``MIN_WORDS`` words or more."""
+    return named_lines(texts, MIN_WORDS)[:4]
+
+
+def named_lines(texts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, line number, name, SimHash, characters) of every line with a word and ``least`` words or more.
+    The name is a hash of the normalised line's words and their places."""
     data = _TO[np.frombuffer(b"\n".join(texts), np.uint8)]
     data = data[data != 0]
     ends = np.flatnonzero(data == 10)
@@ -113,11 +124,13 @@ def hashed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     size = np.flatnonzero(~blank[1:-1] & blank[2:]) + 1 - start
     line = np.searchsorted(ends, start)
     n = np.bincount(line, minlength=len(ends) + 1)
-    good = np.flatnonzero(n >= MIN_WORDS)
-    use = (n >= MIN_WORDS)[line]
+    good = np.flatnonzero(n >= max(least, 1))
+    use = (n >= max(least, 1))[line]
     start, size, n = start[use], size[use], n[good]
     h = word_hashes(data, start, size)
     at = np.cumsum(n) - n
+    upto = np.append(0, np.cumsum((data & 0xC0) != 0x80))  # bytes that begin a character
+    chars = (np.add.reduceat(upto[start + size] - upto[start], at) if len(at) else at) + n - 1
     place = np.arange(len(h)) - np.repeat(at, n)
     with np.errstate(over="ignore"):
         placed = mix64(h + mix64(place.astype(np.uint64), 34), 35)
@@ -125,7 +138,15 @@ def hashed_lines(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     lines = np.array([t.count(b"\n") + 1 for t in texts], np.int64)
     first = np.cumsum(lines) - lines
     text = np.searchsorted(first, good, "right") - 1
-    return text, good - first[text], names.view(np.int64), simhashes(h, size <= 3, n)
+    return text, good - first[text], names.view(np.int64), simhashes(h, size <= 3, n), chars
+
+
+def marked_lines(texts: list[bytes]) -> tuple[list[int], list[int], list[int]]:
+    """(text, line number, name) of every line that has marks but no words."""
+    rows = [(i, k, xxhash.xxh64_intdigest(b" ".join(marks), 78) - 2**63)
+            for i, text in enumerate(texts) for k, line in enumerate(text.split(b"\n"))
+            if not line.translate(None, _MARKS_AND_BLANKS) and (marks := line.split())]
+    return tuple([r[i] for r in rows] for i in range(3))
 
 
 def blocks_for(lines: int) -> int:
@@ -202,13 +223,20 @@ def similar(a: Line, b: Line, least: float = SIMILARITY) -> bool:
 
 # ------------------------------------------------------------------ tables
 
-def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _line_batches(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Names of lines; a line too short for a similar one has no SimHash."""
     for batch in small_batches(batches, "text", 4 << 20):
-        row, number, names, hashes = hashed_lines(utf8(batch.column(2)))
+        texts = utf8(batch.column(2))
+        row, number, names, hashes, chars = named_lines(texts, least)
+        none = chars < MIN_CHARS
+        if not least:
+            marked = marked_lines(texts)
+            row, number, names = (np.append(x, np.array(m, np.int64)) for x, m in zip((row, number, names), marked))
+            hashes, none = np.append(hashes, np.zeros(len(marked[0]), np.int64)), np.append(none, np.ones(len(marked[0]), bool))
         at = pa.array(row, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0).take(at), batch.column(1).take(at), pa.array(number, pa.int64()),
-             pa.array(names, pa.int64()), pa.array(hashes, pa.int64())],
+             pa.array(names, pa.int64()), pa.array(hashes, pa.int64(), mask=none)],
             names=["id", "text_key", "number", "line", "simhash"])
 
 
@@ -302,6 +330,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
     """Verified groups of distinct lines: (line, comp). ``lines`` has (line, simhash, first)."""
+    lines = lines.where("simhash IS NOT NULL")
     hashes = lines.groupBy("simhash").agg(F.count(F.lit(1)).alias("lines"))
     hashes = frozen(hashes, "line-hashes")
     groups = components(frozen(near_hashes(hashes.select("simhash"), blocks), "line-edges"), "line-candidates")
@@ -320,12 +349,12 @@ def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
     return components(links, "line-components").select(F.col("id").alias("line"), "comp")
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS) -> DataFrame:
     """Line numbers to cut, per text that has any: (id, text_key, cut)."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"),
                        text.alias("text"))
-    occ = frozen(rows.mapInArrow(_line_batches, "id long, text_key long, number long, line long, simhash long"), "line-rows")
+    occ = frozen(rows.mapInArrow(lambda batches: _line_batches(batches, least_words), "id long, text_key long, number long, line long, simhash long"), "line-rows")
     first = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("text_key"), F.col("number"))
     lines = frozen(occ.groupBy("line").agg(F.min(first).alias("first"), F.min("simhash").alias("simhash"),
                                            F.count(F.lit(1)).alias("n")), "line-distinct")
@@ -342,10 +371,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return frozen(hit.where(~own).groupBy("id", "text_key").agg(F.collect_set("number").alias("cut")), "line-lists")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False,
+                least_words: int = MIN_WORDS) -> DataFrame:
     """The documents with repeated lines cut out of the text, plus n_lines (of the text before) and
-    n_removed; with ``drop_emptied``, without the documents that have no word left but had some."""
-    lists = repeated_lines(docs, id_col, text_col).select(
+    n_removed; with ``drop_emptied``, without the documents that have no word left but had some. Lines of
+    fewer than ``least_words`` words are left alone; 0 takes all lines that aren't blank."""
+    lists = repeated_lines(docs, id_col, text_col, least_words).select(
         F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("cut").alias("_cut"))
     n, numbers = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_cut")), F.lit(0))).first()
     few = F.broadcast(lists) if n <= BROADCAST_ROWS and numbers <= 4 * BROADCAST_ROWS else lists
@@ -379,4 +410,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: doc_id, the text left, n_lines and n_removed."""
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=0)

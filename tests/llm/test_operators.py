@@ -245,6 +245,19 @@ def test_hashed_lines_against_plain_lines():
     assert all(len(x) == 0 for x in line_dedup.hashed_lines([b""]))
 
 
+def test_lines_of_any_length_are_kept_once(spark, tmp_path):
+    """The query cuts equal lines of few words, of one long word and of marks only; blank lines stay."""
+    han = "\u5929\u5730\u7384\u9ec4\u5b87\u5b99\u6d2a\u8352\u65e5\u6708\u76c8\u6603"
+    rows = [(1, f"Read more\n\nown line\n{han}", "en", "a", 0), (2, f"read  more!\n\n{han}\nanother", "en", "a", 0),
+            (3, "-----\nok", "en", "a", 0), (4, "ok\n \n-----\n*****", "en", "a", 0)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = by_id(line_dedup.op5_line_dedup(spark, str(tmp_path)))
+    assert got[1].text == rows[0][1] and got[2].text == "\nanother" and got[2].n_removed == 2
+    assert got[3].text == rows[2][1] and got[4].text == " \n*****" and got[4].n_removed == 2
+    left = corpus_pipeline.line_stage(spark, spark.createDataFrame([*rows, (5, "OK", "en", "a", 2)], SCHEMA), "")
+    assert {r.doc_id for r in left.collect()} == {1, 2, 3, 4}
+
+
 def test_near_hashes_finds_all_pairs(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200).astype(np.uint64)
