@@ -10,9 +10,9 @@ untouched blocks is an index key. The number of blocks follows the number of lin
 meetings stay rare at any size; it doesn't change which hashes are near. Distinct SimHashes that share a
 key are compared, near ones are joined, and the joined ones name the candidate groups of lines. Inside a
 group, all pairs within ``MAX_BITS`` bits are verified, in tiles of bounded size, by edit similarity,
-``1 - distance / words of the longer line >= SIMILARITY``, with the exact Levenshtein distance over the
-words of the normalised lines. Of every connected group of lines (equal ones included) the first occurrence by (doc_id, line
-number) is kept.
+``1 - distance / characters of the longer line >= SIMILARITY``, with the exact Levenshtein distance over the
+characters of the normalised lines. Of every connected group of lines (equal ones included) the first
+occurrence by (doc_id, line number) is kept.
 
 ``dedup_lines`` returns all columns of the documents with the other occurrences cut out of the text, plus
 n_lines and n_removed; ``drop_emptied`` leaves out documents that lost all their text this way. Null
@@ -192,24 +192,32 @@ def levenshtein(a, b) -> int:
 
 
 class Line:
-    """A line's words and their counts."""
+    """A line's parts, here its words, and their counts."""
 
     def __init__(self, text: str):
-        self.words = text.split(" ")
-        self.counts = Counter(self.words)
+        self.parts = text.split(" ")
+        self.counts = Counter(self.parts)
+
+
+class Letters(Line):
+    """A line whose parts are its characters."""
+
+    def __init__(self, text: str):
+        self.parts = text
+        self.counts = Counter(text)
 
 
 def similar(a: Line, b: Line, least: float = SIMILARITY) -> bool:
-    """Whether 1 - (word edit distance) / (words of the longer line) is ``least`` or more.
+    """Whether 1 - (edit distance over parts) / (parts of the longer line) is ``least`` or more.
 
-    Each edit changes the word counts by one word at most on either side, so most unlike pairs end at
-    the counts; equal beginnings and ends don't change the distance.
+    Each edit changes the counts by one part at most on either side, so most unlike pairs end at the
+    counts; equal beginnings and ends don't change the distance.
     """
-    x, y = a.words, b.words
+    x, y = a.parts, b.parts
     most = int((1 - least) * max(len(x), len(y)) + 1e-9)
     if abs(len(x) - len(y)) > most:
         return False
-    only_a = sum(n - b.counts.get(w, 0) for w, n in a.counts.items() if n > b.counts.get(w, 0))
+    only_a = sum(n - b.counts.get(p, 0) for p, n in a.counts.items() if n > b.counts.get(p, 0))
     if max(only_a, only_a + len(y) - len(x)) > most:
         return False
     lo, hi = 0, 0
@@ -240,6 +248,11 @@ def _line_batches(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.
             names=["id", "text_key", "number", "line", "simhash"])
 
 
+def band(chars: int) -> int:
+    """Band of a line's length; lines that can be similar are in equal or neighbouring bands."""
+    return int(np.log(max(1, chars)) / -np.log(SIMILARITY) + 1e-9)
+
+
 def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The normalised text of line ``number`` of each row."""
     for batch in small_batches(batches, "text"):
@@ -248,14 +261,13 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             if text != last:
                 last, parts = text, text.split(b"\n")
             out.append(b" ".join(normalised(parts[k])).decode())
-        size = [int(np.log(x.count(" ") + 1) / -np.log(SIMILARITY) + 1e-9) for x in out]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(size, pa.int32()), pa.array(out, pa.string())],
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([band(len(x)) for x in out], pa.int32()), pa.array(out, pa.string())],
                                          names=["id", "grp", "simhash", "band", "words"])
 
 
 def verify_tile(tile: pa.Table) -> list[tuple[int, int]]:
     """Links that join the similar lines of one tile."""
-    ids, lines, side = tile["id"].to_pylist(), [Line(x) for x in tile["words"].to_pylist()], np.asarray(tile["side"])
+    ids, lines, side = tile["id"].to_pylist(), [Letters(x) for x in tile["words"].to_pylist()], np.asarray(tile["side"])
     bits = np.asarray(tile["simhash"]).view(np.uint64)
     union, out = Union(len(ids)), []
     for i in range(len(ids) - 1):

@@ -201,6 +201,22 @@ def test_edit_distance():
             assert line_dedup.similar(line_dedup.Line(" ".join(a)), line_dedup.Line(" ".join(b))) == want
 
 
+def test_lines_are_verified_by_characters():
+    """A short line with a wrong letter is similar; one with another word of nine is not."""
+    rng = random.Random(8)
+    for _ in range(300):
+        a = "".join(rng.choice("abc ") for _ in range(rng.randint(1, 40)))
+        b = "".join(c if rng.random() > 0.08 else rng.choice("abc") for c in a)[rng.randint(0, 2):]
+        want = plain_distance(a, b) <= int(0.1 * max(len(a), len(b)) + 1e-9)
+        assert line_dedup.similar(line_dedup.Letters(a), line_dedup.Letters(b)) == want
+    line = "please enter your password again in the field below"
+    lines = [line, line.replace("password", "passwort"), line.replace("password", "telephone number")]
+    tile = pa.table({"id": [1, 2, 3], "words": lines, "side": [2, 2, 2], "simhash": pa.array([0, 0, 0], pa.int64())})
+    assert line_dedup.verify_tile(tile) == [(1, 2)]
+    for longer in range(1, 3000):
+        assert line_dedup.band(longer) - line_dedup.band(longer - int(0.1 * longer + 1e-9)) in (0, 1)
+
+
 def test_lines_are_kept_once(spark, empty):
     long = " ".join(f"word{i}" for i in range(400))
     edited = long.replace("word7 ", "other ")
