@@ -274,6 +274,17 @@ def test_lines_of_any_length_are_kept_once(spark, tmp_path):
     assert {r.doc_id for r in left.collect()} == {1, 2, 3, 4}
 
 
+def test_an_edited_line_is_cut(spark):
+    """End to end, without a condition: of the lines with one changed word the near ones go, and some are near."""
+    long = " ".join(f"word{i}" for i in range(400))
+    edited = [long.replace(f"word{i} ", "other ") for i in range(10, 18)]
+    bits = line_dedup.hashed_lines([x.encode() for x in (long, *edited)])[3].view(np.uint64)
+    near = (np.bitwise_count(bits[1:] ^ bits[0]) <= line_dedup.MAX_BITS).tolist()
+    rows = [(0, long, "en", "a", 0), *((i, x, "en", "a", 0) for i, x in enumerate(edited, 1))]
+    text = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(near) >= 4 and text[0] == long and all(text[i] == "" for i, x in enumerate(near, 1) if x)
+
+
 def test_near_hashes_finds_all_pairs(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**63, 200).astype(np.uint64)
