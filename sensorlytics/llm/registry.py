@@ -1,7 +1,7 @@
 """Queries and oracles of this folder, for ``__spark_entry__.py``."""
 
 from sensorlytics.llm import (bpe, conversation_repair, exact_dedup, line_dedup, ngram_join, packing, pitman_yor,
-                              quality_classifier, quality_rules, toxicity, url_filter)
+                              quality_classifier, quality_rules, token_alignment, toxicity, url_filter)
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 ORACLES = {
