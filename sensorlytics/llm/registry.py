@@ -1,6 +1,6 @@
 """Queries and oracles of this folder, for ``__spark_entry__.py``."""
 
-from sensorlytics.llm import (bpe, conversation_repair, exact_dedup, line_dedup, ngram_join, packing, pitman_yor,
+from sensorlytics.llm import (bpe, conversation_repair, exact_dedup, fingerprints, line_dedup, ngram_join, packing, pitman_yor,
                               quality_classifier, quality_rules, token_alignment, toxicity, url_filter)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_fingerprints": fingerprints.op13_fingerprints,
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
