@@ -1,21 +1,21 @@
 """Reductions per cell: summaries, means, seeded min/max, distinct counts, ordered fold.
 
 All of them are hash aggregates with a partial (map-side) step, so a hot cell is reduced
-on every input partition before the shuffle. The order-dependent pairwise fold uses the
-skew-safe ranking in ``plans.ranking`` instead of sorting a cell in one task.
+on every input partition before the shuffle. The order-dependent pairwise fold merges
+summaries of chunks of the time order, so no cell is sorted or folded in one task.
 """
 
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sensorlytics.functions import intfold
+from sensorlytics.functions import intfold, pairfold
 from sensorlytics.operators.cells import CELL, keyed, time_order, with_slot, with_window
 from sensorlytics.plans import tuning
 from sensorlytics.plans.attach import freeze
-from sensorlytics.plans.ranking import rank_in_cells
 
 INT_MAX = 2**31 - 1
 INT_MIN = -(2**31)
@@ -129,25 +129,77 @@ def distinct_counts(rows: DataFrame, slot_minutes: int) -> DataFrame:
                      F.count(F.lit(1)).alias("pairs"))
 
 
+# ---- pairwise running average: chunk summaries (first, k, c), see functions.pairfold ----
+
+def _weight(k: str) -> Column:
+    return F.pow(F.lit(0.5), F.least(F.col(k), F.lit(-pairfold.LEAST_EXPONENT)))
+
+
+def pairwise_summary(rows: DataFrame, keys: list[str], value: str = "value", order: list[str] | None = None) -> DataFrame:
+    """Per cell the summary ``(first, k, c, first_ts)`` of its readings in ``order``.
+
+    Rows are range-partitioned and sorted by cell and order, so a hot cell is spread over many
+    tasks; each streams its rows into one summary per cell, and the summaries of a cell (at most
+    one per partition) are merged in the order of the partitions. NULL readings are left out.
+    """
+    rows = keyed(rows, keys).where(F.col(value).isNotNull())
+    order = order or time_order(rows, value)
+    n = len(keys)
+    p = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ts = F.col("timestamp").cast("long") if "timestamp" in rows.columns else F.lit(None).cast("long")
+    # aliases: an order column may be the value or the timestamp
+    carried = rows.select(*keys, F.col(value).cast("double").alias("_v"), ts.alias("_ts"),
+                          *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    by = [*keys, *[f"_o{i}" for i in range(len(order))]]
+    ordered = carried.repartitionByRange(p, *by).sortWithinPartitions(*by).select(*keys, "_v", "_ts")
+    cloudpickle.register_pickle_by_value(pairfold)
+
+    def run(batches):
+        from pyspark import TaskContext
+        return pairfold.summarise(batches, n, TaskContext.get().partitionId())
+
+    schema = T.StructType([rows.schema[k] for k in keys])
+    for name, kind in (("part", "integer"), ("first", "double"), ("k", "long"), ("c", "double"), ("first_ts", "long")):
+        schema = schema.add(name, kind)
+    chunks = ordered.mapInArrow(run, schema)
+    listed = chunks.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("part", "first", "k", "c"))).alias("xs"), F.min("first_ts").alias("first_ts"))
+
+    def merge(acc, x):
+        w = F.pow(F.lit(0.5), F.least(x.getField("k"), F.lit(-pairfold.LEAST_EXPONENT)))
+        return F.struct((acc.getField("k") + x.getField("k")).alias("k"),
+                        (acc.getField("c") * w + x.getField("c")).alias("c"))
+
+    zero = F.struct(F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("c"))
+    merged = listed.select(*keys, F.col("xs")[0].getField("first").alias("first"),
+                           F.aggregate("xs", zero, merge).alias("m"), "first_ts")
+    return merged.select(*keys, "first", F.col("m.k").alias("k"), F.col("m.c").alias("c"), "first_ts")
+
+
+def pairwise_merge(earlier: DataFrame, later: DataFrame, keys: list[str]) -> DataFrame:
+    """Summaries of ``later``'s cells, each continued from its cell in ``earlier`` where there is one."""
+    a = earlier.select(*keys, *[F.col(c).alias(f"_{c}") for c in ("first", "k", "c", "first_ts")])
+    return later.join(a, keys, "left").select(
+        *keys, F.coalesce("_first", "first").alias("first"), (F.coalesce("_k", F.lit(0)) + F.col("k")).alias("k"),
+        (F.coalesce("_c", F.lit(0.0)) * _weight("k") + F.col("c")).alias("c"),
+        F.least("_first_ts", "first_ts").alias("first_ts"))
+
+
+def pairwise_value() -> Column:
+    """The fold's result from a summary."""
+    return F.col("first") * _weight("k") + F.col("c")
+
+
 def pairwise_avg(rows: DataFrame, width: str | int | None = None, value: str = "value",
                  keys: list[str] | None = None, order: list[str] | None = None,
                  first_ts: bool = False) -> DataFrame:
-    """Left fold ``(acc + v) / 2`` over each cell in time order, closed form.
+    """Left fold ``(acc + v) / 2`` over each cell in time order, from merged chunk summaries.
 
-    With readings ranked 1..n in time order the fold equals
-    ``sum(v * 0.5 ** least(n - 1, n - rn + 1))``; the ranks come from the skew-safe
-    ranking, the sum is a partial aggregate. ``first_ts`` adds the earliest reading's
-    ``timestamp`` (as the processing-time job reports it) to the same aggregate.
+    ``first_ts`` adds the earliest reading's ``timestamp`` (as the processing-time job reports it).
     """
     if width is not None:
         rows = with_window(rows, width)
     keys = keys or CELL
-    rows = keyed(rows, keys)
-    order = order or time_order(rows, value)
-    carried = list(dict.fromkeys([value, *order, *(["timestamp"] if first_ts else [])]))
-    ranked = rank_in_cells(rows.select(*keys, *carried), keys, order)
-    w = F.pow(F.lit(0.5), F.least(F.col("n") - 1, F.col("n") - F.col("rn") + 1))
-    aggs = [F.sum(F.col(value) * w).alias("value")] + ([F.min("timestamp").alias("first_ts")] if first_ts else [])
-    out = ranked.groupBy(*keys).agg(*aggs)
-    return out.select(F.col(keys[0]).alias("urn"), F.col(keys[1]).alias("timestamp"), "value",
+    out = pairwise_summary(rows, keys, value, order)
+    return out.select(F.col(keys[0]).alias("urn"), F.col(keys[1]).alias("timestamp"), pairwise_value().alias("value"),
                       *(["first_ts"] if first_ts else []))

@@ -57,8 +57,15 @@ def reading_csv_payload(readings: DataFrame, routing_key: str = "readings") -> D
                            F.format_string(READING_CSV_FORMAT, "urn", "value", "timestamp").alias("payload"))
 
 
-def write_messages(messages: DataFrame, path: str, mode: str = "append") -> None:
-    """Write ``(routing_key, payload)`` rows as text, one folder per routing key."""
+def second_level_payloads(second: DataFrame) -> DataFrame:
+    """Both messages of a second-level row: its intervals with outlying counts, and with outlying outlier counts."""
+    return on_values_payload(second.withColumnRenamed("intervals", "values_count")).unionByName(
+        on_outliers_payload(second.withColumnRenamed("intervals", "outliers_count")))
+
+
+def write_messages(messages: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write ``(routing_key, payload)`` rows as text, one folder per routing key. A retry of the whole write
+    takes ``mode="overwrite"``; appending would publish twice (streams: ``streaming.sinks.write_messages``)."""
     messages.write.mode(mode).partitionBy("routing_key").text(path)
 
 

@@ -21,8 +21,14 @@ unique ``seq``; the event time used for watermarks is ``timestamp_millis(timesta
   watermark past every window, so the last windows are emitted too. Without an end marker the
   stream is endless and emits a window only when later readings close it.
 * :func:`start_pairwise_updates` — pairwise running average (JOB8 event time with unlimited
-  lateness, JOB7 processing time): readings land in a table partitioned by window and the
-  touched cells are re-folded with the skew-safe batch fold each micro-batch.
+  lateness, JOB7 processing time): each micro-batch is reduced to one summary per touched cell
+  and merged into the cell's running summary.
+* :func:`start_messages` — a stream of payloads into the message sink. The closed-window jobs and
+  the running averages take ``publish=(payloads, path)`` and send each batch's results there.
+* :func:`message_stream` — published messages as a stream: the second level can start from JSON.
+
+Queries keep their state in RocksDB with changelog checkpoints unless the session names another
+state store (:func:`state_store`): readings buffered for a window then live on disk, not in the heap.
 """
 
 from __future__ import annotations
@@ -36,9 +42,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlytics.functions.timecols import spark_interval
-from sensorlytics.operators.cells import CELL
+from sensorlytics.operators.cells import CELL, time_order
 from sensorlytics.sinks.publish import reading_csv_payload
-from sensorlytics.streaming.sinks import batch_writer
+from sensorlytics.streaming.sinks import batch_path, batch_writer, message_writer, read_latest
 
 READING_SCHEMA = "urn STRING, value DOUBLE, timestamp BIGINT, seq BIGINT"
 # The reference's watermark delay and unlimited lateness.
@@ -46,6 +52,13 @@ WATERMARK_DELAY = "5 minutes"
 UNLIMITED_LATENESS = "10000 days"
 # Event time of the end marker, 9999-12-30: later than any reading's window.
 END_OF_INPUT_MS = 253_402_128_000_000
+# Spark's settings of the state store.
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_HEAP_STORE = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+# What a job publishes: payloads made from its result rows, and the folder of the messages.
+Publish = tuple[Callable[[DataFrame], DataFrame], str]
 
 
 def reading_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -64,6 +77,25 @@ def text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.text(path).withColumnRenamed("value", "line")
 
 
+def message_stream(spark: SparkSession, path: str, routing_key: str) -> DataFrame:
+    """Messages of one routing key, published to ``path`` by a job, as a stream: column ``payload``."""
+    folder = f"{path.rstrip('/')}/batch_id=*/routing_key={routing_key}"
+    return spark.readStream.text(folder).select(F.col("value").alias("payload"))
+
+
+def state_store(spark: SparkSession) -> None:
+    """RocksDB state with changelog checkpoints, unless the session has a choice of its own."""
+    if spark.conf.get(STATE_STORE, None) in (None, "", _HEAP_STORE):
+        spark.conf.set(STATE_STORE, ROCKSDB)
+        spark.conf.set(CHANGELOG, "true")
+
+
+def state_sizes(query: StreamingQuery) -> list[tuple[int, int, int]]:
+    """(batch id, rows in state, bytes of memory) of a query's recent batches."""
+    return [(p["batchId"], sum(o["numRowsTotal"] for o in p["stateOperators"]),
+             sum(o["memoryUsedBytes"] for o in p["stateOperators"])) for p in query.recentProgress]
+
+
 def with_event_time(readings: DataFrame) -> DataFrame:
     return readings.withColumn("event_time", F.timestamp_millis("timestamp"))
 
@@ -158,20 +190,21 @@ def _buffer_closed_readings(readings: DataFrame, width: str | int, delay: str) -
 def start_on_closed_windows(readings: DataFrame, out_path: str, checkpoint: str, transform,
                             width: str | int = "5 minutes", delay: str = WATERMARK_DELAY,
                             available_now: bool = True, processing_time: str | None = None,
-                            end_marker: str | None = None) -> StreamingQuery:
+                            end_marker: str | None = None, publish: Publish | None = None) -> StreamingQuery:
     """Run a batch job on every window the watermark closes (JOB3, JOB4, JOB5 as streams).
 
     ``transform`` receives the closed windows' readings ``(urn, value, timestamp, seq)`` —
     whole cells — and returns the rows to append to ``out_path``. ``end_marker``: see
     :func:`run_bounded`."""
     closed = _buffer_closed_readings(_with_end_marker(readings, end_marker), width, delay)
-    return _start(closed, batch_writer(out_path, lambda b: transform(b.drop("win"))), checkpoint, "append",
+    return _start(closed, batch_writer(out_path, lambda b: transform(b.drop("win")), publish), checkpoint, "append",
                   available_now, processing_time)
 
 
 def start_outlier_counts(readings: DataFrame, out_path: str, checkpoint: str, width: str | int = "5 minutes",
                          delay: str = WATERMARK_DELAY, k: float = 2.0, available_now: bool = True,
-                         processing_time: str | None = None, end_marker: str | None = None) -> StreamingQuery:
+                         processing_time: str | None = None, end_marker: str | None = None,
+                         publish: Publish | None = None) -> StreamingQuery:
     """JOB1 as a stream: level-1 counts of every closed window, appended to ``out_path``."""
     closed = _buffer_closed_readings(_with_end_marker(readings, end_marker), width, delay)
 
@@ -182,7 +215,7 @@ def start_outlier_counts(readings: DataFrame, out_path: str, checkpoint: str, wi
         return (O.outlier_counts(flagged, CELL)
                 .select("urn", F.col("win").alias("timestamp"), "values_count", "outliers_count"))
 
-    return _start(closed, batch_writer(out_path, counts), checkpoint, "append", available_now, processing_time)
+    return _start(closed, batch_writer(out_path, counts, publish), checkpoint, "append", available_now, processing_time)
 
 
 def level1_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -193,7 +226,8 @@ def level1_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def start_second_level(level1: DataFrame, out_path: str, checkpoint: str, width: str | int = "60 minutes",
                        delay: str = WATERMARK_DELAY, k: float = 2.0, available_now: bool = True,
-                       processing_time: str | None = None, end_marker: str | None = None) -> StreamingQuery:
+                       processing_time: str | None = None, end_marker: str | None = None,
+                       publish: Publish | None = None) -> StreamingQuery:
     """JOB2 as a stream over level-1 counts (their window start is the event time)."""
     closed = _buffer_closed_windows(_with_end_marker(level1, end_marker), width, delay, ["timestamp"],
                                     _first("values_count", "outliers_count"))
@@ -208,81 +242,85 @@ def start_second_level(level1: DataFrame, out_path: str, checkpoint: str, width:
                 .select("urn", F.col("win").alias("timestamp"), "intervals", "outliers_on_values_count",
                         "outliers_on_outliers_count"))
 
-    return _start(closed, batch_writer(out_path, second), checkpoint, "append", available_now, processing_time)
+    return _start(closed, batch_writer(out_path, second, publish), checkpoint, "append", available_now, processing_time)
+
+
+def level1_messages(messages: DataFrame) -> DataFrame:
+    """Level-1 counts from JSON messages (``payload``): the stream :func:`start_second_level` takes.
+    Messages that don't parse are left out; ``ingest.parse_counts_json`` has them as rejects."""
+    from sensorlytics.sources.ingest import parse_counts_json
+    good, _ = parse_counts_json(messages)
+    return good.select("urn", "timestamp", "values_count", "outliers_count")
 
 
 def start_to_table(stream: DataFrame, out_path: str, checkpoint: str, output_mode: str = "append",
-                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Run any stream into a batch-id partitioned table (append or upsert semantics)."""
-    return _start(stream, batch_writer(out_path), checkpoint, output_mode, available_now, processing_time)
+                   available_now: bool = True, processing_time: str | None = None, publish: Publish | None = None,
+                   keys: list[str] | None = None) -> StreamingQuery:
+    """Run any stream into a batch-id partitioned table: append, or with ``keys`` upsert, compacted."""
+    return _start(stream, batch_writer(out_path, publish=publish, keys=keys), checkpoint, output_mode, available_now,
+                  processing_time)
+
+
+def start_messages(payloads: DataFrame, path: str, checkpoint: str, available_now: bool = True,
+                   processing_time: str | None = None) -> StreamingQuery:
+    """Publish a stream of ``(routing_key, payload)`` rows (JOB6), each batch once."""
+    return _start(payloads, message_writer(path), checkpoint, "append", available_now, processing_time)
 
 
 def _start(stream: DataFrame, fn, checkpoint: str, mode: str, available_now: bool,
            processing_time: str | None) -> StreamingQuery:
+    state_store(stream.sparkSession)
     w = stream.writeStream.outputMode(mode).foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
     return w.start()
 
 
-
-def _batch_arrival_ms(spark: SparkSession, landing_path: str, batch_id: int) -> int:
-    marker = f"{landing_path.rstrip('/')}_arrivals/batch_id={batch_id}"
+def _batch_arrival_ms(spark: SparkSession, out_path: str, batch_id: int, clock: Callable[[], int]) -> int:
+    marker = batch_path(f"{out_path.rstrip('/')}_arrivals", batch_id)
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{marker}/_SUCCESS")
     if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):  # first run of this batch
-        now = int(time.time() * 1000)
-        spark.createDataFrame([(now,)], "arrival_ms long").write.mode("overwrite").parquet(marker)
+        spark.createDataFrame([(int(clock()),)], "arrival_ms long").write.mode("overwrite").parquet(marker)
     return int(spark.read.parquet(marker).first()[0])
 
 
-def start_pairwise_updates(readings: DataFrame, landing_path: str, out_path: str, checkpoint: str,
-                           width: str | int = "5 minutes", processing_time_width: str | int | None = None,
-                           available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
+def start_pairwise_updates(readings: DataFrame, out_path: str, checkpoint: str, width: str | int = "5 minutes",
+                           processing_time_width: str | int | None = None, available_now: bool = True,
+                           processing_time: str | None = None, publish: Publish | None = None,
+                           clock: Callable[[], int] = lambda: int(time.time() * 1000)) -> StreamingQuery:
     """JOB8 (event-time windows, unlimited lateness) or JOB7 (``processing_time_width``:
     windows over the arrival time of each micro-batch): pairwise running average per cell.
 
-    The fold depends on every reading of the cell in time order, so it is not an
-    incremental aggregate. Each micro-batch (1) appends its readings to a landing table
-    partitioned by window (idempotent per batch id), (2) re-folds only the cells it touched
-    by reading those window partitions back (partition pruning) and running the skew-safe
-    batch fold, (3) writes the new values to an upsert table (:func:`sinks.read_latest`).
-    JOB7 rows carry the earliest reading's timestamp, as in the reference.
+    Each micro-batch is reduced to one summary ``(first, k, c)`` per touched cell, in time order
+    (``reductions.pairwise_summary``), and merged into the cell's running summary, the latest
+    version in the upsert table ``out_path`` (:func:`sinks.read_latest` on urn, win). Readings are
+    not kept: a late one is folded in when it arrives, after those that came before it, as in
+    the reference. A replayed batch starts from the versions before it and writes the same rows.
+
+    Without ``seq`` (text) equal times follow the value. ``clock`` gives the arrival time (epoch ms)
+    of a batch; it is recorded once per batch, so that a replay lands in the same windows. JOB7
+    rows carry the earliest reading's timestamp, as in the reference.
     """
     from sensorlytics.functions.timecols import window_start_ms
-    from sensorlytics.operators.reductions import pairwise_avg
+    from sensorlytics.operators import reductions as R
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if processing_time_width is None:
-            staged = batch.withColumn("win", window_start_ms("timestamp", width)).withColumn("arrival_ms", F.lit(0))
-            order = ["timestamp", "seq"]
+            cells = batch.withColumn("win", window_start_ms("timestamp", width))
+            stamp = F.col("win")
         else:
             # one arrival time per micro-batch (current_timestamp() would be re-evaluated by
-            # every action below and could cross a window boundary between them), recorded
-            # so that a replay of the batch lands in the same windows
-            arrival = F.lit(_batch_arrival_ms(spark, landing_path, batch_id)).cast("long")
-            staged = batch.withColumn("arrival_ms", arrival).withColumn(
+            # every action below and could cross a window boundary between them)
+            arrival = F.lit(_batch_arrival_ms(spark, out_path, batch_id, clock)).cast("long")
+            cells = batch.withColumn("arrival_ms", arrival).withColumn(
                 "win", window_start_ms("arrival_ms", processing_time_width))
-            order = ["arrival_ms", "timestamp", "seq"]
-        staged = staged.withColumn("batch_id", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("win", "batch_id").parquet(landing_path))
-            touched = [r[0] for r in staged.select("win").distinct().collect()]  # windows, not readings
-            if not touched:
-                return
-            cells = (spark.read.parquet(landing_path).where(F.col("win").isin(touched))
-                     .join(staged.select("urn", "win").distinct(), ["urn", "win"], "left_semi"))
-            folded = pairwise_avg(cells, None, "value", ["urn", "win"], order,
-                                  first_ts=processing_time_width is not None)
-            if processing_time_width is not None:
-                folded = folded.select("urn", F.col("timestamp").alias("win"), F.col("first_ts").alias("timestamp"),
-                                       "value")
-            else:
-                folded = folded.select("urn", F.col("timestamp").alias("win"), "timestamp", "value")
-            folded.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
-        finally:
-            staged.unpersist()
-
-    w = readings.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
-    return w.start()
+            stamp = F.col("first_ts")
+        summary = R.pairwise_summary(cells, CELL, "value", time_order(cells))
+        earlier = read_latest(spark, out_path, CELL, before=batch_id)
+        if earlier is not None:
+            summary = R.pairwise_merge(earlier, summary, CELL)
+        rows = summary.select("urn", "win", stamp.alias("timestamp"), R.pairwise_value().alias("value"), "first", "k", "c",
+                              "first_ts")
+        batch_writer(out_path, publish=publish, keys=CELL)(rows, batch_id)
+
+    return _start(readings, on_batch, checkpoint, "append", available_now, processing_time)
