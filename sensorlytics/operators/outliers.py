@@ -3,6 +3,7 @@
 2-sigma rules (thresholds ``lo = mean - k*sd``, ``hi = mean + k*sd``):
 
 * ``std_flag``            every reading, ``is_outlier = value < lo OR value > hi``
+* ``std_mark_inside``     every reading and whether the next rule keeps it
 * ``std_keep_inside``     readings with ``lo < value < hi`` (strict; a constant or
                           single-reading cell keeps nothing)
 * ``std_remove_outliers`` readings that are not outliers (on-threshold readings stay)
@@ -66,10 +67,16 @@ def std_flag(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k: f
     return _with_bounds(rows, keys, value, k).select(*cols, _outside(value).alias(flag))
 
 
-def std_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k: float = 2.0) -> DataFrame:
+def std_mark_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k: float = 2.0,
+                    mark: str = "inside") -> DataFrame:
+    """Every reading, and whether :func:`std_keep_inside` keeps it."""
     cols = rows.columns
     v = F.col(value)
-    return _with_bounds(rows, keys, value, k).where((v > F.col("lo")) & (v < F.col("hi"))).select(*cols)
+    return _with_bounds(rows, keys, value, k).select(*cols, ((v > F.col("lo")) & (v < F.col("hi"))).alias(mark))
+
+
+def std_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k: float = 2.0) -> DataFrame:
+    return std_mark_inside(rows, keys, value, k, "_inside").where("_inside").drop("_inside")
 
 
 def std_remove_outliers(rows: DataFrame, keys: list[str] = CELL, value: str = "value", k: float = 2.0) -> DataFrame:
@@ -111,10 +118,11 @@ def _type6_ranks(p: float) -> tuple[Column, Column, Column]:
 
 
 def quartiles(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
-              order: list[str] | None = None) -> DataFrame:
-    """Exact type-6 q1/q3 per cell, from ranks computed without a per-cell task."""
+              order: list[str] | None = None, force_range: bool = False) -> DataFrame:
+    """Exact type-6 q1/q3 per cell, from ranks computed without a per-cell task. ``force_range``: the
+    caller knows that some cell is too large for one."""
     tie = order or id_columns(rows)
-    ranked = rank_in_cells(rows.select(*keys, value, *tie), keys, [value, *tie])
+    ranked = rank_in_cells(rows.select(*keys, value, *tie), keys, [value, *tie], force_range=force_range)
     lo1, up1, f1 = _type6_ranks(0.25)
     lo3, up3, f3 = _type6_ranks(0.75)
     rn, v = F.col("rn"), F.col(value)
@@ -132,9 +140,8 @@ def quartiles(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
                       (F.col("_x3") + F.col("_f3") * (F.col("_y3") - F.col("_x3"))).alias("q3"))
 
 
-def iqr_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
-                    order: list[str] | None = None) -> DataFrame:
-    """Readings strictly between the cell's q1 and q3 (no 1.5×IQR fence).
+def _with_quartiles(rows: DataFrame, keys: list[str], value: str, order: list[str] | None) -> DataFrame:
+    """``rows`` plus ``q1`` / ``q3`` of their cell.
 
     Bounded cells (one aggregate over the cell sizes proves none exceeds a task's share):
     ranks and the quartiles are window functions over the same cell partitioning, so one
@@ -153,6 +160,19 @@ def iqr_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value
             x = F.max(F.when(rn == lower, v)).over(w)
             y = F.max(F.when(rn == upper, v)).over(w)
             qs.append((x + frac * (y - x)).alias(name))
-        return ranked.select(*cols, *qs).where((v > F.col("q1")) & (v < F.col("q3"))).select(*cols)
-    q = freeze(quartiles(rows, keys, value, order))
-    return attach(rows, q, keys).where((v > F.col("q1")) & (v < F.col("q3"))).select(*cols)
+        return ranked.select(*cols, *qs)
+    q = freeze(quartiles(rows, keys, value, order, force_range=True))
+    return attach(rows, q, keys).select(*cols, "q1", "q3")
+
+
+def iqr_mark_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value", order: list[str] | None = None,
+                    mark: str = "inside") -> DataFrame:
+    """Every reading, and whether :func:`iqr_keep_inside` keeps it."""
+    v = F.col(value)
+    return _with_quartiles(rows, keys, value, order).select(*rows.columns, ((v > F.col("q1")) & (v < F.col("q3"))).alias(mark))
+
+
+def iqr_keep_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
+                    order: list[str] | None = None) -> DataFrame:
+    """Readings strictly between the cell's q1 and q3 (no 1.5×IQR fence)."""
+    return iqr_mark_inside(rows, keys, value, order, "_inside").where("_inside").drop("_inside")

@@ -79,22 +79,27 @@ def outliers_two_level(rows: DataFrame, width1: str | int = LEVEL1_WIDTH, width2
         "urn", "timestamp", "intervals", "outliers_on_values_count", "outliers_on_outliers_count")
 
 
-def _summary_pair(raw: DataFrame, clean: DataFrame, width: str | int) -> DataFrame:
-    a = R.window_summary(raw, width).withColumn("kind", F.lit("raw"))
-    b = R.window_summary(clean, width).withColumn("kind", F.lit("clean"))
-    return a.unionByName(b)
+def _summary_pair(marked: DataFrame) -> DataFrame:
+    """Summaries of all readings of a cell (raw) and of those marked ``inside`` (clean), one aggregate for both."""
+    v = F.col("value")
+    kept = F.when(F.col("inside"), v)
+    cells = marked.groupBy("urn", "win").agg(*[f(x).alias(f"{name}_{kind}") for kind, x in (("raw", v), ("clean", kept))
+                                               for name, f in (("sum", F.sum), ("count", F.count), ("min", F.min), ("max", F.max))])
+    kinds = [F.struct(F.lit(kind).alias("kind"), *[F.col(f"{name}_{kind}").alias(name) for name in ("sum", "count", "min", "max")])
+             for kind in ("raw", "clean")]
+    rows = cells.select("urn", "win", F.explode(F.array(*kinds)).alias("s")).where("s.count > 0")
+    return rows.select("urn", F.col("win").alias("start"), (F.col("s.sum") / F.col("s.count")).alias("average"),
+                       "s.min", "s.max", "s.count", "s.sum", "s.kind")
 
 
 def iqr_summary_raw_vs_clean(rows: DataFrame, width: str | int = LEVEL1_WIDTH) -> DataFrame:
     """JOB3: window summaries of the raw readings and of the IQR-cleaned readings."""
-    cleaned = O.iqr_keep_inside(with_window(rows, width), CELL).drop("win")
-    return _summary_pair(rows, cleaned, width)
+    return _summary_pair(O.iqr_mark_inside(_cell_rows(with_window(rows, width)), CELL))
 
 
 def std_summary_raw_vs_clean(rows: DataFrame, width: str | int = LEVEL1_WIDTH, k: float = K_SIGMA) -> DataFrame:
     """JOB4: window summaries of the raw readings and of the 2-sigma strict-inside readings."""
-    cleaned = O.std_keep_inside(with_window(rows, width), CELL, "value", k).drop("win")
-    return _summary_pair(rows, cleaned, width)
+    return _summary_pair(O.std_mark_inside(_cell_rows(with_window(rows, width)), CELL, "value", k))
 
 
 def std_removed_summary(rows: DataFrame, width: str | int = LEVEL1_WIDTH, k: float = K_SIGMA) -> DataFrame:

@@ -19,14 +19,8 @@ from pyspark.sql import functions as F
 
 # The field delimiters. Strict: "," or ";" followed by optional spaces.
 # Lenient: "," only. Both drop trailing empty fields (Java split semantics).
-STRICT_DELIMITER = r"(,|;)\s*"
+STRICT_DELIMITER = r"[,;]\s*"
 LENIENT_DELIMITER = ","
-# One anchored match per line (instead of split + clean-up): exactly three fields, the
-# third non-empty, then only delimiters. \s*+ is possessive so spaces after a delimiter
-# can never form a field of their own (split consumes them with the delimiter).
-STRICT_LINE = r"^([^,;]*)[,;]\s*+([^,;]*)[,;]\s*+([^,;]+)(?:[,;]\s*+)*$"
-# Lenient: at least three fields once trailing empty ones are dropped; extra ones ignored.
-LENIENT_LINE = r"^([^,]*),([^,]*),(?=,*[^,])([^,]*)"
 
 READING_CSV_SCHEMA = "urn STRING, timestamp BIGINT, value DOUBLE"
 COUNTS_JSON_SCHEMA = ("urn STRING, timestamp BIGINT, valuesCount BIGINT, outliersCount BIGINT, "
@@ -37,49 +31,70 @@ def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf")))
 
 
+def parsed_lines(lines: DataFrame, order: str, strict: bool = True, line_col: str = "line") -> DataFrame:
+    """Every line with ``urn, value, timestamp`` and ``reason`` (null: a good reading), next to its other columns.
+
+    A line is split once: the fields leave a generator as one column, which no filter or projection
+    behind it can evaluate again.
+    """
+    if order not in ("uvt", "utv"):
+        raise ValueError("order must be 'uvt' or 'utv'")
+    extra = [c for c in lines.columns if c != line_col]
+    fields = F.split(F.col(line_col), STRICT_DELIMITER if strict else LENIENT_DELIMITER)
+    cut = lines.select(*extra, F.col(line_col), F.explode(F.array(fields)).alias("_f"))
+    f = F.col("_f")
+    vi, ti = (1, 2) if order == "uvt" else (2, 1)
+    v, t = F.get(f, F.lit(vi)).try_cast("double"), F.get(f, F.lit(ti)).try_cast("long")
+    if strict:  # three fields, and after them empty ones only
+        matched = (F.get(f, F.lit(2)) != "") & ((F.size(f) == 3) | (F.array_join(F.slice(f, 4, 1 << 30), "") == ""))
+        reason = (F.when(v.isNull(), F.lit("bad_value")).when(~_finite(v), F.lit("non_finite_value"))
+                  .when(t.isNull(), F.lit("bad_timestamp")))
+        value, ts = v, t
+    else:
+        # three fields or more once trailing empty ones are gone; a parsable NaN or Infinity is no 0: it is rejected
+        matched = (F.size(f) >= 3) & (F.array_join(F.slice(f, 3, 1 << 30), "") != "")
+        reason = F.when(v.isNotNull() & ~_finite(v), F.lit("non_finite_value"))
+        value, ts = F.coalesce(v, F.lit(0.0)), F.coalesce(t, F.lit(0).cast("long"))
+    reason = F.when(~F.coalesce(matched, F.lit(False)), F.lit("field_count")).otherwise(reason)
+    return cut.select(*extra, line_col, f[0].alias("urn"), value.alias("value"), ts.alias("timestamp"), reason.alias("reason"))
+
+
 def parse_readings(lines: DataFrame, order: str, strict: bool = True, mode: str = "quarantine",
                    line_col: str = "line") -> tuple[DataFrame, DataFrame]:
     """Parse text lines into ``(urn, value, timestamp)``; returns ``(good, rejects)``.
 
     ``order`` is ``"uvt"`` (urn, value, timestamp) or ``"utv"`` (urn, timestamp, value);
     there is no default because the two layouts share file names in the reference.
-    Other columns of ``lines`` are carried through to both outputs.
+    Other columns of ``lines`` are carried through to both outputs. Each output reads the lines;
+    :func:`ingest_lines` writes both in one pass.
     """
-    if order not in ("uvt", "utv"):
-        raise ValueError("order must be 'uvt' or 'utv'")
     if mode not in ("quarantine", "failfast"):
         raise ValueError("mode must be 'quarantine' or 'failfast'")
     extra = [c for c in lines.columns if c != line_col]
-    pattern = STRICT_LINE if strict else LENIENT_LINE
-    line = F.col(line_col)
-    vi, ti = (2, 3) if order == "uvt" else (3, 2)
-    matched = line.rlike(pattern)
-    v = F.regexp_extract(line, pattern, vi).try_cast("double")
-    t = F.regexp_extract(line, pattern, ti).try_cast("long")
-    if strict:
-        reason = (F.when(~matched, F.lit("field_count"))
-                  .when(v.isNull(), F.lit("bad_value"))
-                  .when(~_finite(v), F.lit("non_finite_value"))
-                  .when(t.isNull(), F.lit("bad_timestamp")))
-        value, ts = v, t
-    else:
-        # a parsable NaN or Infinity is no 0: it is rejected, like in the strict layout
-        reason = (F.when(~matched, F.lit("field_count"))
-                  .when(v.isNotNull() & ~_finite(v), F.lit("non_finite_value")))
-        value = F.coalesce(v, F.lit(0.0))
-        ts = F.coalesce(t, F.lit(0).cast("long"))
-    urn = F.regexp_extract(line, pattern, 1)
+    rows = parsed_lines(lines, order, strict, line_col)
+    reason, line = F.col("reason"), F.col(line_col)
     ok = reason.isNull()
+    good, rejects = [*extra, "urn", "value", "timestamp"], [*extra, line_col, "reason"]
     if mode == "failfast":
         # a filter, not a column: no later projection can prune it
         guard = F.when(ok, F.lit(True)).otherwise(F.raise_error(
             F.concat(F.lit("malformed reading ("), reason, F.lit("): "), F.coalesce(line, F.lit("null")))).cast("boolean"))
-        good = lines.where(guard).select(*extra, urn.alias("urn"), value.alias("value"), ts.alias("timestamp"))
-        rejects = lines.where(F.lit(False)).select(*extra, line, F.lit(None).cast("string").alias("reason"))
-        return good, rejects
-    good = lines.where(ok).select(*extra, urn.alias("urn"), value.alias("value"), ts.alias("timestamp"))
-    rejects = lines.where(~ok).select(*extra, line, reason.alias("reason"))
-    return good, rejects
+        return rows.where(guard).select(*good), rows.where(F.lit(False)).select(*rejects)
+    return rows.where(ok).select(*good), rows.where(~ok).select(*rejects)
+
+
+def ingest_lines(lines: DataFrame, order: str, path: str, strict: bool = True, line_col: str = "line") -> tuple[DataFrame, DataFrame]:
+    """Parse the lines once and write good readings and rejects in the same pass, below ``path/rejected=…``
+    (a retry replaces both); returns them read back, as :func:`parse_readings` does."""
+    spark, extra = lines.sparkSession, [c for c in lines.columns if c != line_col]
+    rows = parsed_lines(lines, order, strict, line_col)
+    bad = F.col("reason").isNotNull()
+    # a reading needs its line no more
+    written = rows.withColumn(line_col, F.when(bad, F.col(line_col))).withColumn("rejected", bad)
+    written.write.mode("overwrite").partitionBy("rejected").parquet(path)
+    back = spark.read.schema(written.schema).parquet(path)
+    return (back.where(~F.col("rejected")).select(*extra, "urn", "value", "timestamp"),
+            back.where("rejected").select(*extra, line_col, "reason"))
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
