@@ -80,9 +80,8 @@ def _good(lines, order, strict=True):
 def _one_pass(spark, d):
     """Good readings and rejects of one write, next to each other."""
     good, rejects = I.ingest_lines(X.lines_bad(spark, d), "uvt", scratch_path(spark, "ingested"))
-    none = F.lit(None)
-    return good.select("seq", "urn", "value", "timestamp", none.cast("string").alias("reason")).unionByName(rejects.select(
-        "seq", none.cast("string").alias("urn"), none.cast("double").alias("value"), none.cast("long").alias("timestamp"), "reason"))
+    return good.select("seq", "urn", "value", "timestamp", F.lit("").alias("reason")).unionByName(rejects.select(
+        "seq", F.lit("").alias("urn"), F.lit(-1.0).alias("value"), F.lit(-1).cast("long").alias("timestamp"), "reason"))
 
 
 def _csv_roundtrip(spark, d):
@@ -581,9 +580,9 @@ FROM fv GROUP BY urn, win2""",
     "ingest_strict_uvt": f"WITH {_BAD} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM b WHERE reason IS NULL",
     "ingest_strict_rejects": f"WITH {_BAD} SELECT seq, reason FROM b WHERE reason IS NOT NULL",
     "ingest_strict_utv": f"WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
-    "ingest_one_pass": f"""WITH {_BAD} SELECT seq, CASE WHEN reason IS NULL THEN urn END AS urn,
-       CASE WHEN reason IS NULL THEN CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) END AS value,
-       CASE WHEN reason IS NULL THEN "timestamp" END AS "timestamp", reason FROM b""",
+    "ingest_one_pass": f"""WITH {_BAD} SELECT seq, CASE WHEN reason IS NULL THEN urn ELSE '' END AS urn,
+       CASE WHEN reason IS NULL THEN CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) ELSE -1 END AS value,
+       CASE WHEN reason IS NULL THEN "timestamp" ELSE -1 END AS "timestamp", coalesce(reason, '') AS reason FROM b""",
     "ingest_trailing": f"WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, \"timestamp\" FROM r",
     "ingest_lenient_nonfinite": f"""WITH {_R} SELECT seq, urn, CAST(round(CAST(value AS DECIMAL(38, 9)), 6) AS DOUBLE) AS value, "timestamp"
         FROM r WHERE seq % 97 > 1""",
