@@ -18,6 +18,7 @@ result.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import itertools
 import json
 import mmap
@@ -40,6 +41,7 @@ TOKENIZER = "byte_bpe_50k.json"
 MAX_WORDS, MAX_WORD_BYTES, MEMO = 262_144, 32, 600_000
 _CHUNK = 200_000  # pre-tokens held at once
 _NONE = 1 << 60
+LONG_WORD = 400  # bytes from which parts are merged by a heap
 
 
 def byte_letters() -> list[str]:
@@ -73,6 +75,8 @@ class Vocabulary:
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token: the pair of lowest rank is joined, leftmost first, until none is left."""
+        if len(word) > LONG_WORD:
+            return self.merge_long(word)
         parts = [self.byte_ids[b] for b in word]
         rank = self.rank
         ranks = [rank[a].get(b, _NONE) for a, b in zip(parts, parts[1:])]
@@ -89,6 +93,26 @@ class Vocabulary:
                 ranks[i] = rank[joined].get(parts[i + 1], _NONE)
         return parts
 
+    def merge_long(self, word: bytes) -> list[int]:
+        """The same by a heap over linked parts: a pair that has changed since it was put there is passed over."""
+        parts, rank = [self.byte_ids[b] for b in word], self.rank
+        after, before = [*range(1, len(parts)), -1], list(range(-1, len(parts) - 1))
+        heap = [(rank[a][b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if b in rank[a]]
+        heapq.heapify(heap)
+        while heap:
+            low, i = heapq.heappop(heap)
+            j = after[i]
+            if parts[i] < 0 or j < 0 or rank[parts[i]].get(parts[j]) != low:
+                continue
+            parts[i], parts[j] = self.new_id[low], -1
+            after[i] = after[j]
+            if after[i] >= 0:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b >= 0 and (r := rank[parts[a]].get(parts[b])) is not None:
+                    heapq.heappush(heap, (r, a))
+        return [p for p in parts if p >= 0]
+
 
 # ------------------------------------------------------------------ the lexicon
 
