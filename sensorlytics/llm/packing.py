@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlytics.llm.common import small_batches, table, utf8
+from sensorlytics.llm.common import frozen, small_batches, table, utf8
 
 CAPACITY, BLOCK_DOCS = 1024, 8192
 
@@ -153,9 +153,15 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, block_docs: int = BLOCK_DOCS
                                ).withColumn("source", F.split("source", "\1")[0])
     else:
         rows = sized.drop("given").mapInArrow(_measure, "id long, source string, n_words long, cluster long")
-    blocks = max(8, -(-docs.count() // block_docs))
-    rows = rows.select(F.col("id").alias(id_col), "source", "n_words", "cluster",
-                       F.pmod(F.xxhash64("id", "n_words"), F.lit(blocks)).alias("block"))
+    rows = frozen(rows.withColumn("row", F.monotonically_increasing_id()), "packing-rows")
+    blocks = max(8, -(-rows.count() // block_docs))
+    # rows of one id (or none) and length go to one block, unless they are more than a block holds: there
+    # are at most n / block_docs such pairs
+    many = rows.groupBy("id", "n_words").count().where(F.col("count") > block_docs).select(
+        F.col("id").alias("_id"), F.col("n_words").alias("_n"), F.lit(True).alias("many"))
+    rows = rows.join(F.broadcast(many), F.col("id").eqNullSafe(F.col("_id")) & (F.col("n_words") == F.col("_n")), "left")
+    dealt = F.when(F.col("many"), F.xxhash64("row")).otherwise(F.xxhash64("id", "n_words"))
+    rows = rows.select(F.col("id").alias(id_col), "source", "n_words", "cluster", F.pmod(dealt, F.lit(blocks)).alias("block"))
     return rows.groupBy("block").applyInPandas(
         lambda pdf: _pack(pdf, id_col, capacity),
         f"{id_col} long, piece long, n_pieces long, n_words long, bin_id long, bin_words long, bin_docs long")
