@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from sensorlytics.llm.buckets import Union, per_tile, tiled
 from sensorlytics.llm.common import components, frozen, mix64, small_batches, split_heavy, table, utf8
 
+JUDGED_WORDS = 20  # a shorter document is not held for a copy by the lines it shares
 MIN_WORDS, MAX_BITS, SIMILARITY = 5, 3, 0.9
 MIN_CHARS = 10  # the fewest of which a tenth is one character
 BROADCAST_ROWS = 500_000
@@ -362,7 +363,8 @@ def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS) -> DataFrame:
-    """Line numbers to cut, per text that has any: (id, text_key, cut)."""
+    """Line numbers to cut, per text that has any: (id, text_key, cut, here), ``here`` being those of them
+    whose line is kept in the same text."""
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"),
                        text.alias("text"))
@@ -378,19 +380,22 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     heavy, rest = split_heavy(cuts, "n", total)
     plain = occ.drop("simhash")
     hit = plain.join(F.broadcast(heavy), "line").unionByName(plain.join(rest.hint("shuffle_merge"), "line"))
-    own = (F.col("keep.id").eqNullSafe(F.col("id")) & (F.col("keep.text_key") == F.col("text_key"))
-           & (F.col("keep.number") == F.col("number")))
-    return frozen(hit.where(~own).groupBy("id", "text_key").agg(F.collect_set("number").alias("cut")), "line-lists")
+    here = F.col("keep.id").eqNullSafe(F.col("id")) & (F.col("keep.text_key") == F.col("text_key"))
+    own = here & (F.col("keep.number") == F.col("number"))
+    return frozen(hit.where(~own).groupBy("id", "text_key").agg(
+        F.collect_set("number").alias("cut"), F.collect_set(F.when(here, F.col("number"))).alias("here")), "line-lists")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False,
-                least_words: int = MIN_WORDS) -> DataFrame:
+                least_words: int = MIN_WORDS, least_left: float = 0.0) -> DataFrame:
     """The documents with repeated lines cut out of the text, plus n_lines (of the text before) and
-    n_removed; with ``drop_emptied``, without the documents that have no word left but had some. Lines of
+    n_removed; with ``drop_emptied``, without the documents that have no word left but had some; without
+    those of ``JUDGED_WORDS`` words or more of which less than the share ``least_left`` is left or kept
+    elsewhere in the same text (a few lines may be shared by chance). Lines of
     fewer than ``least_words`` words are left alone; 0 takes all lines that aren't blank."""
     lists = repeated_lines(docs, id_col, text_col, least_words).select(
-        F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.col("cut").alias("_cut"))
-    n, numbers = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_cut")), F.lit(0))).first()
+        F.col("id").alias("_id"), F.col("text_key").alias("_key"), F.struct("cut", "here").alias("_cut"))
+    n, numbers = lists.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_cut.cut")), F.lit(0))).first()
     few = F.broadcast(lists) if n <= BROADCAST_ROWS and numbers <= 4 * BROADCAST_ROWS else lists
     base = docs.drop("_cut", "_id", "_key", "n_lines", "n_removed").withColumn(text_col, F.col(text_col).cast("string"))
     joined = base.join(few, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (
@@ -403,14 +408,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             texts, lines, removed, keep = [], [], [], []
             for text, cut in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
                 parts = [] if text is None else text.split("\n")
-                left = text
+                left, stays = text, True
                 if cut:
-                    gone = set(cut)
+                    gone = set(cut["cut"])
                     left = "\n".join(x for i, x in enumerate(parts) if i not in gone)
+                    words = len(text.encode().split()) if least_left else 0
+                    lost = sum(len(parts[i].encode().split()) for i in gone - set(cut["here"])) if words >= JUDGED_WORDS else 0
+                    stays = not (drop_emptied and not left.encode().split()) and lost <= (1 - least_left) * words
                 texts.append(left)
                 lines.append(len(parts))
-                removed.append(len(cut or ()))
-                keep.append(not (drop_emptied and cut and not left.encode().split()))
+                removed.append(len(cut["cut"]) if cut else 0)
+                keep.append(stays)
             out = pa.RecordBatch.from_arrays(
                 [*(pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])),
                  pa.array(lines, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "n_lines", "n_removed"])

@@ -315,9 +315,10 @@ def verify_tile(tile: pa.Table, num: int = 9, den: int = 10) -> list[tuple[int,
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                similarity: tuple[int, int] = (9, 10)) -> DataFrame:
+                similarity: tuple[int, int] = (9, 10), with_group: bool = False) -> DataFrame:
     """Per row: id, n_shingles, component_id, n_links (see the module); links need a Jaccard similarity of
-    ``similarity`` (a fraction) or more on sets of ``shingle``-word shingles."""
+    ``similarity`` (a fraction) or more on sets of ``shingle``-word shingles. ``with_group`` adds what tells
+    rows without an id, or with the same, apart: text_key (xxhash64 of the text) and grp, a name of the component."""
     num, den = similarity
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_key"))
@@ -354,11 +355,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = classes.drop("sketch", "n", "rep").join(comp.withColumnRenamed("id", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     first = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     named = named.join(first, "comp").join(links, "cls", "left").select(
-        "cls", "component_id", (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+        "cls", "component_id", F.col("comp").alias("grp"), (F.coalesce("other_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return members.join(named, "cls", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), *(["text_key", "grp"] if with_group else []))
 
 
 def op7_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -188,6 +188,23 @@ def score_table(rows: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(run, "id long, score double, predicted int")
 
 
+def score_documents(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` with score and predicted, scored row by row: no id is needed to join by.
+    Columns of those two names are replaced."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    source = docs.drop("score", "predicted").withColumn(text_col, F.col(text_col).cast("string"))
+
+    def run(batches):
+        for batch in small_batches(batches, text_col):
+            x = np.array([features(t) for t in utf8(batch.column(batch.schema.get_field_index(text_col)))], np.float32)
+            s = shared.value.score(x) if shared.value is not None else np.full(len(x), 0.5)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())],
+                                             names=[*batch.schema.names, "score", "predicted"])
+
+    return source.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields),
+                                             "score double", "predicted int"]))
+
+
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:
     rows = feature_table(table(spark, sf_dir, "documents"))
     scored = score_table(rows, train(rows, table(spark, sf_dir, "labels")))
