@@ -4,12 +4,17 @@ Each stage takes (spark, docs, sf_dir), works on all documents that the stage be
 the columns of documents; the last returns the packed pieces. ``run`` writes each stage as a table and
 reads it back as the next one's documents.
 
-1. quality_classifier: documents predicted bad go. A document without any text is not judged and stays.
+1. quality_classifier: documents predicted bad go. A document without a word is not judged and stays.
 2. toxicity: documents predicted toxic go.
-3. line_dedup: repeated lines are cut out of the texts; a document that loses all its text so goes.
+3. line_dedup: repeated lines are cut out of the texts. A document that loses more than half of its words
+   (of 20 or more) to lines kept in other documents is a copy, exact or near, of what stays there: it goes as a
+   whole, not as a remnant that no later stage can tell for a copy. One that only repeats itself stays.
 4. ngram_join: of each group of near duplicates (five-word shingles are the default of this library's
-   near-duplicate stages; here Jaccard 0.8 on them) the smallest doc_id stays.
+   near-duplicate stages; here Jaccard 0.8 on them) one row stays, that of the smallest doc_id.
 5. best_fit_packing: documents are packed into sequences.
+
+Verdicts go by row, so ids may be null or repeat: stages 1 to 3 judge each row by its own text, and of equal
+rows in a group of stage 4 one stays (rows without an id come last). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,15 +31,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
-def _without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Documents whose id isn't among the rejected ``verdicts`` (doc_id)."""
-    return docs.join(verdicts.select(F.col("doc_id").alias("_gone")).distinct(), F.col("doc_id") == F.col("_gone"), "left_anti")
+#: Share of its words that a document must not have lost to other documents in line deduplication.
+LEAST_LEFT = 0.5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = quality_classifier.feature_table(docs)
-    scored = quality_classifier.score_table(rows, quality_classifier.train(rows, table(spark, sf_dir, "labels")))
-    return _without(docs, scored.where("predicted = 0").select(F.col("id").alias("doc_id"))).select(*COLUMNS)
+    model = quality_classifier.train(quality_classifier.feature_table(docs), table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score_documents(docs, model)
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return scored.where((F.col("predicted") == 1) | wordless).select(*COLUMNS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,14 +48,26 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    left = line_dedup.dedup_lines(docs, drop_emptied=True, least_words=0)
+    left = line_dedup.dedup_lines(docs, drop_emptied=True, least_words=0, least_left=LEAST_LEFT)
     return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(
         F.col("n_chars"))).select(*COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = frozen(ngram_join.near_groups(docs, shingle=5, similarity=(8, 10)), "pipeline-groups")
-    return _without(docs, groups.where("doc_id <> component_id")).select(*COLUMNS)
+    rows = frozen(ngram_join.near_groups(docs, shingle=5, similarity=(8, 10), with_group=True).where("n_shingles > 0").groupBy(
+        "grp", "doc_id", "text_key").count(), "pipeline-groups")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    stays = rows.groupBy("grp").agg(F.min(place).alias("stays"))
+    verdicts = rows.join(stays, "grp").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), (place != F.col("stays")).alias("_gone"),
+        (F.col("count") > 1).alias("_again")).where("_gone OR _again")
+    verdicts = frozen(verdicts, "pipeline-verdicts")
+    judged = docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")) & (
+        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key")), "left").where("_gone IS NULL OR NOT _gone")
+    if verdicts.where("NOT _gone").isEmpty():
+        return judged.select(*COLUMNS)
+    judged = frozen(judged, "pipeline-judged")  # equal rows are among those that stay: one of them does
+    return judged.where("_again IS NULL").unionByName(judged.where("_again").dropDuplicates(["_id", "_key"])).select(*COLUMNS)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
