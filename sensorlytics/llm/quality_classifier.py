@@ -68,16 +68,20 @@ def features(text: bytes) -> list[float]:
 
 
 def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, features) of all documents; the only pass over the texts."""
+    """(id, features, text_key) of all documents; the only pass over the texts. ``text_key`` (xxhash64) tells
+    rows without an id, or with the same, apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             x = np.array([features(t) for t in utf8(batch.column(1))], np.float32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(
-                pa.array(x.ravel(), pa.float32()), len(FEATURES)).cast(pa.list_(pa.float32()))], names=["id", "x"])
+                pa.array(x.ravel(), pa.float32()), len(FEATURES)).cast(pa.list_(pa.float32())), batch.column(2)],
+                names=["id", "x", "text_key"])
 
-    return frozen(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                  .mapInArrow(run, "id long, x array<float>"), "quality-features")
+    text = F.col(text_col).cast("string")
+    return frozen(docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"),
+                              F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key"))
+                  .mapInArrow(run, "id long, x array<float>, text_key long"), "quality-features")
 
 
 class Model:
@@ -173,7 +177,7 @@ def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
 
 
 def score_table(rows: DataFrame, model: Model | None) -> DataFrame:
-    """(id, score, predicted) of a feature table."""
+    """(id, score, predicted, text_key) of a feature table."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -182,27 +186,10 @@ def score_table(rows: DataFrame, model: Model | None) -> DataFrame:
             x = np.asarray(batch.column(1).flatten(), np.float32).reshape(n, len(FEATURES))
             s = shared.value.score(x) if shared.value is not None else np.full(n, 0.5)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()),
-                                              pa.array((s >= 0.5).astype(np.int32), pa.int32())],
-                                             names=["id", "score", "predicted"])
+                                              pa.array((s >= 0.5).astype(np.int32), pa.int32()), batch.column(2)],
+                                             names=["id", "score", "predicted", "text_key"])
 
-    return rows.mapInArrow(run, "id long, score double, predicted int")
-
-
-def score_documents(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with score and predicted, scored row by row: no id is needed to join by.
-    Columns of those two names are replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    source = docs.drop("score", "predicted").withColumn(text_col, F.col(text_col).cast("string"))
-
-    def run(batches):
-        for batch in small_batches(batches, text_col):
-            x = np.array([features(t) for t in utf8(batch.column(batch.schema.get_field_index(text_col)))], np.float32)
-            s = shared.value.score(x) if shared.value is not None else np.full(len(x), 0.5)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())],
-                                             names=[*batch.schema.names, "score", "predicted"])
-
-    return source.mapInArrow(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields),
-                                             "score double", "predicted int"]))
+    return rows.select("id", "x", "text_key").mapInArrow(run, "id long, score double, predicted int, text_key long")
 
 
 def op4_quality_classifier(spark, sf_dir: str) -> DataFrame:
