@@ -36,10 +36,12 @@ LEAST_LEFT = 0.5
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = quality_classifier.train(quality_classifier.feature_table(docs), table(spark, sf_dir, "labels"))
-    scored = quality_classifier.score_documents(docs, model)
-    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return scored.where((F.col("predicted") == 1) | wordless).select(*COLUMNS)
+    rows = quality_classifier.feature_table(docs)
+    scored = quality_classifier.score_table(rows, quality_classifier.train(rows, table(spark, sf_dir, "labels")))
+    bad = scored.where("predicted = 0").select(F.col("id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return docs.join(bad, has_words & F.col("doc_id").eqNullSafe(F.col("_id")) & (
+        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_key")), "left_anti").select(*COLUMNS)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
