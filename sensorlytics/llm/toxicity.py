@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from sensorlytics.llm.common import fold, frozen, most_frequent, small_batches, table, utf8
 
 SAMPLE_ROWS, HELD_OUT, THRESHOLD = 30_000, 1, 0.7
-LEVEL, ORDINARY_BYTES, TOXIC_BYTES = 19, 512 << 10, (2 << 10, 16 << 10, 128 << 10)
+LEVEL, ORDINARY_BYTES, TOXIC_BYTES = 15, 512 << 10, (2 << 10, 16 << 10, 128 << 10)
 TOXIC_WINDOWS, ORDINARY_WINDOWS, TRAIN_SAMPLES = 40_000, 100_000, 200_000
 SIGMAS = 3.0  # standard deviations of a count that chance may explain
 PSEUDO = 1.0  # documents without evidence added to each cell of the calibration
