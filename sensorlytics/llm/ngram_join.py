@@ -364,3 +364,38 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op7_ngram_join(spark, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
+
+
+#: DuckDB SQL for the rows of ``op7_ngram_join``: equal sets are one vertex, links are counted on single shingles.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), single AS (
+  SELECT DISTINCT rid, array_to_string(ws[pos:pos + 2], ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS pos FROM d WHERE len(ws) > 0)
+), sets AS (
+  SELECT rid, list_sort(list(g)) AS gs FROM single GROUP BY rid
+), classes AS (
+  SELECT gs, min(doc_id) AS cls, count(*) AS copies, len(gs) AS n FROM sets JOIN d USING (rid) GROUP BY gs
+), one AS (
+  SELECT cls, n, unnest(gs) AS g FROM classes
+), near AS (
+  SELECT a.cls AS x, b.cls AS y FROM one a JOIN one b ON a.g = b.g AND a.cls < b.cls
+  WHERE 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.cls, b.cls, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), links AS (
+  SELECT x, y FROM near UNION ALL SELECT y, x FROM near
+), reach(x, y) AS (
+  SELECT cls, cls FROM classes UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), comp AS (
+  SELECT x AS cls, min(y) AS component_id FROM reach GROUP BY x
+), degree AS (
+  SELECT l.x AS cls, sum(c.copies) AS n FROM links l JOIN classes c ON c.cls = l.y GROUP BY l.x
+)
+SELECT d.doc_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_shingles, coalesce(comp.component_id, d.doc_id) AS component_id,
+       CAST(coalesce(degree.n, 0) + coalesce(c.copies - 1, 0) AS BIGINT) AS n_links
+FROM d LEFT JOIN sets USING (rid) LEFT JOIN classes c ON c.gs = sets.gs LEFT JOIN comp ON comp.cls = c.cls
+LEFT JOIN degree ON degree.cls = c.cls
+"""

@@ -168,3 +168,44 @@ def without_frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     return document_verdicts(table(spark, sf_dir, "documents"))
+
+
+#: DuckDB SQL for the rows of ``op9_quality_rules``.
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(source, 'null host') AS host, text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), w AS (
+  SELECT rid, len(ws) AS n, unnest(range(1, len(ws) - 6)) AS pos, ws FROM d WHERE len(ws) >= 8
+), again AS (
+  SELECT rid, pos, count(*) OVER (PARTITION BY rid, array_to_string(ws[pos:pos + 7], ' ')) AS times FROM w
+), repeated AS (
+  SELECT rid, count(DISTINCT word) AS n FROM (SELECT rid, unnest(range(pos, pos + 8)) AS word FROM again WHERE times > 1) GROUP BY rid
+), raw AS (
+  SELECT rid, host, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM d
+), lines AS (
+  SELECT rid, host, text, line, len(parts) AS n, translate(array_to_string(parts, ' '),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
+  FROM (SELECT *, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS parts FROM raw) WHERE len(parts) > 0
+), dup AS (
+  SELECT rid, count(*) - count(DISTINCT line) AS n FROM lines GROUP BY rid
+), hosts AS (
+  SELECT host, count(DISTINCT coalesce(text, '')) AS docs FROM d GROUP BY host
+), above AS (
+  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS docs FROM lines GROUP BY host, norm) l
+  JOIN hosts USING (host) WHERE l.docs > MIN_DOCS AND l.docs > hosts.docs * MAX_SHARE
+), lost AS (
+  SELECT rid, sum(n) AS words, count(*) AS lines FROM lines JOIN above USING (host, norm) GROUP BY rid
+), base AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words,
+         len(ws) < 20 OR 100 * coalesce(repeated.n, 0) > 30 * len(ws) AS base_failed,
+         CAST(coalesce(lost.words, 0) AS BIGINT) AS removed_words, CAST(coalesce(lost.lines, 0) AS BIGINT) AS removed_lines
+  FROM d LEFT JOIN dup USING (rid) LEFT JOIN repeated USING (rid) LEFT JOIN lost USING (rid)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND removed_words <= n_words * MAX_LOST AS kept, removed_words, removed_lines
+FROM base
+""".replace("MIN_DOCS", str(MIN_DOCS)).replace("MAX_SHARE", str(MAX_SHARE)).replace("MAX_LOST", str(MAX_LOST))

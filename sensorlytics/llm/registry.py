@@ -20,6 +20,8 @@ QUERIES = {
 }
 ORACLES = {
     "op2_exact_dedup": exact_dedup.ORACLE,
+    "op7_ngram_join": ngram_join.ORACLE,
     "op8_url_filter": url_filter.ORACLE,
+    "op9_quality_rules": quality_rules.ORACLE,
     "op12_conversation_repair": conversation_repair.ORACLE,
 }
