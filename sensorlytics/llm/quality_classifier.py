@@ -9,12 +9,14 @@ where nearly all unlabelled are good. The weights then minimise the non-negative
 ``prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])`` with the logistic loss, by full-batch
 gradient steps; where the second part turns negative its gradient is reversed.
 
-Fitting uses bounded samples (``POSITIVES`` and ``UNLABELLED`` rows outside the held-out fold, by a
-hash of the id). Documents labelled bad are not used. Scoring reads every document whole.
+All unlabelled rows outside the held-out fold take part: they are dealt by a hash of the id into groups of about
+``UNLABELLED`` rows, each group is fitted against the same positives, and weights and priors are averaged. The
+bins are quantiles over all of these rows. Positives are a bounded sample of the labelled rows (``POSITIVES``, those
+below a threshold on a hash of the id). Documents labelled bad are not used. Scoring reads every document whole.
 
 Null and empty texts have all features 0 and are scored like any text. Labels that are null are no
 labels, and an id labelled both ways is not a trusted positive. Without positives or unlabelled rows
-every score is 0.5. Repeated rows get equal scores; an empty table gives an empty result.
+every score is 0.5. Rows of one id and text train once and get equal scores; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,12 +133,13 @@ def estimate_prior(ranked_p: np.ndarray, ranked_u: np.ndarray) -> float:
     return float(np.clip(q_u[best] / q_p[best], 0.02, 0.98))
 
 
-def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model | None:
-    """The model of positives and unlabelled rows."""
+def fit(x_p: np.ndarray, x_u: np.ndarray, edges: list[np.ndarray] | None = None) -> Model | None:
+    """The model of positives and unlabelled rows; without ``edges`` the bins are their quantiles."""
     if not len(x_p) or not len(x_u):
         return None
     both = np.concatenate([x_p, x_u])
-    edges = [np.unique(np.quantile(both[:, i], np.linspace(0, 1, BINS + 1)[1:-1])) for i in range(both.shape[1])]
+    if edges is None:
+        edges = [np.unique(np.quantile(both[:, i], np.linspace(0, 1, BINS + 1)[1:-1])) for i in range(both.shape[1])]
 
     def grad_pu(z, n_p=len(x_p), n_u=len(x_u)):  # positives against unlabelled
         d = _sigmoid(z)
@@ -163,17 +167,40 @@ def fit(x_p: np.ndarray, x_u: np.ndarray) -> Model | None:
 
 
 def train(rows: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> Model | None:
-    """Sample positives and unlabelled rows of a feature table and fit."""
+    """Fit on a feature table: all unlabelled rows, in groups, against one sample of positives."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(
         F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(label_col)).cast("int").alias("y"))
-    open_rows = rows.where(F.col("id").isNotNull() & (fold(F.col("id"), 3) != HELD_OUT))
-    marked = open_rows.join(known, "id", "left")
-
-    def sample(part: DataFrame, n: int) -> np.ndarray:
-        got = part.select("x", "id").orderBy(F.xxhash64("id", F.lit(9)), "id").limit(n).select("x").toPandas()["x"]
-        return np.array(got.tolist(), np.float32).reshape(-1, len(FEATURES))
-
-    return fit(sample(marked.where("y = 1"), POSITIVES), sample(marked.where("y IS NULL"), UNLABELLED))
+    open_rows = rows.where(F.col("id").isNotNull() & (fold(F.col("id"), 3) != HELD_OUT)).dropDuplicates(["id", "text_key"])
+    marked = frozen(open_rows.join(known, "id", "left").where("y = 1 OR y IS NULL").select(
+        "id", "text_key", "x", (F.col("y") == 1).alias("good")), "quality-training")
+    sizes = marked.agg(F.count_if("good").alias("p"), F.count_if(F.col("good").isNull()).alias("u")).first()
+    if not sizes["p"] or not sizes["u"]:
+        return None
+    probs = np.linspace(0, 1, BINS + 1)[1:-1].tolist()
+    cuts = marked.agg(*(F.percentile_approx(F.col("x")[i], probs, 2000).alias(f) for i, f in enumerate(FEATURES))).first()
+    edges = [np.unique(np.array(cuts[f], np.float32)) for f in FEATURES]
+
+    below = min(POSITIVES, sizes["p"]) * (2**64 - 1) // sizes["p"] - 2**63  # a share of all hashes: tasks send only what stays
+    got = marked.where(F.col("good") & (F.xxhash64("id", F.lit(9)) <= F.lit(below))).select("id", "text_key", "x").toPandas()
+    got = got.sort_values(["id", "text_key"])
+    if not len(got):
+        return None
+    positives = rows.sparkSession.sparkContext.broadcast(np.array(got["x"].tolist(), np.float32).reshape(-1, len(FEATURES)))
+
+    def fit_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["id", "text_key"])  # one order under retries
+        model = fit(positives.value, np.array(group["x"].tolist(), np.float32).reshape(-1, len(FEATURES)), edges)
+        values = [*model.weights, model.bias, model.prior]
+        return pd.DataFrame({"grp": key[0], "at": range(len(values)), "value": values})
+
+    groups = -(-sizes["u"] // UNLABELLED)
+    fitted = frozen(marked.where("good IS NULL").select(
+        "id", "text_key", "x", F.pmod(F.xxhash64("id", "text_key", F.lit(7)), F.lit(groups)).alias("grp")).groupBy("grp").applyInPandas(
+        fit_group, "grp long, at int, value double"), "quality-models")
+    mean = [r["value"] for r in fitted.groupBy("at").agg(F.avg("value").alias("value")).orderBy("at").collect()]
+    model = Model(edges)
+    model.weights, model.bias, model.prior = np.array(mean[:-2]), mean[-2], mean[-1]
+    return model
 
 
 def score_table(rows: DataFrame, model: Model | None) -> DataFrame:

@@ -8,12 +8,13 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sensorlytics.llm import (bpe, exact_dedup, line_dedup, ngram_join, packing, pitman_yor, quality_classifier,
                               quality_rules, toxicity, url_filter)
-from sensorlytics.llm.common import components, most_frequent
+from sensorlytics.llm.common import components, fold_of, most_frequent
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SF01 = "/root/testdata/sf0.01"
@@ -486,3 +487,17 @@ def test_pipeline_stages(spark):
         if name != "best_fit_packing":
             assert docs.columns == corpus_pipeline.COLUMNS
     assert after == before
+
+
+def test_quality_groups_of_unlabelled_rows_agree_with_one(spark, monkeypatch):
+    """Unlabelled rows fitted in several groups and averaged mark the held-out labels as one group does."""
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality_classifier.feature_table(docs)
+    held = labels.where("quality IS NOT NULL").select(F.col("doc_id").alias("id"), "quality")
+    right = []
+    for most in (40_000, 150):
+        monkeypatch.setattr(quality_classifier, "UNLABELLED", most)
+        got = quality_classifier.score_table(rows, quality_classifier.train(rows, labels)).join(held, "id").toPandas()
+        got = got[[fold_of(i, 3) == quality_classifier.HELD_OUT for i in got.id]]
+        right.append((got.predicted == got.quality).mean())
+    assert min(right) > 0.8 and abs(right[0] - right[1]) < 0.06, right
