@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from sensorlytics.operators.cells import CELL, id_columns, keyed
 from sensorlytics.plans.attach import attach, freeze, probe
-from sensorlytics.plans.ranking import cells_bounded, rank_by_window, rank_in_cells
+from sensorlytics.plans.ranking import rank_by_window, rank_in_cells, size_probe
+from sensorlytics.plans.selection import large_cells, select_ranks
 
 
 def _with_bounds(rows: DataFrame, keys: list[str], value: str, k: float) -> DataFrame:
@@ -140,29 +141,47 @@ def quartiles(rows: DataFrame, keys: list[str] = CELL, value: str = "value",
                       (F.col("_x3") + F.col("_f3") * (F.col("_y3") - F.col("_x3"))).alias("q3"))
 
 
+def _window_quartiles(rows: DataFrame, keys: list[str], value: str, order: list[str] | None) -> DataFrame:
+    """``rows`` plus ``q1`` / ``q3``, all by window functions over one cell partitioning; for bounded cells."""
+    cols = rows.columns
+    v = F.col(value)
+    ranked = rank_by_window(rows, keys, [value, *(order or id_columns(rows))])
+    w = Window.partitionBy(*keys)
+    rn = F.col("rn")
+    qs = []
+    for name, p in (("q1", 0.25), ("q3", 0.75)):
+        lower, upper, frac = _type6_ranks(p)
+        x = F.max(F.when(rn == lower, v)).over(w)
+        y = F.max(F.when(rn == upper, v)).over(w)
+        qs.append((x + frac * (y - x)).alias(name))
+    return ranked.select(*cols, *qs)
+
+
+def selected_quartiles(rows: DataFrame, keys: list[str], value: str, per_task: int) -> DataFrame:
+    """Exact type-6 q1/q3 of the cells with more than ``per_task`` readings, by selection (``plans.selection``)."""
+    (l1, u1, f1), (l3, u3, f3) = _type6_ranks(0.25), _type6_ranks(0.75)
+    found = select_ranks(rows, large_cells(rows, keys, value, per_task), keys, value,
+                         {"_x1": l1, "_y1": u1, "_x3": l3, "_y3": u3}, per_task)
+    return found.select(*keys, (F.col("_x1") + f1 * (F.col("_y1") - F.col("_x1"))).alias("q1"),
+                        (F.col("_x3") + f3 * (F.col("_y3") - F.col("_x3"))).alias("q3"))
+
+
 def _with_quartiles(rows: DataFrame, keys: list[str], value: str, order: list[str] | None) -> DataFrame:
     """``rows`` plus ``q1`` / ``q3`` of their cell.
 
-    Bounded cells (one aggregate over the cell sizes proves none exceeds a task's share):
-    ranks and the quartiles are window functions over the same cell partitioning, so one
-    shuffle and sort, no join. Otherwise: skew-safe ranking, a quartile table, attach.
+    Bounded cells: ranks and quartiles are window functions over the same cell partitioning, so one shuffle and
+    sort, no join. Cells above one task's share (found by one aggregate over the cell sizes): quartiles by
+    selection. Their table has at most ``readings / per_task`` rows, the bound of the hot list of
+    ``plans.attach``, and is broadcast, so that readings of a hot cell are never shuffled.
     """
     rows = keyed(rows, keys)
     cols = rows.columns
-    v = F.col(value)
-    if cells_bounded(rows, keys):
-        ranked = rank_by_window(rows, keys, [value, *(order or id_columns(rows))])
-        w = Window.partitionBy(*keys)
-        rn = F.col("rn")
-        qs = []
-        for name, p in (("q1", 0.25), ("q3", 0.75)):
-            lower, upper, frac = _type6_ranks(p)
-            x = F.max(F.when(rn == lower, v)).over(w)
-            y = F.max(F.when(rn == upper, v)).over(w)
-            qs.append((x + frac * (y - x)).alias(name))
-        return ranked.select(*cols, *qs)
-    q = freeze(quartiles(rows, keys, value, order, force_range=True))
-    return attach(rows, q, keys).select(*cols, "q1", "q3")
+    d = size_probe(rows, keys)
+    if d["bounded"]:
+        return _window_quartiles(rows, keys, value, order)
+    q = F.broadcast(freeze(selected_quartiles(rows, keys, value, d["per_task"])))
+    rest = rows.join(q.select(*keys), keys, "left_anti").select(*cols)
+    return rows.join(q, keys).select(*cols, "q1", "q3").unionByName(_window_quartiles(rest, keys, value, order))
 
 
 def iqr_mark_inside(rows: DataFrame, keys: list[str] = CELL, value: str = "value", order: list[str] | None = None,

@@ -32,9 +32,14 @@ from sensorlytics.plans.attach import freeze, probe
 _LOW_BITS = (1 << 33) - 1
 
 
+def size_probe(rows: DataFrame, keys: list[str]) -> dict:
+    """One aggregate over the cell sizes (:func:`plans.attach.probe`): ``bounded`` and ``per_task``."""
+    return probe(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)
+
+
 def cells_bounded(rows: DataFrame, keys: list[str]) -> bool:
-    """One aggregate over the cell sizes: does every cell fit one task's share?"""
-    return probe(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)["bounded"]
+    """Does every cell fit one task's share?"""
+    return size_probe(rows, keys)["bounded"]
 
 
 def rank_by_window(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
