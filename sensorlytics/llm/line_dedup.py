@@ -18,8 +18,7 @@ occurrence by (doc_id, line number) is kept.
 n_lines and n_removed; ``drop_emptied`` leaves out documents that lost all their text this way. Null
 texts stay null, a null id sorts last. Rows that repeat (equal id and text) are one document and get
 equal results. An empty table gives an empty result. Columns of any other name pass through.
-``least_words`` leaves lines of fewer words alone: the query and the pipeline ask for all lines (0), the
-default of ``dedup_lines`` is ``MIN_WORDS``.
+``least_words`` leaves lines of fewer words alone; its default is 0, all lines that aren't blank.
 """
 
 from __future__ import annotations
@@ -362,7 +361,7 @@ def near_lines(lines: DataFrame, rows: DataFrame, blocks: int) -> DataFrame:
     return components(links, "line-components").select(F.col("id").alias("line"), "comp")
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = MIN_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 0) -> DataFrame:
     """Line numbers to cut, per text that has any: (id, text_key, cut, here), ``here`` being those of them
     whose line is kept in the same text."""
     text = F.col(text_col).cast("string")
@@ -387,7 +386,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False,
-                least_words: int = MIN_WORDS, least_left: float = 0.0) -> DataFrame:
+                least_words: int = 0, least_left: float = 0.0) -> DataFrame:
     """The documents with repeated lines cut out of the text, plus n_lines (of the text before) and
     n_removed; with ``drop_emptied``, without the documents that have no word left but had some; without
     those of ``JUDGED_WORDS`` words or more of which less than the share ``least_left`` is left or kept
@@ -430,4 +429,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op5_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: doc_id, the text left, n_lines and n_removed."""
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least_words=0)
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -225,7 +225,8 @@ def test_lines_are_kept_once(spark, empty):
             (3, f"{edited}!\nok", "en", "a", 0), (4, "ok", "en", "a", 0), (5, None, "en", "a", 0), (6, "", "en", "a", 0),
             (7, long, "en", "a", 0), (7, long, "en", "a", 0), (None, long, "en", "a", 0)]
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = line_dedup.dedup_lines(docs).collect()
+    few = line_dedup.MIN_WORDS  # leaves the short lines alone
+    got = line_dedup.dedup_lines(docs, least_words=few).collect()
     assert len(got) == len(rows)
     text = {r.doc_id: r.text for r in got}
     assert text[1] == rows[0][1] and text[2] == "second own line of two" and text[4] == "ok"
@@ -233,8 +234,10 @@ def test_lines_are_kept_once(spark, empty):
     near = line_dedup.hashed_lines([x.encode() for x in (long, edited)])[3].view(np.uint64)
     if np.bitwise_count(near[0] ^ near[1]) <= line_dedup.MAX_BITS:
         assert text[3] == "ok"
-    left = {r.doc_id for r in line_dedup.dedup_lines(docs, drop_emptied=True).collect()}
+    left = {r.doc_id for r in line_dedup.dedup_lines(docs, drop_emptied=True, least_words=few).collect()}
     assert left >= {1, 2, 3, 4, 5, 6} and 7 not in left
+    text = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}  # by default lines of any length are equal
+    assert text[1] == rows[0][1] and text[3].endswith("ok") and text[4] == "" and text[5] is None and text[6] == ""
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
