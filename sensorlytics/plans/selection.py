@@ -9,8 +9,8 @@ more than ``per_task`` readings, the next pass counts per distinct value instead
 early: a bracket of one value is closed whatever it holds.
 
 ``lo`` and ``hi`` fall into different ranges, so a bracket always shrinks. A pass leaves a 1024th of its width and
-of the logarithm of its ratio: two passes for readings spread near evenly, at most about ten for any doubles. All
-steps are exact.
+of the logarithm of its ratio: two passes for readings spread near evenly, at most about ten (by estimate) for any doubles.
+All steps are exact.
 
 NULL sorts first and NaN last, infinities in their place, as in ``ORDER BY``.
 """
