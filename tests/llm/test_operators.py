@@ -334,6 +334,90 @@ def test_seating_keeps_its_bounds_and_prefers_few_tables():
     assert p.sum() == pytest.approx(1)
 
 
+def test_language_model_has_a_restaurant_for_each_word(spark):
+    """Far beyond the 1,024 most frequent words, a context still tells what follows it."""
+    rng = random.Random(3)
+    pairs = [(f"a{i}", f"b{i}") for i in range(2000)]
+    texts = [" ".join(w for p in rng.sample(pairs, 20) for w in p) for _ in range(600)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    model, counts = pitman_yor.fit(train, 2, 2)
+    ask = [(i, f"a{i} b{i if i % 2 else i + 1}") for i in range(1200, 2000)]
+    got = by_id(pitman_yor.score(spark.createDataFrame(ask, "doc_id long, text string"), model, counts))
+    n = Counter(w for t in texts for w in t.split())
+    often = [i for i, _ in ask if n[f"a{i}"] >= 4 and n[f"b{i + 1}"] >= 4]
+    assert len(often) > 500
+    right, wrong = ([got[i].score for i in often if i % 2 == k] for k in (1, 0))
+    assert np.median(right) > np.median(wrong) + 2
+
+
+def test_language_model_scores_are_its_seating(spark, docs):
+    """Scores against the formula, from the pairs of all training texts and the seats in the model's tables."""
+    d = docs.where("doc_id IS NOT NULL")
+    model, counts = pitman_yor.fit(d.where("doc_id % 4 <> 0").selectExpr("coalesce(text, '') AS text"), 2, 2)
+    assert 0 in model["heavy"] and len(model["heavy"]) < model["types"]
+    word = {b"": 0}
+    for r in counts.collect():
+        word.update((w, 2 + r["key"] + i * model["buckets"]) for i, w in enumerate(pitman_yor.unpack_words(r["a"])))
+    state, seats, full = (t.collect() for t in model["tables"])
+    code, n = {}, {}
+    for r in (r for r in state if r["kind"] == pitman_yor.STATE):
+        code[r["key"]], n[r["key"]] = pitman_yor.unpack(r["b"])[0].tolist(), pitman_yor.unpack(r["a"])[2].tolist()
+    seen = {(c >> 32, c & 0xFFFFFFFF): x for g in code for c, x in zip(code[g], n[g])}
+    text = {i: (t or "").encode().lower().split() for i, t, *_ in rand_docs()}
+    train = [w for i, t, *_ in rand_docs() if i % 4 for w in [(t or "").encode().lower().split()]]
+    want = Counter((word[u], word[w]) for x in train for u, w in zip([b"", *x], [*x, b""]))
+    assert seen == want
+    follow = Counter()
+    for (u, _), x in want.items():
+        follow[u] += x
+    samples = []
+    for s, now in enumerate(model["taken"]):
+        t = {}
+        for r in (r for r in seats if r["z"] == s):
+            some = iter(pitman_yor.unpack(r["a"])[0].tolist())
+            t.update(((c >> 32, c & 0xFFFFFFFF), next(some) if x > 1 else 1) for c, x in zip(code[r["key"]], n[r["key"]]))
+        assert t.keys() == want.keys() and all(1 <= t[p] <= want[p] for p in t)
+        of = Counter()
+        for (u, _), x in t.items():
+            of[u] += x
+        m = {}
+        for r in (r for r in full if r["z"] == s):
+            c = pitman_yor.unpack(r["a"])[0].tolist()
+            m.update((i, c[i // model["buckets"]]) for i in word.values() if (i % model["buckets"]) == r["key"])
+        assert sum(m.values()) == now["customers"]
+        samples.append((now, t, of, m))
+
+    def p(u, w):
+        out = 0.0
+        for now, t, of, m in samples:
+            top = now["theta_top"] + now["customers"]
+            base = (m[w] - now["d_top"]) / top if w in m else (now["theta_top"] + now["d_top"] * len(m)) / top
+            own = max(want[u, w] - model["d"] * t[u, w], 0) if (u, w) in want else 0
+            out += (own + (now["theta"] + model["d"] * of[u]) * base) / (now["theta"] + follow[u]) / len(samples)
+        return out
+
+    context = next(u for u in sorted(follow) if 1 < follow[u] < 20)
+    assert sum(p(context, w) for w in word.values()) + p(context, -1) == pytest.approx(1)
+    for r in pitman_yor.score(docs, model, counts).collect():
+        x = [word.get(w, -1) for w in text[r.doc_id]]
+        assert r.score == pytest.approx(sum(np.log10(p(u, w)) for u, w in zip([0, *x], [*x, 0])), rel=1e-5)
+
+
+def test_tables_are_drawn_from_their_distribution():
+    d, theta, prior, others, n = 0.4, 1.5, 0.3, 7, 4
+    want = {1: 1.0}
+    for j in range(1, n):
+        step = Counter()
+        for t, w in want.items():
+            step[t] += w * (j - d * t)
+            step[t + 1] += w * (theta + d * (others + t)) * prior
+        want = step
+    rng, size = np.random.default_rng(1), 100_000
+    got = pitman_yor.draw(np.full(size, n), np.full(size, prior), np.full(size, others), d, theta, rng, pitman_yor.stirling(d))
+    share = np.array([want[t] for t in range(1, n + 1)]) / sum(want.values())
+    assert np.allclose(np.bincount(got, minlength=n + 1)[1:] / size, share, atol=0.01)
+
+
 # ------------------------------------------------------------------ op7
 
 @pytest.mark.parametrize("shingle,sim", [(3, (9, 10)), (5, (8, 10))])
