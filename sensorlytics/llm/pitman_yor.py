@@ -90,6 +90,8 @@ def unpack_words(data: bytes) -> list[bytes]:
 
 def parts_of(keys: np.ndarray) -> dict[int, np.ndarray]:
     """Where each key is."""
+    if len(keys) and keys.max() < 1 << 15:
+        keys = keys.astype(np.int16)  # sorted by digits
     order = np.argsort(keys, kind="stable")
     found, first = np.unique(keys[order], return_index=True)
     return dict(zip(found.tolist(), np.split(order, first[1:])))
@@ -254,7 +256,9 @@ class Block:
     def pairs(self, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
         """Distinct pairs, a place and the number of each token's pair, and the pairs of each group of contexts (none
         for contexts without training tokens)."""
-        codes, first, at = np.unique(self.code, return_index=True, return_inverse=True)
+        codes, at = np.unique(self.code, return_inverse=True)
+        first = np.empty(len(codes), np.int64)
+        first[at] = np.arange(len(at))
         groups = parts_of(np.where(codes >> 32 == NEW, -1, group_of(codes, m)))
         return codes, first, at, {g: k for g, k in groups.items() if g >= 0}
 
@@ -383,14 +387,17 @@ def discount(ones: int, twos: int) -> float:
     return float(np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.05, 0.95))
 
 
-def asked_for(g: int, merged: np.ndarray, row: dict, codes: np.ndarray, u: np.ndarray) -> tuple:
-    """What a block asks of a group, as places in its pairs and contexts."""
-    def places(have, want):
-        at = np.searchsorted(have, want)
-        hit = have[np.minimum(at, len(have) - 1)] == want if len(have) else np.zeros(len(want), bool)
-        return pack(hit, np.diff(at[hit], prepend=0))
+def places(have: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``want`` are in ``have``, both in order, and where."""
+    at = np.searchsorted(have, want)
+    hit = have[np.minimum(at, len(have) - 1)] == want if len(have) else np.zeros(len(want), bool)
+    return hit, at[hit]
+
 
-    return g, row["other"], ASKED, places(merged, codes), places(np.unique(merged >> 32), u)
+def asked_for(g: int, row: dict, pairs_at: tuple, contexts_at: tuple) -> tuple:
+    """What a block asks of a group, as places in its pairs and contexts."""
+    a, b = (pack(hit, np.diff(at, prepend=0)) for hit, at in (pairs_at, contexts_at))
+    return g, row["other"], ASKED, a, b
 
 
 def at_places(data: bytes, values: np.ndarray) -> np.ndarray:
@@ -417,8 +424,10 @@ def restaurants(sent: DataFrame, m: dict) -> DataFrame:
     def make(key, t):
         g, got = key[0].as_py(), _sent_pairs(t)
         codes, n = np.concatenate([x[1] for x in got]), np.concatenate([x[2] for x in got])
-        merged, at = np.unique(codes[n > 0], return_inverse=True)
-        n = np.bincount(at, weights=n[n > 0], minlength=len(merged)).astype(np.int64)
+        merged, at = np.unique(codes, return_inverse=True)
+        n = np.bincount(at, weights=n, minlength=len(merged)).astype(np.int64)
+        hit, at = (n > 0)[at], (np.cumsum(n > 0) - 1)[at]
+        merged, n, ends = merged[n > 0], n[n > 0], np.cumsum([len(x[1]) for x in got])
         u, runs = np.unique(merged >> 32, return_counts=True)
         w = merged & 0xFFFFFFFF
         of = (w % m["buckets"] << 32) | w  # words by bucket of the parent
@@ -437,7 +446,10 @@ def restaurants(sent: DataFrame, m: dict) -> DataFrame:
                 out.append((p, g, SEATS, pack(tables[k])))
         for i in np.flatnonzero(np.isin(u, m["heavy"])).tolist():
             out.append((int(u[i]), g, HEAVY, None, None, float(runs[i])))
-        return mail(out + [asked_for(g, merged, r, c, us) for r, c, _, us in got])
+        for (r, c, _, us), end in zip(got, ends.tolist()):
+            k = slice(end - len(c), end)
+            out.append(asked_for(g, r, (hit[k], at[k][hit[k]]), places(u, us)))
+        return mail(out)
 
     return frozen(sent.groupBy("key").applyInArrow(make, MAIL), "lm-state")
 
@@ -448,7 +460,8 @@ def ask(sent: DataFrame, state: DataFrame) -> DataFrame:
     def make(key, left, right):
         rows = read(right)
         merged = unpack(rows[0]["b"])[0] if rows else np.empty(0, np.int64)
-        return mail([asked_for(key[0].as_py(), merged, r, c, u) for r, c, _, u in _sent_pairs(left)])
+        contexts = unpack(rows[0]["a"])[0] if rows else merged
+        return mail([asked_for(key[0].as_py(), r, places(merged, c), places(contexts, u)) for r, c, _, u in _sent_pairs(left)])
 
     return meet(sent, state.where(F.col("kind") == STATE), "key", make)
 
